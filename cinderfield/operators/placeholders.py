@@ -11,6 +11,7 @@ from cinderfield.contract import FEATURES, LAND_COVER, TARGET, SplitSettings
 from cinderfield.functions.scalars import circular, clamp, hash_uniform
 from cinderfield.functions.weather import ffmc, vpd
 from cinderfield.operators.ordered import exact_quantiles
+from cinderfield.scratch import settle
 
 # Land-cover shares in the order of LAND_COVER.
 LAND_COVER_SHARES = [0.40, 0.20, 0.15, 0.10, 0.05, 0.05, 0.03, 0.02]
@@ -120,6 +121,19 @@ def _derived() -> dict[str, Column]:
     return {"vpd_kpa": vpd(t, rh), "ffmc_approx": ffmc(t, rh, wind)}
 
 
+# Inputs of the columns that are not drawn under their own name.
+_INPUTS = {
+    "aspect_sin": ["aspect"],
+    "aspect_cos": ["aspect"],
+    **{c: ["cover"] for c in LAND_COVER},
+    "wind_dir_sin": ["heading"],
+    "wind_dir_cos": ["heading"],
+    "firms_density_1yr": ["density"],
+    "vpd_kpa": ["temp_c", "rh_pct"],
+    "ffmc_approx": ["temp_c", "rh_pct", "wind_speed_ms"],
+}
+
+
 def placeholder_features(
     keys: DataFrame, key: str, seed: int = 42, columns: list[str] | None = None
 ) -> DataFrame:
@@ -128,13 +142,14 @@ def placeholder_features(
     The same key and seed give the same values on any cluster; an empty table
     gives an empty table with the columns. Drawn, clipped and derived columns
     are stacked projections: a hash is computed once however often its value is
-    used, and what is not requested is pruned.
+    used.
     """
     columns = columns or FEATURES
     given = [c for c in keys.columns if c not in columns]
+    needed = {name for c in columns for name in [c, *_INPUTS.get(c, [])]}
     out = keys
     for stage in (_drawn(KeyedDraws(F.col(key), seed)), _shaped(), _derived()):
-        out = out.withColumns({f"_ph_{name}": c for name, c in stage.items()})
+        out = out.withColumns({f"_ph_{n}": c for n, c in stage.items() if n in needed})
     return out.select(*given, *[F.col(f"_ph_{c}").alias(c) for c in columns])
 
 
@@ -162,6 +177,10 @@ def quantile_label(
 
 
 def synthetic_dataset(keys: DataFrame, key: str, settings: SplitSettings | None = None) -> DataFrame:
-    """All placeholder features and the fallback label for a key table."""
+    """All placeholder features and the fallback label for a key table.
+
+    The features are written once: the threshold needs several passes over them.
+    """
     s = settings or SplitSettings()
-    return quantile_label(placeholder_features(keys, key, s.seed), s.positive_rate)
+    features = settle(placeholder_features(keys, key, s.seed), "placeholders")
+    return quantile_label(features, s.positive_rate)

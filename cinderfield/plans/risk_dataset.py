@@ -19,6 +19,7 @@ from cinderfield.contract import (
     SplitSettings,
 )
 from cinderfield.operators import fire, grid, placeholders, raster, weather
+from cinderfield.scratch import settle
 
 
 @dataclass(frozen=True)
@@ -104,7 +105,8 @@ def build_dataset(
     table = placeholders.placeholder_features(table, "_row_key", split.seed, missing)
 
     if sources.hotspots is None:
-        table = placeholders.quantile_label(table, split.positive_rate)
+        # The threshold takes several passes: write the features once instead of building them again.
+        table = placeholders.quantile_label(settle(table, "features"), split.positive_rate)
         version, source = "real-v0-no-firms", "synthetic_fallback"
     else:
         version, source = "real-b1", "hotspot_archive"
