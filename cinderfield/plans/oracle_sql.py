@@ -546,5 +546,6 @@ def statements() -> dict[str, str]:
                on f.stem = 'img_'||cast(i.image_id as varchar)) group by all""",
         flags,
     )
+    out["hotspot_stream"] = _with("arch", "select distinct latitude, longitude, acq_date from arch")
     return out
 

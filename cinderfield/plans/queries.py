@@ -8,12 +8,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cinderfield import contract
-from cinderfield.contract import DATASET_COLUMNS, FEATURES, LAND_COVER, TARGET, LabelSettings
+from cinderfield.contract import FEATURES, LAND_COVER, TARGET, BoosterSettings, LabelSettings
 from cinderfield.functions import scalars
 from cinderfield.functions import text as text_rules
 from cinderfield.functions import weather as formulas
 from cinderfield.operators import (
     archive,
+    booster,
     fire,
     grid,
     images,
@@ -26,8 +27,10 @@ from cinderfield.operators import (
     splits,
     weather,
 )
-from cinderfield.plans import views
+from cinderfield.plans import model_jobs, views
 from cinderfield.plans.risk_dataset import Built, RasterLayer, Sources, build_dataset
+from cinderfield.scratch import scratch_path, settle
+from cinderfield.streaming import hotspots as stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -531,4 +534,55 @@ def image_catalogue(spark: SparkSession, sf: str) -> DataFrame:
     return both.groupBy("source", "split", "label").agg(F.count(F.lit(1)).alias("n"))
 
 
-__all__ = ["DATASET_COLUMNS", "REGISTRY"]
+# --- models ----------------------------------------------------------------
+
+BOOSTER = BoosterSettings(rounds=8, depth=4, step=0.2, patience=4)
+
+
+def keyed_risk_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The built dataset with a row key, written once: model jobs scan it many times."""
+    key = F.concat_ws("|", F.col("cell_id").cast("string"), F.date_format("obs_date", "yyyy-MM-dd"))
+    return settle(risk_table(spark, sf).table.withColumn("row_key", key), "risk")
+
+
+@register
+def spatial_cv(spark: SparkSession, sf: str) -> DataFrame:
+    _, summary = model_jobs.spatial_cv(keyed_risk_table(spark, sf), 5, BOOSTER)
+    return summary
+
+
+@register
+def holdout_eval(spark: SparkSession, sf: str) -> DataFrame:
+    split = model_jobs.split_table(keyed_risk_table(spark, sf), "row_key")
+    return model_jobs.holdout_evaluation(split, model_jobs.fit_on_split(split, BOOSTER))
+
+
+@register
+def batch_scores(spark: SparkSession, sf: str) -> DataFrame:
+    rows = keyed_risk_table(spark, sf)
+    fitted = booster.fit(rows, settings=BOOSTER)
+    return booster.score(fitted, rows).select("row_key", F.col("p").cast("double").alias("p"))
+
+
+@register
+def feature_attribution(spark: SparkSession, sf: str) -> DataFrame:
+    rows = keyed_risk_table(spark, sf)
+    fitted = booster.fit(rows, settings=BOOSTER)
+    return model_jobs.feature_importance(fitted, rows, "row_key")
+
+
+# --- streaming -------------------------------------------------------------
+
+
+@register
+def hotspot_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The archive streamed from its file, deduplicated and appended to a table, then read back."""
+    schema = views.table(spark, sf, "lineitem").schema
+    lines = spark.readStream.schema(schema).option("pathGlobFilter", "lineitem.parquet").parquet(sf)
+    incoming = spark.sql(views.ARCHIVE, lineitem=lines)
+    # Ten years: the file is one batch in no date order, so nothing in it may count as late.
+    deduped = stream.dedup_stream(incoming, "3650 days")
+    path = scratch_path(spark, "stream")
+    stream.ingest(deduped, f"{path}/table", f"{path}/checkpoint").awaitTermination()
+    table = spark.read.parquet(f"{path}/table")
+    return table.select("latitude", "longitude", F.col("acq_date").cast("timestamp_ntz").alias("acq_date"))
