@@ -168,7 +168,12 @@ class SplitSettings:
 
 @dataclass(frozen=True)
 class BoosterSettings:
-    """Boosted-tree settings; ``positive_weight`` None means neg/pos of the training rows."""
+    """Boosted-tree settings.
+
+    ``positive_weight`` None means neg/pos of the training rows. ``judge_every`` n
+    judges only every n-th round on the validation rows; the work of choosing a
+    round grows with validation rows times judged rounds.
+    """
 
     rounds: int = 500
     depth: int = 6
@@ -177,6 +182,7 @@ class BoosterSettings:
     row_fraction: float = 0.8
     feature_fraction: float = 0.8
     patience: int = 30
+    judge_every: int = 1
     positive_weight: float | None = None
     max_bins: int = 64
     seed: int = 42

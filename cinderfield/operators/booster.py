@@ -192,6 +192,8 @@ def round_precision(
             margin = np.zeros(len(x))
             for number, tree in enumerate(members.value, start=1):
                 margin = margin + tree.weight * tree_values(tree, x)
+                if number % settings.judge_every and number != len(members.value):
+                    continue
                 level, index = np.unique(margin, return_inverse=True)
                 pos = np.bincount(index, weights=positive, minlength=len(level))
                 total = np.bincount(index, minlength=len(level))

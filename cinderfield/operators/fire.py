@@ -26,12 +26,27 @@ def filter_confidence(
     return hotspots.filter(confidence_level(F.col("confidence")).isin(wanted))
 
 
+def _fold_day(at: Column) -> Column:
+    """Midnight stays; any later time becomes noon of its day."""
+    day = at - F.pmod(at, F.lit(DAY_US))
+    return F.when(at == day, day).otherwise(day + DAY_US // 2)
+
+
+def _observation_time(ts: Column, exact_times: bool) -> Column:
+    if exact_times:
+        return ts
+    at_midnight = ts.isNull() | (ts == F.date_trunc("day", ts).cast("timestamp_ntz"))
+    timed = F.raise_error(F.lit("obs_date has a time of day; pass exact_times=True"))
+    return F.when(at_midnight, ts).otherwise(timed.cast("timestamp_ntz"))
+
+
 def fire_history(
     obs: DataFrame,
     hotspots: DataFrame,
     settings: LabelSettings | None = None,
     places: DataFrame | None = None,
     rows_per_slice: int = ROWS_PER_SLICE,
+    exact_times: bool = False,
 ) -> DataFrame:
     """Label, one-year count and days since the last fire per distinct (lat, lon, obs_date).
 
@@ -40,18 +55,23 @@ def fire_history(
     last fire ``<= obs-buffer_days``. ``places`` may give the distinct ``lat, lon``
     of ``obs`` when the caller already has them; ``obs`` must then be distinct too.
 
-    The radius join runs once per place, not once per date. Its pairs shrink to
-    one row per (place, detection time) before they move; then detections and
-    observation dates of a place are merged in time order and each window is a
-    difference of two running sums. A place's group is bounded by the number of
-    distinct times, however many detections there are. The result is partitioned
-    by (lat, lon).
+    Observation dates lie at midnight; one with a time of day fails the job unless
+    ``exact_times`` is set. Detections may carry a time: seen from midnight edges,
+    all detections inside one day are alike, so they fold to one row per place and
+    day (midnight itself apart) that keeps their number and latest time. With
+    ``exact_times`` they fold per distinct time only, which bounds a place's group
+    by its distinct detection times instead of by the calendar.
+
+    The radius join runs once per place, not once per date, and its pairs fold
+    again before they move. Then detections and observation dates of a place are
+    merged in time order and each window is a difference of two running sums.
+    The result is partitioned by (lat, lon).
     """
     s = settings or LabelSettings()
     asked = obs.select(
         F.col("lat").cast("double").alias("lat"),
         F.col("lon").cast("double").alias("lon"),
-        as_timestamp(F.col("obs_date")).alias("obs_date"),
+        _observation_time(as_timestamp(F.col("obs_date")), exact_times).alias("obs_date"),
     )
     if places is None:
         asked = asked.distinct()
@@ -61,17 +81,18 @@ def fire_history(
     )
     fires = (
         filter_confidence(hotspots, s.confidence_levels)
-        .select("latitude", "longitude", epoch_us(as_timestamp(F.col("acq_date"))).alias("_t"))
-        .filter(F.col("_t").isNotNull())
+        .filter(F.col("acq_date").isNotNull())
+        .select("latitude", "longitude", epoch_us(as_timestamp(F.col("acq_date"))).alias("_at"))
+        .withColumn("_t", F.col("_at") if exact_times else _fold_day(F.col("_at")))
         .groupBy("latitude", "longitude", "_t")
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg(F.count(F.lit(1)).alias("_n"), F.max("_at").alias("_at"))
     )
     near = (
         radius_pairs(
             spots, fires, s.radius_m, ("_plat", "_plon"), rows_per_slice=rows_per_slice
         )
         .groupBy("_plat", "_plon", "_t")
-        .agg(F.sum("_n").alias("_n"))
+        .agg(F.sum("_n").alias("_n"), F.max("_at").alias("_at"))
     )
     timeline = near.select(
         F.col("_plat").alias("lat"),
@@ -79,6 +100,7 @@ def fire_history(
         F.lit(None).cast("timestamp_ntz").alias("obs_date"),
         "_t",
         "_n",
+        "_at",
         F.lit(False).alias("_asked"),
     ).unionByName(
         asked.select(
@@ -87,6 +109,7 @@ def fire_history(
             "obs_date",
             epoch_us(F.col("obs_date")).alias("_t"),
             F.lit(0).cast("long").alias("_n"),
+            F.lit(None).cast("long").alias("_at"),
             F.lit(True).alias("_asked"),
         )
     )
@@ -97,8 +120,7 @@ def fire_history(
         return F.coalesce(F.sum("_n").over(frame), F.lit(0).cast("long"))
 
     cut = -s.buffer_days * DAY_US
-    fire_time = F.when(F.col("_n") > 0, F.col("_t"))
-    last = F.max(fire_time).over(by_time.rangeBetween(Window.unboundedPreceding, cut))
+    last = F.max("_at").over(by_time.rangeBetween(Window.unboundedPreceding, cut))
     windows = timeline.select(
         "lat",
         "lon",
@@ -125,9 +147,12 @@ def fire_labels(
     hotspots: DataFrame,
     settings: LabelSettings | None = None,
     rows_per_slice: int = ROWS_PER_SLICE,
+    exact_times: bool = False,
 ) -> DataFrame:
     """``obs`` plus target, one-year count and days since the last fire; rows are kept one to one."""
-    history = fire_history(obs, hotspots, settings, rows_per_slice=rows_per_slice).select(
+    history = fire_history(
+        obs, hotspots, settings, rows_per_slice=rows_per_slice, exact_times=exact_times
+    ).select(
         F.col("lat").alias("_hlat"),
         F.col("lon").alias("_hlon"),
         F.col("obs_date").alias("_hdate"),

@@ -293,12 +293,12 @@ def statements() -> dict[str, str]:
            select row_ix+1, col_ix+1, elevation+1000.0E0 from pixels b
            where not exists (select 1 from pixels a where a.row_ix = b.row_ix+1 and a.col_ix = b.col_ix+1)""",
     )
-    # Columns 10.5..36.5 and rows from 4.0 on, so pixels 10..36 and 4.. meet the box.
+    # The box spans columns 10.5..36.5 and rows from 1.3 on: pixels 10..36 and 1.. meet it.
     out["raster_crop"] = _with(
         "pixels",
-        """select row_ix-4 as row_ix, col_ix-10 as col_ix, elevation, code from pixels
+        """select row_ix-1 as row_ix, col_ix-10 as col_ix, elevation, code from pixels
            where 28.0+(col_ix+1)*0.2 > 30.1+1e-7 and 28.0+col_ix*0.2 < 35.3-1e-7
-             and 43.0-(row_ix+1)*0.15 < 42.4-1e-7""",
+             and 43.0-(row_ix+1)*0.15 < 42.8-1e-7""",
     )
 
     out["weather_attach"] = _with(

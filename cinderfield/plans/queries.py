@@ -252,7 +252,7 @@ def raster_mosaic(spark: SparkSession, sf: str) -> DataFrame:
 def raster_crop(spark: SparkSession, sf: str) -> DataFrame:
     pixels = views.view(spark, sf, "PIXELS")
     transform = raster.Transform(height=1_000_000, **views.RASTER)
-    kept, _ = raster.crop(pixels, transform, (30.1, 0.0, 35.3, 42.4))
+    kept, _ = raster.crop(pixels, transform, (30.1, 0.0, 35.3, 42.8))
     return kept.select("row_ix", "col_ix", "elevation", "code")
 
 

@@ -48,7 +48,7 @@ def read_image_folders(spark: SparkSession, root: str, split: str) -> DataFrame:
     )
     labels_at = f"{root}/labels/{folder}"
     if _exists(spark, os.path.join(labels_at, "*.txt")):
-        files = spark.read.option("wholetext", True).text(os.path.join(labels_at, "*.txt")).select(
+        files = spark.read.text(os.path.join(labels_at, "*.txt"), wholetext=True).select(
             file_stem(F.col("_metadata.file_path")).alias("stem"), F.col("value").alias("content")
         )
     else:

@@ -63,6 +63,25 @@ def test_history_window_edges(spark, when, density, days):
     assert label(spark, hotspots(spark, [(LAT, LON, when)])) == (0, density, days)
 
 
+def test_observation_with_a_time_of_day(spark):
+    obs = cells(spark, ((LAT, LON, "2025-06-01 06:00:00"),))
+    days = ("2025-07-01 05:00:00", "2025-07-01 07:00:00", "2025-05-01 05:59:59", "2025-05-01 06:00:01")
+    fires = hotspots(spark, [(LAT, LON, d) for d in days])
+    with pytest.raises(Exception, match="exact_times"):
+        fire_labels(obs, fires).collect()
+    row = fire_labels(obs, fires, exact_times=True).first()
+    assert (row[TARGET], row["firms_density_1yr"]) == (1, 1.0)
+    assert row["days_since_last_fire"] == pytest.approx(31 + 1 / 86_400)
+
+
+def test_times_within_a_day_fold_without_changing_the_result(spark):
+    days = [f"2025-04-{d:02d} {h:02d}:30:00" for d in (28, 29, 30) for h in range(24)] + ["2025-05-01", "2025-05-01 00:00:01"]
+    fires = hotspots(spark, [(LAT, LON, d) for d in days])
+    folded = fire_labels(cells(spark), fires).first()
+    exact = fire_labels(cells(spark), fires, exact_times=True).first()
+    assert folded == exact and folded["firms_density_1yr"] == 73.0 and folded["days_since_last_fire"] == 31.0
+
+
 def test_copies_count_and_the_latest_fire_wins(spark):
     fires = [(LAT, LON, "2025-03-01")] * 3 + [(LAT, LON, "2025-04-01"), (LAT + 0.01, LON, "2025-04-01")]
     assert label(spark, hotspots(spark, fires)) == (0, 5.0, 61.0)
