@@ -69,6 +69,13 @@ class RadiusBins:
         bins = self._bins_in_band(band)
         return self._key(band, F.pmod(F.floor((lon + 180.0) / 360.0 * bins), bins))
 
+    def centre(self, lat: Column, lon: Column) -> tuple[Column, Column]:
+        """Latitude and longitude of the middle of the bin a point lies in."""
+        band = self._band(lat)
+        bins = self._bins_in_band(band)
+        column = F.pmod(F.floor((lon + 180.0) / 360.0 * bins), bins)
+        return (band + 0.5) * self.height_deg - 90.0, (column + 0.5) * 360.0 / bins - 180.0
+
     def with_reach(self, df: DataFrame, lat: str, lon: str, out: str) -> DataFrame:
         """One row per (input row, reachable bin)."""
         h = self.height_deg

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cinderfield.contract import FIRE_HISTORY, NO_FIRE_DAYS, TARGET, LabelSettings
 from cinderfield.functions.scalars import DAY_US, as_timestamp, clamp, epoch_us
 from cinderfield.functions.text import confidence_level
-from cinderfield.operators.spatial import ROWS_PER_SLICE, radius_pairs
+from cinderfield.operators.spatial import HEAVY_BLOCK_ROWS, ROWS_PER_SLICE, radius_fold
 
 DENSITY, DAYS_SINCE = FIRE_HISTORY
 
@@ -47,6 +47,7 @@ def fire_history(
     places: DataFrame | None = None,
     rows_per_slice: int = ROWS_PER_SLICE,
     exact_times: bool = False,
+    heavy_rows: int = HEAVY_BLOCK_ROWS,
 ) -> DataFrame:
     """Label, one-year count and days since the last fire per distinct (lat, lon, obs_date).
 
@@ -62,8 +63,8 @@ def fire_history(
     ``exact_times`` they fold per distinct time only, which bounds a place's group
     by its distinct detection times instead of by the calendar.
 
-    The radius join runs once per place, not once per date, and its pairs fold
-    again before they move. Then detections and observation dates of a place are
+    The radius join runs once per place, not once per date; its pairs fold before
+    they move, and crowded blocks of detections fold before they are paired. Then detections and observation dates of a place are
     merged in time order and each window is a difference of two running sums.
     The result is partitioned by (lat, lon).
     """
@@ -87,12 +88,8 @@ def fire_history(
         .groupBy("latitude", "longitude", "_t")
         .agg(F.count(F.lit(1)).alias("_n"), F.max("_at").alias("_at"))
     )
-    near = (
-        radius_pairs(
-            spots, fires, s.radius_m, ("_plat", "_plon"), rows_per_slice=rows_per_slice
-        )
-        .groupBy("_plat", "_plon", "_t")
-        .agg(F.sum("_n").alias("_n"), F.max("_at").alias("_at"))
+    near = radius_fold(
+        spots, fires, s.radius_m, ("_plat", "_plon"), rows_per_slice=rows_per_slice, heavy_rows=heavy_rows
     )
     timeline = near.select(
         F.col("_plat").alias("lat"),

@@ -45,8 +45,12 @@ def _within(radius_m: float, distance: Column) -> Column:
     return (chord2 <= clear) | ((chord2 <= beyond) & (distance <= radius_m))
 
 
-def _hot_bins(left: DataFrame, right: DataFrame, rows_per_slice: int) -> DataFrame:
-    """(bin, slices of the left side, slices of the right side) of the heaviest bins."""
+def _hot_bins(left: DataFrame, right: DataFrame, rows_per_slice: int) -> list[tuple[int, int, int]]:
+    """(bin, slices of the left side, slices of the right side) of the heaviest bins.
+
+    A first job over the bin keys only. It returns at most MAX_HOT_BINS small
+    rows, and usually none: then the join needs no slices at all.
+    """
     zero = F.lit(0).cast("long")
     one = F.lit(1).cast("long")
     load = (
@@ -55,17 +59,16 @@ def _hot_bins(left: DataFrame, right: DataFrame, rows_per_slice: int) -> DataFra
         .groupBy("_bin")
         .agg(F.sum("nl").alias("nl"), F.sum("nr").alias("nr"))
     )
-
-    def slices(n: str) -> Column:
-        return F.ceil(F.col(n) / rows_per_slice).cast("int")
-
-    return (
+    heaviest = (
         load.filter((F.col("nl") > rows_per_slice) | (F.col("nr") > rows_per_slice))
         .filter((F.col("nl") > 0) & (F.col("nr") > 0))
         .orderBy(F.desc(F.greatest("nl", "nr")), "_bin")
         .limit(MAX_HOT_BINS)
-        .select("_bin", slices("nl").alias("_cut_l"), slices("nr").alias("_cut_r"))
     )
+    return [
+        (r["_bin"], -(-r["nl"] // rows_per_slice), -(-r["nr"] // rows_per_slice))
+        for r in heaviest.collect()
+    ]
 
 
 def _sliced(df: DataFrame, hot: DataFrame, own: str, other: str, payload: list[str]) -> DataFrame:
@@ -81,6 +84,32 @@ def _sliced(df: DataFrame, hot: DataFrame, own: str, other: str, payload: list[s
     )
 
 
+def _bin_join(left: DataFrame, right: DataFrame, condition: Column, rows_per_slice: int) -> DataFrame:
+    """Join on ``_bin`` and ``condition``; hot bins are cut on both sides.
+
+    Each pair of rows meets in exactly one slice, and no slice holds more than
+    about ``rows_per_slice`` rows of either side. Other column names differ.
+    """
+    keys = ["_bin"]
+    hot_rows = _hot_bins(left, right, rows_per_slice)
+    if hot_rows:
+        hot = left.sparkSession.createDataFrame(hot_rows, "_bin long, _cut_l int, _cut_r int")
+        payload_l = [c for c in left.columns if c != "_bin"]
+        payload_r = [c for c in right.columns if c != "_bin"]
+        left = _sliced(left, hot, "l", "r", payload_l)
+        right = _sliced(right, hot, "r", "l", payload_r)
+        keys += ["_slice_l", "_slice_r"]
+    a, b = left.alias("a"), right.alias("b")
+    same = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys]
+    own = [F.col(f"a.{c}") for c in left.columns if c not in keys]
+    theirs = [F.col(f"b.{c}") for c in right.columns if c not in keys]
+    return a.join(b, [*same, condition], "inner").select(*own, *theirs)
+
+
+def _checked(df: DataFrame, columns: tuple[str, str], what: str) -> DataFrame:
+    return df.withColumns({c: checked_coordinate(F.col(c), what) for c in columns})
+
+
 def radius_pairs(
     centres: DataFrame,
     points: DataFrame,
@@ -99,29 +128,119 @@ def radius_pairs(
     """
     bins = RadiusBins(radius_m)
     (clat, clon), (plat, plon) = centre_cols, point_cols
-    l_payload, r_payload = centres.columns, points.columns
+    left = _checked(centres, centre_cols, "centre table")
+    left = _unit_vector(left, clat, clon, "_l").withColumn("_bin", bins.home(F.col(clat), F.col(clon)))
+    right = _unit_vector(_checked(points, point_cols, "point table"), plat, plon, "_r")
+    right = bins.with_reach(right, plat, plon, "_bin")
+    distance = haversine_m(F.col(clat), F.col(clon), F.col(plat), F.col(plon))
+    pairs = _bin_join(left, right, _within(radius_m, distance), rows_per_slice)
+    out = [*centres.columns, *points.columns]
+    return pairs.select(*out, distance.alias("distance_m")) if with_distance else pairs.select(*out)
 
-    left = centres.withColumn(clat, checked_coordinate(F.col(clat), "centre table"))
-    left = left.withColumn(clon, checked_coordinate(F.col(clon), "centre table"))
-    left = left.withColumn("_bin", bins.home(F.col(clat), F.col(clon)))
 
-    right = points.withColumn(plat, checked_coordinate(F.col(plat), "point table"))
-    right = right.withColumn(plon, checked_coordinate(F.col(plon), "point table"))
-    right = bins.with_reach(right, plat, plon, "_bin")
+# Points of a heavy block are folded when the whole block lies inside a circle.
+BLOCKS_PER_RADIUS = 8
+HEAVY_BLOCK_ROWS = 2_000
 
-    hot = _hot_bins(left, right, rows_per_slice)
-    left = _unit_vector(_sliced(left, hot, "l", "r", l_payload), clat, clon, "_l")
-    right = _unit_vector(_sliced(right, hot, "r", "l", r_payload), plat, plon, "_r")
 
-    distance = haversine_m(F.col(clat), F.col(clon), F.col(plat), F.col(plon))
-    keys = ["_bin", "_slice_l", "_slice_r"]
-    a, b = left.alias("a"), right.alias("b")
-    same = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys]
-    pairs = a.join(b, [*same, _within(radius_m, distance)], "inner")
-    out = [F.col(f"a.{c}") for c in l_payload] + [F.col(f"b.{c}") for c in r_payload]
-    if with_distance:
-        out.append(distance.alias("distance_m"))
-    return pairs.select(*out)
+def radius_fold(
+    places: DataFrame,
+    points: DataFrame,
+    radius_m: float,
+    place_cols: tuple[str, str],
+    point_cols: tuple[str, str] = ("latitude", "longitude"),
+    rows_per_slice: int = ROWS_PER_SLICE,
+    heavy_rows: int = HEAVY_BLOCK_ROWS,
+) -> DataFrame:
+    """Per place and ``_t``: ``_n`` summed and ``_at`` at its largest over the points within the radius.
+
+    ``points`` carries ``_t, _n, _at``. In general this is the radius join and an
+    aggregation with map-side combine. Where very many points crowd into one small
+    block (an eighth of the radius), pairing each with each place is avoided: a
+    place takes the block's sums per ``_t`` when the block lies wholly inside its
+    circle, skips the block when it lies wholly outside, and looks at single
+    points only of blocks its circle cuts. Which blocks count as heavy decides
+    the work, never the result.
+    """
+    plat, plon = point_cols
+    blocks = RadiusBins(radius_m / BLOCKS_PER_RADIUS)
+    points = _checked(points.select(plat, plon, "_t", "_n", "_at"), point_cols, "point table")
+    by_block = points.withColumn("_block", blocks.home(F.col(plat), F.col(plon)))
+    heavy = _heavy_blocks(by_block, blocks, point_cols, radius_m / 2.0, heavy_rows)
+    found = []
+    if heavy is None:
+        found.append(radius_pairs(places, points, radius_m, place_cols, point_cols, rows_per_slice))
+    else:
+        mark = F.broadcast(heavy.select("_block"))
+        light = by_block.join(mark, "_block", "left_anti").drop("_block")
+        crowded = by_block.join(mark, "_block", "left_semi")
+        found.append(radius_pairs(places, light, radius_m, place_cols, point_cols, rows_per_slice))
+        found.append(_fold_blocks(places, crowded, heavy, radius_m, place_cols, point_cols, rows_per_slice))
+    out = found[0].select(*place_cols, "_t", "_n", "_at")
+    for more in found[1:]:
+        out = out.unionByName(more.select(*place_cols, "_t", "_n", "_at"))
+    return out.groupBy(*place_cols, "_t").agg(F.sum("_n").alias("_n"), F.max("_at").alias("_at"))
+
+
+def _heavy_blocks(
+    by_block: DataFrame,
+    blocks: RadiusBins,
+    point_cols: tuple[str, str],
+    largest_extent_m: float,
+    heavy_rows: int,
+) -> DataFrame | None:
+    """Heaviest blocks with centre and extent, at most MAX_HOT_BINS rows; None when there is none."""
+    lat, lon = (F.col(c) for c in point_cols)
+    mid_lat, mid_lon = blocks.centre(lat, lon)
+    placed = by_block.select("_block", *point_cols, mid_lat.alias("_mlat"), mid_lon.alias("_mlon"))
+    extent = haversine_m(F.col("_mlat"), F.col("_mlon"), lat, lon)
+    rows = (
+        placed.groupBy("_block", "_mlat", "_mlon")
+        .agg(F.count(F.lit(1)).alias("_rows"), F.max(extent).alias("_extent"))
+        .filter((F.col("_rows") > heavy_rows) & (F.col("_extent") <= largest_extent_m))
+        .orderBy(F.desc("_rows"), "_block")
+        .limit(MAX_HOT_BINS)
+        .select("_block", "_mlat", "_mlon", "_extent")
+        .collect()
+    )
+    if not rows:
+        return None
+    return by_block.sparkSession.createDataFrame(
+        rows, "_block long, _mlat double, _mlon double, _extent double"
+    )
+
+
+def _fold_blocks(
+    places: DataFrame,
+    crowded: DataFrame,
+    heavy: DataFrame,
+    radius_m: float,
+    place_cols: tuple[str, str],
+    point_cols: tuple[str, str],
+    rows_per_slice: int,
+) -> DataFrame:
+    """Places against heavy blocks: whole blocks inside the circle, single points of cut blocks."""
+    near = radius_pairs(
+        places, heavy, radius_m * 1.5 + 1.0, place_cols, ("_mlat", "_mlon"), rows_per_slice, with_distance=True
+    )
+    margin = radius_m * 1e-9 + 1e-6
+    inside = F.col("distance_m") + F.col("_extent") <= radius_m - margin
+    outside = F.col("distance_m") - F.col("_extent") > radius_m + margin
+    asked = (
+        near.withColumn("_cut", F.when(inside, 0).otherwise(1))
+        .filter((F.col("_cut") == 0) | ~outside)
+        .select(*place_cols, "_cut", (F.col("_block") * 2 + F.col("_cut")).alias("_bin"))
+    )
+    plat, plon = point_cols
+    whole = crowded.groupBy("_block", "_t").agg(F.sum("_n").alias("_n"), F.max("_at").alias("_at"))
+    nowhere = F.lit(0.0)
+    offered = whole.select(
+        (F.col("_block") * 2).alias("_bin"), nowhere.alias(plat), nowhere.alias(plon), "_t", "_n", "_at"
+    ).unionByName(
+        crowded.select((F.col("_block") * 2 + 1).alias("_bin"), plat, plon, "_t", "_n", "_at")
+    )
+    distance = haversine_m(F.col(place_cols[0]), F.col(place_cols[1]), F.col(plat), F.col(plon))
+    return _bin_join(asked, offered, (F.col("_cut") == 0) | (distance <= radius_m), rows_per_slice)
 
 
 def radius_count(
@@ -132,6 +251,7 @@ def radius_count(
     centre_cols: tuple[str, str] = ("lat", "lon"),
     point_cols: tuple[str, str] = ("latitude", "longitude"),
     rows_per_slice: int = ROWS_PER_SLICE,
+    heavy_rows: int = HEAVY_BLOCK_ROWS,
 ) -> DataFrame:
     """``centres`` plus the number of points within the radius; no point gives 0.
 
@@ -140,15 +260,15 @@ def radius_count(
     """
     clat, clon = centre_cols
     plat, plon = point_cols
+    none = F.lit(None).cast("long")
     folded = points.groupBy(plat, plon).agg(F.count(F.lit(1)).alias("_n"))
+    folded = folded.withColumns({"_t": F.lit(0).cast("long"), "_at": none})
     places = centres.select(
         F.col(clat).cast("double").alias("_clat"), F.col(clon).cast("double").alias("_clon")
     ).distinct()
-    counted = (
-        radius_pairs(places, folded, radius_m, ("_clat", "_clon"), point_cols, rows_per_slice)
-        .groupBy("_clat", "_clon")
-        .agg(F.sum("_n").alias(out))
-    )
+    counted = radius_fold(
+        places, folded, radius_m, ("_clat", "_clon"), point_cols, rows_per_slice, heavy_rows
+    ).select("_clat", "_clon", F.col("_n").alias(out))
     joined = centres.join(
         counted,
         (F.col(clat).cast("double") == F.col("_clat"))

@@ -79,3 +79,15 @@ def test_null_coordinate_fails(spark):
         radius_pairs(c, p, 10_000.0).collect()
     with pytest.raises(Exception, match="null or NaN"):
         radius_count(c, p, 10_000.0).collect()
+
+
+@pytest.mark.parametrize("rows_per_slice, heavy_rows", [(20_000, 1), (5, 3)])
+def test_folded_counts_match_brute_force_on_the_sphere(spark, rows_per_slice, heavy_rows):
+    rng = random.Random(12)
+    left, right = sphere_points(rng, 200), sphere_points(rng, 400)
+    right += [(40 + rng.gauss(0, 0.01), 30 + rng.gauss(0, 0.01)) for _ in range(200)]
+    c = spark.createDataFrame([(i, *p) for i, p in enumerate(left)], "i int, lat double, lon double")
+    p = spark.createDataFrame(right, "latitude double, longitude double")
+    got = radius_count(c, p, 30_000.0, rows_per_slice=rows_per_slice, heavy_rows=heavy_rows)
+    want = {i: sum(distance(a, b) <= 30_000.0 for b in right) for i, a in enumerate(left)}
+    assert {r["i"]: r["n_points"] for r in got.collect()} == want
