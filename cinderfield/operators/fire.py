@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from cinderfield.contract import FIRE_HISTORY, NO_FIRE_DAYS, TARGET, LabelSettings
 from cinderfield.functions.scalars import DAY_US, as_timestamp, clamp, epoch_us
 from cinderfield.functions.text import confidence_level
+from cinderfield.scratch import settle
 from cinderfield.operators.spatial import HEAVY_BLOCK_ROWS, ROWS_PER_SLICE, radius_fold
 
 DENSITY, DAYS_SINCE = FIRE_HISTORY
@@ -88,6 +89,9 @@ def fire_history(
         .groupBy("latitude", "longitude", "_t")
         .agg(F.count(F.lit(1)).alias("_n"), F.max("_at").alias("_at"))
     )
+    # Both are read by the statistics jobs and by the join: written once, so the
+    # input tables themselves are scanned once.
+    spots, fires = settle(spots, "places"), settle(fires, "fires")
     near = radius_fold(
         spots, fires, s.radius_m, ("_plat", "_plon"), rows_per_slice=rows_per_slice, heavy_rows=heavy_rows
     )
