@@ -1,4 +1,8 @@
-"""Distances on the sphere and the equal-radius bins that turn them into equi-joins."""
+"""Distances on the sphere and the equal-radius bins that turn them into equi-joins.
+
+Formulas here are SQL text over column names: one parsed expression instead of
+dozens of Column calls.
+"""
 
 from __future__ import annotations
 
@@ -14,23 +18,24 @@ from cinderfield.contract import EARTH_RADIUS_M
 _SLACK = 1.0 + 1e-9
 
 
-def haversine_m(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
-    """Great-circle distance in metres."""
-    half_dlat = F.radians(lat2 - lat1) / 2.0
-    half_dlon = F.radians(lon2 - lon1) / 2.0
-    a = F.pow(F.sin(half_dlat), F.lit(2.0)) + F.cos(F.radians(lat1)) * F.cos(
-        F.radians(lat2)
-    ) * F.pow(F.sin(half_dlon), F.lit(2.0))
-    return F.asin(F.sqrt(F.least(a, F.lit(1.0)))) * (2.0 * EARTH_RADIUS_M)
+def _d(x: float) -> str:
+    return f"{float(x)!r}D"
+
+
+def haversine_m(lat1: str, lon1: str, lat2: str, lon2: str) -> Column:
+    """Great-circle distance in metres between two pairs of coordinate columns."""
+    a = (
+        f"pow(sin(radians({lat2} - {lat1}) / 2D), 2D) + cos(radians({lat1})) * cos(radians({lat2}))"
+        f" * pow(sin(radians({lon2} - {lon1}) / 2D), 2D)"
+    )
+    return F.expr(f"{_d(2.0 * EARTH_RADIUS_M)} * asin(sqrt(least({a}, 1D)))")
 
 
-def checked_coordinate(value: Column, what: str) -> Column:
-    """``value`` as double; a null or NaN coordinate fails the job instead of vanishing."""
-    number = value.cast("double")
-    return F.when(
-        number.isNull() | F.isnan(number),
-        F.raise_error(F.lit(f"{what} holds a null or NaN coordinate")).cast("double"),
-    ).otherwise(number)
+def checked_coordinate(name: str, what: str) -> Column:
+    """The column as double; a null or NaN coordinate fails the job instead of vanishing."""
+    x = f"cast({name} as double)"
+    failure = f"cast(raise_error('{what} holds a null or NaN coordinate') as double)"
+    return F.expr(f"case when isnull({x}) or isnan({x}) then {failure} else {x} end")
 
 
 @dataclass(frozen=True)
@@ -39,7 +44,7 @@ class RadiusBins:
 
     The number of bins shrinks with the cosine of the band's latitude and wraps
     at 180 degrees, so the same expressions hold at the poles and across the
-    antimeridian. A point is in exactly one bin; ``reach`` lists, without
+    antimeridian. A point is in exactly one bin; ``with_reach`` lists, without
     repeats, every bin that can hold a point within the radius.
     """
 
@@ -49,53 +54,50 @@ class RadiusBins:
     def height_deg(self) -> float:
         return math.degrees(self.radius_m / EARTH_RADIUS_M) * _SLACK
 
-    def _band(self, lat: Column) -> Column:
-        return F.floor((lat + 90.0) / self.height_deg)
+    def _band(self, lat: str) -> str:
+        return f"floor(({lat} + 90D) / {_d(self.height_deg)})"
 
-    def _bins_in_band(self, band: Column) -> Column:
-        south = F.abs(band * self.height_deg - 90.0)
-        north = F.abs((band + 1) * self.height_deg - 90.0)
-        widest = F.least(F.greatest(south, north), F.lit(90.0))
-        fit = F.floor(F.cos(F.radians(widest)) * 360.0 / self.height_deg)
-        return F.greatest(fit, F.lit(1).cast("long"))
+    def _bins_in_band(self, band: str) -> str:
+        h = _d(self.height_deg)
+        widest = f"least(greatest(abs({band} * {h} - 90D), abs(({band} + 1) * {h} - 90D)), 90D)"
+        return f"greatest(floor(cos(radians({widest})) * 360D / {h}), 1L)"
+
+    def _column(self, lon: str, bins: str) -> str:
+        return f"pmod(floor(({lon} + 180D) / 360D * {bins}), {bins})"
 
     @staticmethod
-    def _key(band: Column, column: Column) -> Column:
-        return F.shiftleft(band.cast("long"), 32) + column.cast("long")
+    def _key(band: str, column: str) -> str:
+        return f"(shiftleft({band}, 32) + {column})"
 
-    def home(self, lat: Column, lon: Column) -> Column:
+    def home(self, lat: str, lon: str) -> Column:
         """The one bin a point lies in."""
         band = self._band(lat)
-        bins = self._bins_in_band(band)
-        return self._key(band, F.pmod(F.floor((lon + 180.0) / 360.0 * bins), bins))
+        return F.expr(self._key(band, self._column(lon, self._bins_in_band(band))))
 
-    def centre(self, lat: Column, lon: Column) -> tuple[Column, Column]:
+    def centre(self, lat: str, lon: str) -> tuple[Column, Column]:
         """Latitude and longitude of the middle of the bin a point lies in."""
         band = self._band(lat)
         bins = self._bins_in_band(band)
-        column = F.pmod(F.floor((lon + 180.0) / 360.0 * bins), bins)
-        return (band + 0.5) * self.height_deg - 90.0, (column + 0.5) * 360.0 / bins - 180.0
+        return (
+            F.expr(f"({band} + 0.5D) * {_d(self.height_deg)} - 90D"),
+            F.expr(f"({self._column(lon, bins)} + 0.5D) * 360D / {bins} - 180D"),
+        )
 
     def with_reach(self, df: DataFrame, lat: str, lon: str, out: str) -> DataFrame:
         """One row per (input row, reachable bin)."""
-        h = self.height_deg
-        phi, lam = F.col(lat), F.col(lon)
-        north_limit = F.abs(phi) + h >= 90.0
-        spread = F.asin(
-            F.least(F.lit(math.sin(math.radians(h))) / F.cos(F.radians(phi)), F.lit(1.0))
-        )
-        reach_deg = F.when(north_limit, F.lit(180.0)).otherwise(F.degrees(spread) * _SLACK)
-        top = self._band(F.lit(90.0))
-        first = F.greatest(self._band(phi - h), F.lit(0).cast("long"))
-        last = F.least(self._band(phi + h), top)
-        bins = self._bins_in_band(F.col("_band"))
-        west = F.floor((lam - F.col("_reach") + 180.0) / 360.0 * bins)
-        east = F.floor((lam + F.col("_reach") + 180.0) / 360.0 * bins)
-        wrapped = F.pmod(F.col("_col"), bins)
-        return (
-            df.withColumn("_reach", reach_deg)
-            .withColumn("_band", F.explode(F.sequence(first, last)))
-            .withColumn("_col", F.explode(F.sequence(west, F.least(east, west + bins - 1))))
-            .withColumn(out, self._key(F.col("_band"), wrapped))
-            .drop("_reach", "_band", "_col")
+        h = _d(self.height_deg)
+        reach_sine = _d(math.sin(math.radians(self.height_deg)))
+        spread = f"degrees(asin(least({reach_sine} / cos(radians({lat})), 1D))) * {_d(_SLACK)}"
+        first = f"greatest({self._band(f'{lat} - {h}')}, 0L)"
+        last = f"least({self._band(f'{lat} + {h}')}, {self._band('90D')})"
+        bins = self._bins_in_band("_band")
+        west = f"floor(({lon} - _reach + 180D) / 360D * {bins})"
+        east = f"floor(({lon} + _reach + 180D) / 360D * {bins})"
+        reached = df.selectExpr(
+            "*",
+            f"case when abs({lat}) + {h} >= 90D then 180D else {spread} end as _reach",
+            f"explode(sequence({first}, {last})) as _band",
+        ).selectExpr("*", f"explode(sequence({west}, least({east}, {west} + {bins} - 1))) as _col")
+        return reached.selectExpr(
+            *df.columns, f"{self._key('_band', f'pmod(_col, {bins})')} as {out}"
         )

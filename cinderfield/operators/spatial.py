@@ -18,15 +18,12 @@ ROWS_PER_SLICE = 20_000
 MAX_HOT_BINS = 10_000
 
 
-def _unit_vector(df: DataFrame, lat: str, lon: str, prefix: str) -> DataFrame:
-    phi, lam = F.radians(F.col(lat)), F.radians(F.col(lon))
-    return df.withColumns(
-        {
-            f"{prefix}x": F.cos(phi) * F.cos(lam),
-            f"{prefix}y": F.cos(phi) * F.sin(lam),
-            f"{prefix}z": F.sin(phi),
-        }
-    )
+def _unit_vector(lat: str, lon: str, prefix: str) -> list[Column]:
+    return [
+        F.expr(f"cos(radians({lat})) * cos(radians({lon}))").alias(f"{prefix}x"),
+        F.expr(f"cos(radians({lat})) * sin(radians({lon}))").alias(f"{prefix}y"),
+        F.expr(f"sin(radians({lat}))").alias(f"{prefix}z"),
+    ]
 
 
 def _within(radius_m: float, distance: Column) -> Column:
@@ -35,10 +32,7 @@ def _within(radius_m: float, distance: Column) -> Column:
     The squared chord between unit vectors decides all but a sliver around the
     circle with three multiplications; only there is the distance itself taken.
     """
-    chord2 = sum(
-        ((F.col(f"_l{a}") - F.col(f"_r{a}")) * (F.col(f"_l{a}") - F.col(f"_r{a}")) for a in "xyz"),
-        F.lit(0.0),
-    )
+    chord2 = F.expr(" + ".join(f"(_l{a} - _r{a}) * (_l{a} - _r{a})" for a in "xyz"))
     half = min(radius_m / (2.0 * EARTH_RADIUS_M), math.pi / 2.0)
     limit = 4.0 * math.sin(half) ** 2
     clear, beyond = limit * (1 - 1e-6) - 1e-15, limit * (1 + 1e-6) + 1e-15
@@ -107,7 +101,7 @@ def _bin_join(left: DataFrame, right: DataFrame, condition: Column, rows_per_sli
 
 
 def _checked(df: DataFrame, columns: tuple[str, str], what: str) -> DataFrame:
-    return df.withColumns({c: checked_coordinate(F.col(c), what) for c in columns})
+    return df.withColumns({c: checked_coordinate(c, what) for c in columns})
 
 
 def radius_pairs(
@@ -129,10 +123,10 @@ def radius_pairs(
     bins = RadiusBins(radius_m)
     (clat, clon), (plat, plon) = centre_cols, point_cols
     left = _checked(centres, centre_cols, "centre table")
-    left = _unit_vector(left, clat, clon, "_l").withColumn("_bin", bins.home(F.col(clat), F.col(clon)))
-    right = _unit_vector(_checked(points, point_cols, "point table"), plat, plon, "_r")
+    left = left.select("*", *_unit_vector(clat, clon, "_l"), bins.home(clat, clon).alias("_bin"))
+    right = _checked(points, point_cols, "point table").select("*", *_unit_vector(plat, plon, "_r"))
     right = bins.with_reach(right, plat, plon, "_bin")
-    distance = haversine_m(F.col(clat), F.col(clon), F.col(plat), F.col(plon))
+    distance = haversine_m(clat, clon, plat, plon)
     pairs = _bin_join(left, right, _within(radius_m, distance), rows_per_slice)
     out = [*centres.columns, *points.columns]
     return pairs.select(*out, distance.alias("distance_m")) if with_distance else pairs.select(*out)
@@ -164,8 +158,8 @@ def radius_fold(
     """
     plat, plon = point_cols
     blocks = RadiusBins(radius_m / BLOCKS_PER_RADIUS)
-    points = _checked(points.select(plat, plon, "_t", "_n", "_at"), point_cols, "point table")
-    by_block = points.withColumn("_block", blocks.home(F.col(plat), F.col(plon)))
+    points = points.select(plat, plon, "_t", "_n", "_at")
+    by_block = _checked(points, point_cols, "point table").withColumn("_block", blocks.home(plat, plon))
     heavy = _heavy_blocks(by_block, blocks, point_cols, radius_m / 2.0, heavy_rows)
     found = []
     if heavy is None:
@@ -190,10 +184,9 @@ def _heavy_blocks(
     heavy_rows: int,
 ) -> DataFrame | None:
     """Heaviest blocks with centre and extent, at most MAX_HOT_BINS rows; None when there is none."""
-    lat, lon = (F.col(c) for c in point_cols)
-    mid_lat, mid_lon = blocks.centre(lat, lon)
+    mid_lat, mid_lon = blocks.centre(*point_cols)
     placed = by_block.select("_block", *point_cols, mid_lat.alias("_mlat"), mid_lon.alias("_mlon"))
-    extent = haversine_m(F.col("_mlat"), F.col("_mlon"), lat, lon)
+    extent = haversine_m("_mlat", "_mlon", *point_cols)
     rows = (
         placed.groupBy("_block", "_mlat", "_mlon")
         .agg(F.count(F.lit(1)).alias("_rows"), F.max(extent).alias("_extent"))
@@ -239,7 +232,7 @@ def _fold_blocks(
     ).unionByName(
         crowded.select((F.col("_block") * 2 + 1).alias("_bin"), plat, plon, "_t", "_n", "_at")
     )
-    distance = haversine_m(F.col(place_cols[0]), F.col(place_cols[1]), F.col(plat), F.col(plon))
+    distance = haversine_m(*place_cols, plat, plon)
     return _bin_join(asked, offered, (F.col("_cut") == 0) | (distance <= radius_m), rows_per_slice)
 
 
