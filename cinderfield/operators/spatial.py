@@ -4,18 +4,22 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from cinderfield.contract import EARTH_RADIUS_M
 from cinderfield.functions.geo import RadiusBins, checked_coordinate, haversine_m
 
-# A bin with more rows than this on one side is cut into slices of about this size.
-ROWS_PER_SLICE = 20_000
-# Only the heaviest bins are sliced. Any other bin holds at most 1/MAX_HOT_BINS of
-# all rows, since at least MAX_HOT_BINS bins are no lighter than it. The limit
-# bounds the broadcast table; it never changes which pairs come out.
+# A bin whose two sides make more pairs than this many rows squared is cut into
+# slices of about this many rows of each side.
+ROWS_PER_SLICE = 4_000
+# Only the heaviest bins are sliced. Any other bin makes at most 1/MAX_HOT_BINS of
+# all pairs, since at least MAX_HOT_BINS bins make no fewer. The limit bounds the
+# broadcast table; it never changes which pairs come out.
 MAX_HOT_BINS = 10_000
+# Join tasks are sized by the pairs they test, not by the bytes they read.
+PAIRS_PER_TASK = 1_000_000
+MAX_TASKS = 20_000
 
 
 def _unit_vector(lat: str, lon: str, prefix: str) -> list[Column]:
@@ -39,30 +43,37 @@ def _within(radius_m: float, distance: Column) -> Column:
     return (chord2 <= clear) | ((chord2 <= beyond) & (distance <= radius_m))
 
 
-def _hot_bins(left: DataFrame, right: DataFrame, rows_per_slice: int) -> list[tuple[int, int, int]]:
-    """(bin, slices of the left side, slices of the right side) of the heaviest bins.
+def _bin_loads(
+    left: DataFrame, right: DataFrame, rows_per_slice: int
+) -> tuple[int, list[tuple[int, int, int]]]:
+    """Number of join tasks, and (bin, left slices, right slices) of the heaviest bins.
 
     A first job over the bin keys only. It returns at most MAX_HOT_BINS small
     rows, and usually none: then the join needs no slices at all.
     """
     zero = F.lit(0).cast("long")
     one = F.lit(1).cast("long")
+    work = Observation()
+    pairs = F.col("nl").cast("double") * F.col("nr")
     load = (
         left.select("_bin", one.alias("nl"), zero.alias("nr"))
         .unionByName(right.select("_bin", zero.alias("nl"), one.alias("nr")))
         .groupBy("_bin")
         .agg(F.sum("nl").alias("nl"), F.sum("nr").alias("nr"))
+        .withColumn("_pairs", pairs)
+        .observe(work, F.sum("_pairs").alias("pairs"))
     )
     heaviest = (
-        load.filter((F.col("nl") > rows_per_slice) | (F.col("nr") > rows_per_slice))
-        .filter((F.col("nl") > 0) & (F.col("nr") > 0))
-        .orderBy(F.desc(F.greatest("nl", "nr")), "_bin")
+        load.filter(F.col("_pairs") > float(rows_per_slice) ** 2)
+        .orderBy(F.desc("_pairs"), "_bin")
         .limit(MAX_HOT_BINS)
+        .collect()
     )
-    return [
-        (r["_bin"], -(-r["nl"] // rows_per_slice), -(-r["nr"] // rows_per_slice))
-        for r in heaviest.collect()
+    tasks = math.ceil((work.get.get("pairs") or 0.0) / PAIRS_PER_TASK)
+    hot = [
+        (r["_bin"], -(-r["nl"] // rows_per_slice), -(-r["nr"] // rows_per_slice)) for r in heaviest
     ]
+    return min(max(tasks, 1), MAX_TASKS), hot
 
 
 def _sliced(df: DataFrame, hot: DataFrame, own: str, other: str, payload: list[str]) -> DataFrame:
@@ -81,11 +92,11 @@ def _sliced(df: DataFrame, hot: DataFrame, own: str, other: str, payload: list[s
 def _bin_join(left: DataFrame, right: DataFrame, condition: Column, rows_per_slice: int) -> DataFrame:
     """Join on ``_bin`` and ``condition``; hot bins are cut on both sides.
 
-    Each pair of rows meets in exactly one slice, and no slice holds more than
+    Each pair of rows meets in exactly one slice, and a slice of a hot bin holds
     about ``rows_per_slice`` rows of either side. Other column names differ.
     """
     keys = ["_bin"]
-    hot_rows = _hot_bins(left, right, rows_per_slice)
+    tasks, hot_rows = _bin_loads(left, right, rows_per_slice)
     if hot_rows:
         hot = left.sparkSession.createDataFrame(hot_rows, "_bin long, _cut_l int, _cut_r int")
         payload_l = [c for c in left.columns if c != "_bin"]
@@ -93,6 +104,9 @@ def _bin_join(left: DataFrame, right: DataFrame, condition: Column, rows_per_sli
         left = _sliced(left, hot, "l", "r", payload_l)
         right = _sliced(right, hot, "r", "l", payload_r)
         keys += ["_slice_l", "_slice_r"]
+    if tasks > 1:
+        # A fixed number of partitions: AQE would merge small ones, however many pairs they make.
+        left, right = left.repartition(tasks, *keys), right.repartition(tasks, *keys)
     a, b = left.alias("a"), right.alias("b")
     same = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys]
     own = [F.col(f"a.{c}") for c in left.columns if c not in keys]
