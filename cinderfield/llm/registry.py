@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinderfield.llm import bpe_codec, token_counts
+from cinderfield.llm import bpe_codec, language_id, token_counts, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -28,6 +28,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@register
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every text, learned from the rows that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = language_id.in_remainder("doc_id", 4, 2)
+    identify = language_id.identifier(docs, language_id.fit(docs.where(~held_out)))
+    found = docs.select("doc_id", held_out.alias("held_out"), identify("text").alias("found"))
+    return found.select("doc_id", "held_out", F.col("found.lang").alias("lang_pred"), "found.score")
+
+
 @register
 def op2_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text and the bytes they decode to, as digests."""
@@ -40,3 +50,36 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every text, and whether they exceed a context of 512."""
     counted = token_counts.count_tokens(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json")
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
+URL_RULES = (
+    url_filter.Rule("com", "/", "allow"),
+    url_filter.Rule("example.com", "/en/", "block"),
+    url_filter.Rule("www.example.com", "/en/", "allow"),
+    url_filter.Rule("net", "/es/", "block"),
+    url_filter.Rule("net", "/fr/", "block"),
+)
+BLOCKED_HOSTS = ("spam-farm.example.org", "cheap-pills.example.com")
+
+
+@register
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's URL."""
+    return url_filter.judge_urls(table(spark, sf_dir, "pages"), URL_RULES, BLOCKED_HOSTS)
+
+
+_RULE_ROWS = ", ".join(f"('{r.host}', '{r.path}', '{r.verdict}')" for r in URL_RULES)
+_HOST_ROWS = ", ".join(f"('{h}')" for h in BLOCKED_HOSTS)
+ORACLES["op10_url_filter"] = f"""
+with parts as (select page_id, url, row_number() over () as n,
+    translate(coalesce(regexp_extract(url, '{url_filter.SPLIT}', 1), ''), '{url_filter.UPPER}', '{url_filter.LOWER}') as host,
+    coalesce(regexp_extract(url, '{url_filter.SPLIT}', 2), '') as path from pages),
+rules(rule_host, rule_path, rule_verdict) as (values {_RULE_ROWS}),
+blocked(name) as (values {_HOST_ROWS}),
+fits as (select n, rule_host || rule_path as rule, rule_verdict,
+    row_number() over (partition by n order by length(rule_host || rule_path) desc, length(rule_host) desc) as place
+  from parts join rules on (host = rule_host or ends_with(host, '.' || rule_host)) and starts_with(path, rule_path))
+select p.page_id, p.host, p.path, f.rule,
+  coalesce(f.rule_verdict, case when exists (select 1 from blocked b where p.host = b.name or ends_with(p.host, '.' || b.name))
+    then 'block' else 'allow' end) as verdict
+from parts p left join fits f on f.n = p.n and f.place = 1"""
