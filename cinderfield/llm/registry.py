@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinderfield.llm import bpe_codec, language_id, token_counts, url_filter
+from cinderfield.llm import bpe_codec, decontamination, language_id, quality_rules, token_counts, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -83,3 +83,105 @@ select p.page_id, p.host, p.path, f.rule,
   coalesce(f.rule_verdict, case when exists (select 1 from blocked b where p.host = b.name or ends_with(p.host, '.' || b.name))
     then 'block' else 'allow' end) as verdict
 from parts p left join fits f on f.n = p.n and f.place = 1"""
+
+
+@register
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and verdict of every text."""
+    judged = quality_rules.check(table(spark, sf_dir, "documents"))
+    return judged.drop("char_distance", "word_distance")
+
+
+_LIMITS = quality_rules.Limits()
+_CLASS_COUNTS = ", ".join(f"length(chars) - length(regexp_replace(chars, '{p}', '', 'g')) as {n}" for n, p in quality_rules.CLASSES.items())
+_CLASS_NAMES = [*quality_rules.CLASSES, "rest"]
+
+
+def _divergence(p: str, q: str) -> str:
+    return (
+        f"(case when {p} > 0 then {p} * log2({p} / (({p} + {q}) / 2)) / 2 else 0 end"
+        f" + case when {q} > 0 then {q} * log2({q} / (({p} + {q}) / 2)) / 2 else 0 end)"
+    )
+
+
+ORACLES["op7_quality_rules"] = f"""
+with docs as (select row_number() over () as r, doc_id, lang, coalesce(text, '') as text from documents),
+split_docs as (select *, list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda w: w <> '') as words,
+  list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) as lines from docs),
+base as (select *, len(words) as n_words, array_to_string(words, '') as chars from split_docs),
+counted as (select r, doc_id, lang, n_words, length(chars) as word_chars,
+  length(chars) - length(regexp_replace(chars, '[#*$%&|<>]', '', 'g')) as n_symbols,
+  len(lines) - len(list_distinct(lines)) as n_dup_lines, {_CLASS_COUNTS} from base),
+classed as (select *, word_chars - {' - '.join(quality_rules.CLASSES)} as rest from counted),
+spots as (select r, lang, unnest(words) as word, unnest(range(len(words))) as i from base),
+wins as (select r, i, [word, lead(word, 1) over w, lead(word, 2) over w, lead(word, 3) over w, lead(word, 4) over w] as win
+  from spots window w as (partition by r order by i)),
+twice as (select r, i from (select r, i, count(*) over (partition by r, win) as n from wins where win[5] is not null) where n > 1),
+covered as (select r, count(distinct i + k) as n_repeat_words from twice, range(5) t(k) group by r),
+lang_sums as (select lang, sum(n_words) as n_words, sum(word_chars) as word_chars, {', '.join(f'sum({n}) as {n}' for n in _CLASS_NAMES)}
+  from classed where lang is not null group by lang),
+lang_words as (select lang, word, count(*) as n from spots where lang is not null group by lang, word),
+common as (select * from (select *, row_number() over (partition by lang order by n desc, word) as place from lang_words)
+  where place <= {quality_rules.COMMON_WORDS}),
+ref_words as (select c.lang, c.place, c.word, c.n / s.n_words as q from common c join lang_sums s using (lang)
+  union all select s.lang, {quality_rules.COMMON_WORDS + 1}, null, (s.n_words - sum(c.n)) / s.n_words
+  from lang_sums s join common c using (lang) group by s.lang, s.n_words),
+doc_words as (select s.r, c.place, count(*) as n from spots s join common c on c.lang = s.lang and c.word = s.word group by s.r, c.place),
+doc_other as (select c.r, c.n_words - coalesce(sum(d.n), 0) as n from classed c left join doc_words d using (r) group by c.r, c.n_words),
+word_terms as (select c.r, w.q as q, coalesce(case when w.place <= {quality_rules.COMMON_WORDS} then d.n else o.n end, 0) / c.n_words as p
+  from classed c join ref_words w on w.lang = c.lang join doc_other o on o.r = c.r
+  left join doc_words d on d.r = c.r and d.place = w.place where c.n_words > 0),
+word_distances as (select r, sqrt(greatest(0, sum({_divergence('p', 'q')}))) as word_distance from word_terms group by r),
+char_terms as (select c.r, unnest([{', '.join(f'c.{n} / c.word_chars' for n in _CLASS_NAMES)}]) as p,
+  unnest([{', '.join(f's.{n} / s.word_chars' for n in _CLASS_NAMES)}]) as q
+  from classed c join lang_sums s on s.lang = c.lang where c.n_words > 0),
+char_distances as (select r, sqrt(greatest(0, sum({_divergence('p', 'q')}))) as char_distance from char_terms group by r),
+judged as (select c.*, coalesce(v.n_repeat_words, 0) as n_repeat_words,
+  c.n_words < 10 or 100 * coalesce(v.n_repeat_words, 0) > 20 * c.n_words as base_failed,
+  coalesce(c.n_words >= {_LIMITS.min_words} and (
+    char_distance > {_LIMITS.char_base}::double + {_LIMITS.char_slack}::double / sqrt(c.n_words)
+    or word_distance > {_LIMITS.word_base}::double + {_LIMITS.word_slack}::double / sqrt(c.n_words)), false) as odd
+  from classed c left join covered v using (r) left join char_distances using (r) left join word_distances using (r))
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and not odd as kept from judged"""
+
+
+@register
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark words and items found in every document."""
+    found = decontamination.annotate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        F.col("row.doc_id").alias("doc_id"),
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+def _item_words(text: str) -> str:
+    lowered = f"translate(coalesce({text}, ''), '{quality_rules.W.UPPER}', '{quality_rules.W.LOWER}')"
+    return f"list_filter(string_split_regex({lowered}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda w: w <> '')"
+
+
+def contamination_sql(documents: str) -> str:
+    """Common table expressions that end in ``found``: hits of every row r of ``documents``."""
+    return f"""
+docs8 as (select row_number() over () as r, d.*, {_item_words('d.text')} as words8 from {documents} d),
+items8 as (select item_id::varchar as item, {_item_words('text')} as words8 from benchmark where item_id is not null),
+windows8 as (select distinct item, least(13, len(words8)) as n, array_to_string(words8[i + 1 : i + least(13, len(words8))], ' ') as win
+  from (select *, unnest(range(greatest(0, len(words8) - least(13, len(words8)) + 1))) as i from items8 where len(words8) > 0)),
+sizes8 as (select distinct n from windows8),
+spots8 as (select r, s.n, unnest(range(len(words8) - s.n + 1)) as i, words8 from docs8 join sizes8 s on len(words8) >= s.n),
+texts8 as (select r, n, i, array_to_string(words8[i + 1 : i + n], ' ') as win from spots8),
+hits8 as (select t.r, t.i, t.n, w.item from texts8 t join windows8 w on w.n = t.n and w.win = t.win),
+covered8 as (select r, count(distinct at) as n_hit from (select r, unnest(range(i, i + n)) as at from hits8) group by r),
+named8 as (select r, count(distinct item) as n_items, string_agg(distinct item, ',' order by item) as items from hits8 group by r),
+found as (select d.*, len(words8) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+  sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(words8) as contaminated
+  from docs8 d left join covered8 using (r) left join named8 using (r))"""
+
+
+ORACLES["op8_decontamination"] = (
+    f"with {contamination_sql('documents')} select doc_id, n_words, n_hit, n_items, items_sha256, contaminated from found"
+)
