@@ -175,7 +175,7 @@ sizes8 as (select distinct n from windows8),
 spots8 as (select r, s.n, unnest(range(len(words8) - s.n + 1)) as i, words8 from docs8 join sizes8 s on len(words8) >= s.n),
 texts8 as (select r, n, i, array_to_string(words8[i + 1 : i + n], ' ') as win from spots8),
 hits8 as (select t.r, t.i, t.n, w.item from texts8 t join windows8 w on w.n = t.n and w.win = t.win),
-covered8 as (select r, count(distinct at) as n_hit from (select r, unnest(range(i, i + n)) as at from hits8) group by r),
+covered8 as (select r, count(distinct spot) as n_hit from (select r, unnest(range(i, i + n)) as spot from hits8) group by r),
 named8 as (select r, count(distinct item) as n_items, string_agg(distinct item, ',' order by item) as items from hits8 group by r),
 found as (select d.*, len(words8) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
   sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(words8) as contaminated
