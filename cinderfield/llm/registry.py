@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinderfield.llm import bpe_codec, decontamination, language_id, quality_rules, token_counts, url_filter
+from cinderfield.llm import bpe_codec, decontamination, language_id, quality_fm, quality_rules, token_counts, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -52,6 +52,16 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+@register
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every text, learned from labels that are not held out."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = language_id.in_remainder("doc_id", 3, 1)
+    score = quality_fm.scorer(docs, quality_fm.fit(docs, labels.where(~held_out)))
+    scored = docs.select("doc_id", held_out.alias("held_out"), score(F.col("text"), F.col("n_chars")).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 URL_RULES = (
     url_filter.Rule("com", "/", "allow"),
     url_filter.Rule("example.com", "/en/", "block"),
