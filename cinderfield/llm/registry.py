@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinderfield.llm import bpe_codec, decontamination, language_id, quality_fm, quality_rules, token_counts, url_filter
+from cinderfield.llm import bpe_codec, decontamination, language_id, line_dedup, minhash, quality_fm, quality_rules, token_counts, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -45,6 +45,19 @@ def op2_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.digests(table(spark, sf_dir, "documents"), ranks)
 
 
+@register
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text without the lines that spread over many sources."""
+    cut = line_dedup.remove_lines(table(spark, sf_dir, "documents"))
+    return cut.select(F.col("row.doc_id").alias("doc_id"), "n_lines", "n_removed", "text")
+
+
+@register
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of every document, on 4-word shingles."""
+    return minhash.link(table(spark, sf_dir, "documents"), shingle_words=4)
+
+
 @register
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every text, and whether they exceed a context of 512."""
@@ -195,3 +208,25 @@ found as (select d.*, len(words8) as n_words, coalesce(n_hit, 0) as n_hit, coale
 ORACLES["op8_decontamination"] = (
     f"with {contamination_sql('documents')} select doc_id, n_words, n_hit, n_items, items_sha256, contaminated from found"
 )
+
+
+def line_dedup_sql(documents: str) -> str:
+    """Common table expressions that end in ``cut``: every row r of ``documents`` with its new text."""
+    return f"""
+docs4 as (select row_number() over () as r, d.*, string_split(d.text, chr(10)) as lines4 from {documents} d),
+lines4 as (select r, coalesce(source, '') as site, unnest(lines4) as line, unnest(range(len(lines4))) as i from docs4),
+boiler4 as (select trim(line, ' ') as line from lines4 where regexp_matches(line, '[^\\x20\\x09-\\x0D]')
+  group by trim(line, ' ') having count(distinct site) >= {line_dedup.MIN_SITES}),
+kept4 as (select l.r, count(*) as n_kept, string_agg(line, chr(10) order by i) as text4 from lines4 l
+  where not exists (select 1 from boiler4 b where b.line = trim(l.line, ' ')) group by l.r),
+sized4 as (select d.*, coalesce(n_kept, 0) as n_kept, coalesce(text4, '') as text4,
+  len({_words("d.text")}) as n4, len({_words("coalesce(text4, '')")}) as left4 from docs4 d left join kept4 using (r)),
+cut as (select *, coalesce(len(lines4), 0) as n_lines, n_kept < len(lines4) and 2 * left4 >= n4 as carrier4 from sized4)"""
+
+
+def _words(text: str) -> str:
+    return f"list_filter(string_split_regex(coalesce({text}, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')"
+
+
+ORACLES["op4_line_dedup"] = f"""with {line_dedup_sql("documents")}
+select doc_id, n_lines, case when carrier4 then n_lines - n_kept else 0 end as n_removed, case when carrier4 then text4 else text end as text from cut"""
