@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinderfield.llm import bpe_codec, decontamination, language_id, line_dedup, minhash, quality_fm, quality_rules, token_counts, url_filter
+from cinderfield.llm import bpe_codec, decontamination, html_extraction, language_id, line_dedup, minhash, quality_fm, quality_rules, token_counts, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -45,6 +45,15 @@ def op2_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.digests(table(spark, sf_dir, "documents"), ranks)
 
 
+@register
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages")
+    extract = html_extraction.extractor(pages, html_extraction.fit(pages))
+    found = pages.select("page_id", "url", extract("html").alias("found"))
+    return found.select("page_id", "url", "found.text", F.length("found.text").cast("long").alias("n_chars"))
+
+
 @register
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text without the lines that spread over many sources."""
