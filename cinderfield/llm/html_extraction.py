@@ -159,7 +159,7 @@ def _logits(pages: list[np.ndarray], m: Labeller, keep: bool = False):
     return both @ m.out + m.out_bias, (x, turned, mirror, both, trace_a, trace_b)
 
 
-def train(pages: list[np.ndarray], labels: list[np.ndarray], epochs: int = 8, step: float = 0.01) -> Labeller:
+def train(pages: list[np.ndarray], labels: list[np.ndarray], epochs: int = 14, step: float = 0.01) -> Labeller:
     """Cross-entropy by back-propagation through time, Adam, a fixed seed. A label of -1 is not asked."""
     m, random = new_labeller(), np.random.default_rng(9)
     first = [np.zeros_like(p) for p in m.parameters()]

@@ -239,3 +239,18 @@ def _words(text: str) -> str:
 
 ORACLES["op4_line_dedup"] = f"""with {line_dedup_sql("documents")}
 select doc_id, n_lines, case when carrier4 then n_lines - n_kept else 0 end as n_removed, case when carrier4 then text4 else text end as text from cut"""
+
+
+ORACLES["op5_minhash"] = f"""
+with recursive docs5 as (select doc_id,
+    {_words(f"translate(coalesce(text, ''), '{quality_rules.W.UPPER}', '{quality_rules.W.LOWER}')")} as words5 from documents),
+spots5 as (select doc_id, words5, unnest(range(greatest(1, len(words5) - 3))) as i from docs5 where len(words5) > 0),
+shingles5 as (select distinct doc_id, array_to_string(words5[i + 1 : i + 4], ' ') as s from spots5),
+sizes5 as (select doc_id, count(*) as n from shingles5 group by doc_id),
+common5 as (select a.doc_id as a, b.doc_id as b, count(*) as c from shingles5 a join shingles5 b on a.s = b.s and a.doc_id <> b.doc_id
+  group by a.doc_id, b.doc_id),
+links5 as (select a, b from common5 join sizes5 x on x.doc_id = a join sizes5 y on y.doc_id = b where 100 * c >= 80 * (x.n + y.n - c)),
+reach5(a, b) as (select doc_id, doc_id from docs5 union select r.a, l.b from reach5 r join links5 l on l.a = r.b),
+roots5 as (select a as doc_id, min(b) as component_id from reach5 group by a)
+select d.doc_id, coalesce(n, 0) as n_shingles, component_id, d.doc_id = component_id as kept
+from docs5 d join roots5 r using (doc_id) left join sizes5 s using (doc_id)"""
