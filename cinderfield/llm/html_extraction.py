@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from cinderfield.llm.html_blocks import Block, read_blocks
 
-PATH_SIZE, WORD_SIZE, FACTS = 96, 32, 8
+PATH_SIZE, WORD_SIZE, FACTS = 256, 32, 8
 INPUT, HIDDEN = PATH_SIZE + WORD_SIZE + FACTS, 16
 SAMPLE_PAGES = 200
 CHARS_PER_PAGE = 60_000
@@ -159,13 +159,14 @@ def _logits(pages: list[np.ndarray], m: Labeller, keep: bool = False):
     return both @ m.out + m.out_bias, (x, turned, mirror, both, trace_a, trace_b)
 
 
-def train(pages: list[np.ndarray], labels: list[np.ndarray], epochs: int = 14, step: float = 0.01) -> Labeller:
+def train(pages: list[np.ndarray], labels: list[np.ndarray], epochs: int = 10, step: float = 0.015) -> Labeller:
     """Cross-entropy by back-propagation through time, Adam, a fixed seed. A label of -1 is not asked."""
     m, random = new_labeller(), np.random.default_rng(9)
     first = [np.zeros_like(p) for p in m.parameters()]
     second = [np.zeros_like(p) for p in m.parameters()]
     turn = 0
-    for _ in range(epochs):
+    for epoch in range(epochs):
+        rate = step * (1 - epoch / epochs)
         order = random.permutation(len(pages))
         for rows in np.array_split(order, max(1, len(pages) // 32)):
             part = [pages[r] for r in rows]
@@ -185,7 +186,7 @@ def train(pages: list[np.ndarray], labels: list[np.ndarray], epochs: int = 14, s
                 np.clip(s, -1, 1, out=s)
                 f += 0.1 * (s - f)
                 v += 0.01 * (s**2 - v)
-                p -= step * (f / (1 - 0.9**turn)) / (np.sqrt(v / (1 - 0.99**turn)) + 1e-7)
+                p -= rate * (f / (1 - 0.9**turn)) / (np.sqrt(v / (1 - 0.99**turn)) + 1e-7)
     return m
 
 
@@ -225,7 +226,7 @@ def training_pages(pages: list[list[Block]]) -> tuple[list[np.ndarray], list[np.
     rest = [b for blocks, labels in plain for b, y in zip(blocks, labels, strict=True) if y == 0]
     made = list(plain)
     if main and rest:
-        for blocks, labels in [*plain, *plain]:
+        for blocks, labels in [*plain, *plain, *plain]:
             own = [b for b, y in zip(blocks, labels, strict=True) if y == 1] or main[:3]
             wrap = MAIN_WRAPS[random.integers(len(MAIN_WRAPS))]
             base = (["html", "body"] if random.random() < 0.9 else []) + ([wrap] if wrap else [])
@@ -234,7 +235,9 @@ def training_pages(pages: list[list[Block]]) -> tuple[list[np.ndarray], list[np.
                 last = b.path[-1].split()[0] if b.path else "p"
                 tail = (last,) if last in KEPT_TAGS and random.random() < 0.6 else MAIN_TAILS[random.integers(len(MAIN_TAILS))]
                 inner.append((*base, *tail))
-            inside = [(Block(b.text, path, b.linked), 1) for b, path in zip(own, inner, strict=True)]
+            # Headings and list items are short: the path has to tell them from menus.
+            texts = [b.text if random.random() < 0.7 else " ".join(b.text.split()[: random.integers(1, 7)]) for b in own]
+            inside = [(Block(text, path, 0), 1) for text, path in zip(texts, inner, strict=True)]
             for _ in range(random.integers(2, 7)):
                 around = ASIDE_WRAPS[random.integers(len(ASIDE_WRAPS))]
                 source = rest if random.random() < 0.6 else main  # comments and notices read like main text
