@@ -118,7 +118,8 @@ def distance(counts: Column, total: Column, shares: Column) -> Column:
     terms = F.zip_with(
         counts, shares, lambda n, q: _half(n / total, (n / total + q) / 2) + _half(q, (n / total + q) / 2)
     )
-    return F.sqrt(F.greatest(F.lit(0.0), F.aggregate(terms, F.lit(0.0), lambda a, t: a + t)))
+    total_divergence = F.aggregate(terms, F.lit(0.0), lambda a, t: a + t)
+    return F.when(shares.isNotNull(), F.sqrt(F.greatest(F.lit(0.0), total_divergence)))
 
 
 def _half(p: Column, middle: Column) -> Column:
