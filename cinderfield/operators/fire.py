@@ -9,7 +9,7 @@ from cinderfield.contract import FIRE_HISTORY, NO_FIRE_DAYS, TARGET, LabelSettin
 from cinderfield.functions.scalars import DAY_US, as_timestamp, clamp, epoch_us
 from cinderfield.functions.text import confidence_level
 from cinderfield.scratch import settle
-from cinderfield.operators.spatial import HEAVY_BLOCK_ROWS, ROWS_PER_SLICE, radius_fold
+from cinderfield.operators.spatial import ROWS_PER_SLICE, radius_fold
 
 DENSITY, DAYS_SINCE = FIRE_HISTORY
 
@@ -48,7 +48,6 @@ def fire_history(
     places: DataFrame | None = None,
     rows_per_slice: int = ROWS_PER_SLICE,
     exact_times: bool = False,
-    heavy_rows: int = HEAVY_BLOCK_ROWS,
 ) -> DataFrame:
     """Label, one-year count and days since the last fire per distinct (lat, lon, obs_date).
 
@@ -65,7 +64,7 @@ def fire_history(
     by its distinct detection times instead of by the calendar.
 
     The radius join runs once per place, not once per date; its pairs fold before
-    they move, and crowded blocks of detections fold before they are paired. Then detections and observation dates of a place are
+    they move, and detections fold by small blocks before they are paired. Then detections and observation dates of a place are
     merged in time order and each window is a difference of two running sums.
     The result is partitioned by (lat, lon).
     """
@@ -89,11 +88,11 @@ def fire_history(
         .groupBy("latitude", "longitude", "_t")
         .agg(F.count(F.lit(1)).alias("_n"), F.max("_at").alias("_at"))
     )
-    # Both are read by the statistics jobs and by the join: written once, so the
-    # input tables themselves are scanned once.
+    # Both are read several times by the join: written once, so the input tables
+    # themselves are scanned once.
     spots, fires = settle(spots, "places"), settle(fires, "fires")
     near = radius_fold(
-        spots, fires, s.radius_m, ("_plat", "_plon"), rows_per_slice=rows_per_slice, heavy_rows=heavy_rows
+        spots, fires, s.radius_m, ("_plat", "_plon"), rows_per_slice=rows_per_slice
     )
     timeline = near.select(
         F.col("_plat").alias("lat"),

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cinderfield.contract import LAND_COVER, LAND_COVER_CODES
@@ -141,24 +142,25 @@ def is_unmapped(code: Column) -> Column:
 
 
 def mosaic(pixels: DataFrame, tiles: DataFrame, values: list[str]) -> DataFrame:
-    """Several tiles on one grid; where valid pixels overlap the first tile wins.
+    """Several tiles on one grid; per value, the first tile with a valid pixel wins.
 
-    ``tiles`` gives ``tile_id, tile_seq, row_off, col_off``, one row per tile.
-    The filter on the row number is applied before the shuffle as well, so
-    copies of one pixel do not pile up in one task.
+    ``tiles`` gives ``tile_id, tile_seq, row_off, col_off``, one row per tile. Each
+    value is merged alone, so a tile without one band still gives its other bands;
+    a pixel valid in no band of any tile is left out. The minimum per value is taken
+    before the shuffle as well, so copies of one pixel do not pile up in one task.
     """
     placed = (
         pixels.join(tiles, "tile_id")
         .withColumn("row_ix", (F.col("row_ix") + F.col("row_off")).cast("int"))
         .withColumn("col_ix", (F.col("col_ix") + F.col("col_off")).cast("int"))
-        .filter(" and ".join(f"{v} is not null" for v in values))
-    )
-    first = Window.partitionBy("row_ix", "col_ix").orderBy("tile_seq")
-    return (
-        placed.withColumn("_rank", F.row_number().over(first))
-        .filter(F.col("_rank") == 1)
-        .select("row_ix", "col_ix", *values)
+        .filter(reduce(lambda a, b: a | b, [F.col(f"`{v}`").isNotNull() for v in values]))
     )
+    first = [
+        F.min(F.when(F.col(f"`{v}`").isNotNull(), F.struct("tile_seq", F.col(f"`{v}`").alias("v")))).alias(f"_{i}")
+        for i, v in enumerate(values)
+    ]
+    merged = placed.groupBy("row_ix", "col_ix").agg(*first)
+    return merged.select("row_ix", "col_ix", *[F.col(f"_{i}.v").alias(v) for i, v in enumerate(values)])
 
 
 def crop(

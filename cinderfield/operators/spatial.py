@@ -4,22 +4,16 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cinderfield.contract import EARTH_RADIUS_M
 from cinderfield.functions.geo import RadiusBins, checked_coordinate, haversine_m
+from cinderfield.scratch import settle
 
 # A bin whose two sides make more pairs than this many rows squared is cut into
 # slices of about this many rows of each side.
 ROWS_PER_SLICE = 4_000
-# Only the heaviest bins are sliced. Any other bin makes at most 1/MAX_HOT_BINS of
-# all pairs, since at least MAX_HOT_BINS bins make no fewer. The limit bounds the
-# broadcast table; it never changes which pairs come out.
-MAX_HOT_BINS = 10_000
-# Join tasks are sized by the pairs they test, not by the bytes they read.
-PAIRS_PER_TASK = 1_000_000
-MAX_TASKS = 20_000
 
 
 def _unit_vector(lat: str, lon: str, prefix: str) -> list[Column]:
@@ -43,70 +37,48 @@ def _within(radius_m: float, distance: Column) -> Column:
     return (chord2 <= clear) | ((chord2 <= beyond) & (distance <= radius_m))
 
 
-def _bin_loads(
-    left: DataFrame, right: DataFrame, rows_per_slice: int
-) -> tuple[int, list[tuple[int, int, int]]]:
-    """Number of join tasks, and (bin, left slices, right slices) of the heaviest bins.
+def _bin_loads(left: DataFrame, right: DataFrame, rows_per_slice: int) -> DataFrame:
+    """Per bin that both sides reach: the slices its left and right rows are cut into.
 
-    A first job over the bin keys only. It returns at most MAX_HOT_BINS small
-    rows, and usually none: then the join needs no slices at all.
+    A distributed table, one row per bin. A bin with few pairs has one slice; no
+    slice makes more than about ``rows_per_slice`` squared pairs, however the rows
+    are split between the sides.
     """
-    zero = F.lit(0).cast("long")
-    one = F.lit(1).cast("long")
-    work = Observation()
-    pairs = F.col("nl").cast("double") * F.col("nr")
-    load = (
-        left.select("_bin", one.alias("nl"), zero.alias("nr"))
-        .unionByName(right.select("_bin", zero.alias("nl"), one.alias("nr")))
-        .groupBy("_bin")
-        .agg(F.sum("nl").alias("nl"), F.sum("nr").alias("nr"))
-        .withColumn("_pairs", pairs)
-        .observe(work, F.sum("_pairs").alias("pairs"))
-    )
-    heaviest = (
-        load.filter(F.col("_pairs") > float(rows_per_slice) ** 2)
-        .orderBy(F.desc("_pairs"), "_bin")
-        .limit(MAX_HOT_BINS)
-        .collect()
-    )
-    tasks = math.ceil((work.get.get("pairs") or 0.0) / PAIRS_PER_TASK)
-    hot = [
-        (r["_bin"], -(-r["nl"] // rows_per_slice), -(-r["nr"] // rows_per_slice)) for r in heaviest
-    ]
-    return min(max(tasks, 1), MAX_TASKS), hot
+    nl = left.groupBy("_bin").agg(F.count(F.lit(1)).alias("_nl"))
+    nr = right.groupBy("_bin").agg(F.count(F.lit(1)).alias("_nr"))
+    most = float(rows_per_slice)
+    heavy = F.col("_nl").cast("double") * F.col("_nr") > most * most
 
+    def cuts(rows: str) -> Column:
+        return F.when(heavy, F.ceil(F.col(rows) / most)).otherwise(1).cast("int")
 
-def _sliced(df: DataFrame, hot: DataFrame, own: str, other: str, payload: list[str]) -> DataFrame:
-    """Give each row of a hot bin one slice on its own side and a copy per slice of the other."""
-    n_own = F.coalesce(F.col(f"_cut_{own}"), F.lit(1))
-    n_other = F.coalesce(F.col(f"_cut_{other}"), F.lit(1))
-    mine = F.pmod(F.xxhash64(*payload), n_own).cast("int")
+    return nl.join(nr, "_bin").select("_bin", cuts("_nl").alias("_cut_l"), cuts("_nr").alias("_cut_r"))
+
+
+def _sliced(df: DataFrame, loads: DataFrame, own: str, other: str) -> DataFrame:
+    """Give each row one slice on its own side and a copy per slice of the other."""
+    payload = [c for c in df.columns if c != "_bin"]
     return (
-        df.join(F.broadcast(hot), "_bin", "left")
-        .withColumn(f"_slice_{own}", mine)
-        .withColumn(f"_slice_{other}", F.explode(F.sequence(F.lit(0), n_other - 1)))
+        df.join(loads, "_bin")
+        .withColumn(f"_slice_{own}", F.pmod(F.xxhash64(*payload), F.col(f"_cut_{own}")).cast("int"))
+        .withColumn(f"_slice_{other}", F.explode(F.sequence(F.lit(0), F.col(f"_cut_{other}") - 1)))
         .drop("_cut_l", "_cut_r")
     )
 
 
 def _bin_join(left: DataFrame, right: DataFrame, condition: Column, rows_per_slice: int) -> DataFrame:
-    """Join on ``_bin`` and ``condition``; hot bins are cut on both sides.
+    """Join on ``_bin`` and ``condition``; heavy bins are cut on both sides.
 
-    Each pair of rows meets in exactly one slice, and a slice of a hot bin holds
-    about ``rows_per_slice`` rows of either side. Other column names differ.
+    Each pair of rows meets in exactly one slice. Slices are dealt over the
+    session's shuffle partitions, at least its parallelism: AQE would merge small
+    ones, however many pairs they make. Other column names differ.
     """
-    keys = ["_bin"]
-    tasks, hot_rows = _bin_loads(left, right, rows_per_slice)
-    if hot_rows:
-        hot = left.sparkSession.createDataFrame(hot_rows, "_bin long, _cut_l int, _cut_r int")
-        payload_l = [c for c in left.columns if c != "_bin"]
-        payload_r = [c for c in right.columns if c != "_bin"]
-        left = _sliced(left, hot, "l", "r", payload_l)
-        right = _sliced(right, hot, "r", "l", payload_r)
-        keys += ["_slice_l", "_slice_r"]
-    if tasks > 1:
-        # A fixed number of partitions: AQE would merge small ones, however many pairs they make.
-        left, right = left.repartition(tasks, *keys), right.repartition(tasks, *keys)
+    spark = left.sparkSession
+    keys = ["_bin", "_slice_l", "_slice_r"]
+    loads = _bin_loads(left, right, rows_per_slice)
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    left = _sliced(left, loads, "l", "r").repartition(tasks, *keys)
+    right = _sliced(right, loads, "r", "l").repartition(tasks, *keys)
     a, b = left.alias("a"), right.alias("b")
     same = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys]
     own = [F.col(f"a.{c}") for c in left.columns if c not in keys]
@@ -146,9 +118,8 @@ def radius_pairs(
     return pairs.select(*out, distance.alias("distance_m")) if with_distance else pairs.select(*out)
 
 
-# Points of a heavy block are folded when the whole block lies inside a circle.
+# Points are folded by blocks this many to a radius.
 BLOCKS_PER_RADIUS = 8
-HEAVY_BLOCK_ROWS = 2_000
 
 
 def radius_fold(
@@ -158,77 +129,27 @@ def radius_fold(
     place_cols: tuple[str, str],
     point_cols: tuple[str, str] = ("latitude", "longitude"),
     rows_per_slice: int = ROWS_PER_SLICE,
-    heavy_rows: int = HEAVY_BLOCK_ROWS,
 ) -> DataFrame:
     """Per place and ``_t``: ``_n`` summed and ``_at`` at its largest over the points within the radius.
 
-    ``points`` carries ``_t, _n, _at``. In general this is the radius join and an
-    aggregation with map-side combine. Where very many points crowd into one small
-    block (an eighth of the radius), pairing each with each place is avoided: a
-    place takes the block's sums per ``_t`` when the block lies wholly inside its
-    circle, skips the block when it lies wholly outside, and looks at single
-    points only of blocks its circle cuts. Which blocks count as heavy decides
-    the work, never the result.
+    ``points`` carries ``_t, _n, _at``. Pairing every point with every place is
+    avoided: points fold by small blocks (an eighth of the radius), a place takes a
+    block's sums per ``_t`` when the block lies wholly inside its circle, skips the
+    block when it lies wholly outside, and looks at single points only of blocks
+    its circle cuts. Every block goes this way, crowded or not.
     """
     plat, plon = point_cols
     blocks = RadiusBins(radius_m / BLOCKS_PER_RADIUS)
-    points = points.select(plat, plon, "_t", "_n", "_at")
-    by_block = _checked(points, point_cols, "point table").withColumn("_block", blocks.home(plat, plon))
-    heavy = _heavy_blocks(by_block, blocks, point_cols, radius_m / 2.0, heavy_rows)
-    found = []
-    if heavy is None:
-        found.append(radius_pairs(places, points, radius_m, place_cols, point_cols, rows_per_slice))
-    else:
-        mark = F.broadcast(heavy.select("_block"))
-        light = by_block.join(mark, "_block", "left_anti").drop("_block")
-        crowded = by_block.join(mark, "_block", "left_semi")
-        found.append(radius_pairs(places, light, radius_m, place_cols, point_cols, rows_per_slice))
-        found.append(_fold_blocks(places, crowded, heavy, radius_m, place_cols, point_cols, rows_per_slice))
-    out = found[0].select(*place_cols, "_t", "_n", "_at")
-    for more in found[1:]:
-        out = out.unionByName(more.select(*place_cols, "_t", "_n", "_at"))
-    return out.groupBy(*place_cols, "_t").agg(F.sum("_n").alias("_n"), F.max("_at").alias("_at"))
-
-
-def _heavy_blocks(
-    by_block: DataFrame,
-    blocks: RadiusBins,
-    point_cols: tuple[str, str],
-    largest_extent_m: float,
-    heavy_rows: int,
-) -> DataFrame | None:
-    """Heaviest blocks with centre and extent, at most MAX_HOT_BINS rows; None when there is none."""
     mid_lat, mid_lon = blocks.centre(*point_cols)
-    placed = by_block.select("_block", *point_cols, mid_lat.alias("_mlat"), mid_lon.alias("_mlon"))
-    extent = haversine_m("_mlat", "_mlon", *point_cols)
-    rows = (
-        placed.groupBy("_block", "_mlat", "_mlon")
-        .agg(F.count(F.lit(1)).alias("_rows"), F.max(extent).alias("_extent"))
-        .filter((F.col("_rows") > heavy_rows) & (F.col("_extent") <= largest_extent_m))
-        .orderBy(F.desc("_rows"), "_block")
-        .limit(MAX_HOT_BINS)
-        .select("_block", "_mlat", "_mlon", "_extent")
-        .collect()
+    placed = _checked(points.select(plat, plon, "_t", "_n", "_at"), point_cols, "point table").select(
+        "*", blocks.home(plat, plon).alias("_block"), mid_lat.alias("_mlat"), mid_lon.alias("_mlon")
     )
-    if not rows:
-        return None
-    return by_block.sparkSession.createDataFrame(
-        rows, "_block long, _mlat double, _mlon double, _extent double"
+    extents = placed.groupBy("_block", "_mlat", "_mlon").agg(
+        F.max(haversine_m("_mlat", "_mlon", *point_cols)).alias("_extent")
     )
-
-
-def _fold_blocks(
-    places: DataFrame,
-    crowded: DataFrame,
-    heavy: DataFrame,
-    radius_m: float,
-    place_cols: tuple[str, str],
-    point_cols: tuple[str, str],
-    rows_per_slice: int,
-) -> DataFrame:
-    """Places against heavy blocks: whole blocks inside the circle, single points of cut blocks."""
+    # A block reaches at most half a radius from its middle, also at the poles.
     near = radius_pairs(
-        places, heavy, radius_m * 1.5 + 1.0, place_cols, ("_mlat", "_mlon"), rows_per_slice, with_distance=True
+        places, extents, radius_m * 1.5 + 1.0, place_cols, ("_mlat", "_mlon"), rows_per_slice, with_distance=True
     )
     margin = radius_m * 1e-9 + 1e-6
     inside = F.col("distance_m") + F.col("_extent") <= radius_m - margin
@@ -238,16 +159,17 @@ def _fold_blocks(
         .filter((F.col("_cut") == 0) | ~outside)
         .select(*place_cols, "_cut", (F.col("_block") * 2 + F.col("_cut")).alias("_bin"))
     )
-    plat, plon = point_cols
-    whole = crowded.groupBy("_block", "_t").agg(F.sum("_n").alias("_n"), F.max("_at").alias("_at"))
+    whole = placed.groupBy("_block", "_t").agg(F.sum("_n").alias("_n"), F.max("_at").alias("_at"))
     nowhere = F.lit(0.0)
     offered = whole.select(
         (F.col("_block") * 2).alias("_bin"), nowhere.alias(plat), nowhere.alias(plon), "_t", "_n", "_at"
     ).unionByName(
-        crowded.select((F.col("_block") * 2 + 1).alias("_bin"), plat, plon, "_t", "_n", "_at")
+        placed.select((F.col("_block") * 2 + 1).alias("_bin"), plat, plon, "_t", "_n", "_at")
     )
     distance = haversine_m(*place_cols, plat, plon)
-    return _bin_join(asked, offered, (F.col("_cut") == 0) | (distance <= radius_m), rows_per_slice)
+    asked, offered = settle(asked, "asked"), settle(offered, "offered")
+    found = _bin_join(asked, offered, (F.col("_cut") == 0) | (distance <= radius_m), rows_per_slice)
+    return found.groupBy(*place_cols, "_t").agg(F.sum("_n").alias("_n"), F.max("_at").alias("_at"))
 
 
 def radius_count(
@@ -258,7 +180,6 @@ def radius_count(
     centre_cols: tuple[str, str] = ("lat", "lon"),
     point_cols: tuple[str, str] = ("latitude", "longitude"),
     rows_per_slice: int = ROWS_PER_SLICE,
-    heavy_rows: int = HEAVY_BLOCK_ROWS,
 ) -> DataFrame:
     """``centres`` plus the number of points within the radius; no point gives 0.
 
@@ -274,7 +195,7 @@ def radius_count(
         F.col(clat).cast("double").alias("_clat"), F.col(clon).cast("double").alias("_clon")
     ).distinct()
     counted = radius_fold(
-        places, folded, radius_m, ("_clat", "_clon"), point_cols, rows_per_slice, heavy_rows
+        places, folded, radius_m, ("_clat", "_clon"), point_cols, rows_per_slice
     ).select("_clat", "_clon", F.col("_n").alias(out))
     joined = centres.join(
         counted,

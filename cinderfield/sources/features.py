@@ -10,6 +10,9 @@ from cinderfield.contract import DATASET_COLUMNS, FEATURES, TARGET, SplitSetting
 from cinderfield.operators.placeholders import synthetic_dataset
 from cinderfield.operators.quality import require_columns
 
+DAY_FOLDER = "obs_day"
+ROWS_PER_FILE = 2_000_000
+
 
 def to_contract(df: DataFrame) -> DataFrame:
     """Keys, features and target in contract order, each cast to its declared type."""
@@ -24,15 +27,23 @@ def to_contract(df: DataFrame) -> DataFrame:
 
 
 def write_feature_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexists") -> None:
-    """Parquet partitioned by observation date, or CSV with header.
+    """Parquet in folders by observation day, or CSV with header.
 
-    Rows are spread by date and place, so one date is written by many tasks.
+    The folders are named by a copy of the date, so the table in the files keeps
+    its columns, order and types. Rows are dealt by day and a salt of the place: a
+    day goes to as many tasks as it fills files of ROWS_PER_FILE rows, and a task
+    writes to few folders. A first job counts rows and days for that.
     """
     table = to_contract(df)
     if fmt == "csv":
         table.write.mode(mode).option("header", True).csv(path)
-    else:
-        table.write.mode(mode).partitionBy("obs_date").parquet(path)
+        return
+    day = F.col("obs_date").cast("date")
+    size = table.agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct(day).alias("days")).first()
+    salts = 1 + size["n"] // (max(1, size["days"]) * ROWS_PER_FILE)
+    dealt = table.withColumn(DAY_FOLDER, day)
+    dealt = dealt.repartition(DAY_FOLDER, F.pmod(F.xxhash64("lat", "lon"), F.lit(salts)))
+    dealt.write.mode(mode).partitionBy(DAY_FOLDER).parquet(path)
 
 
 def load_feature_table(
@@ -44,8 +55,8 @@ def load_feature_table(
 ) -> DataFrame:
     """Feature table from files, or placeholder rows when there is no path.
 
-    A missing contract column is an error. CSV columns get their contract type
-    back, whatever text the file holds.
+    A missing contract column is an error. Contract columns come first, in contract
+    order and type, whatever the file's; further columns follow as they are.
     """
     if path is None:
         return synthetic_dataset(spark.range(n_rows), "id", settings)
@@ -56,8 +67,12 @@ def load_feature_table(
         schema = T.StructType([T.StructField(c, types.get(c, T.StringType())) for c in names])
         df = spark.read.schema(schema).option("header", True).option("comment", "#").csv(path)
     else:
-        df = spark.read.parquet(path)
-    return require_columns(df, FEATURES + [TARGET], "feature table")
+        df = spark.read.parquet(path).drop(DAY_FOLDER)
+    require_columns(df, FEATURES + [TARGET], "feature table")
+    types = {f.name: f.spark_type for f in fields()}
+    types.update(lat=T.DoubleType(), lon=T.DoubleType(), obs_date=T.TimestampNTZType())
+    ordered = [c for c in DATASET_COLUMNS if c in df.columns] + [c for c in df.columns if c not in DATASET_COLUMNS]
+    return df.select(*[F.col(f"`{c}`").cast(types[c]).alias(c) if c in types else F.col(f"`{c}`") for c in ordered])
 
 
 def write_record(record: DataFrame, path: str, mode: str = "errorifexists") -> None:

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cinderfield.functions.text import file_stem
@@ -16,11 +17,18 @@ SPLIT_FOLDERS = {"train": ["train"], "val": ["val", "valid", "test"], "test": ["
 
 
 def _exists(spark: SparkSession, pattern: str) -> bool:
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(pattern)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    found = fs.globStatus(path)
-    return found is not None and len(found) > 0
+    try:
+        spark.read.format("binaryFile").load(pattern)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
+
+
+def _plain_path(encoded: Column) -> Column:
+    """A percent-encoded file path as it is on disk; a plus sign stands for itself."""
+    return F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
 
 
 def read_shards(spark: SparkSession, root: str, split: str) -> DataFrame:
@@ -49,7 +57,7 @@ def read_image_folders(spark: SparkSession, root: str, split: str) -> DataFrame:
     labels_at = f"{root}/labels/{folder}"
     if _exists(spark, os.path.join(labels_at, "*.txt")):
         files = spark.read.text(os.path.join(labels_at, "*.txt"), wholetext=True).select(
-            file_stem(F.col("_metadata.file_path")).alias("stem"), F.col("value").alias("content")
+            file_stem(_plain_path(F.col("_metadata.file_path"))).alias("stem"), F.col("value").alias("content")
         )
     else:
         files = spark.createDataFrame([], "stem string, content string")

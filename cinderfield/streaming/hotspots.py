@@ -4,30 +4,37 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from cinderfield.operators.archive import HOTSPOT_KEY
-from cinderfield.sources.hotspots import HOTSPOT_SCHEMA
+from cinderfield.sources.hotspots import HOTSPOT_SCHEMA, by_header, layout_schema
 
 
-def stream_hotspot_files(spark: SparkSession, folder: str, files_per_batch: int = 64) -> DataFrame:
-    """Stream of hotspot CSV files landing in a folder."""
-    return (
-        spark.readStream.schema(HOTSPOT_SCHEMA)
-        .option("header", True)
-        .option("comment", "#")
-        .option("maxFilesPerTrigger", files_per_batch)
-        .csv(folder)
-    )
+def stream_hotspot_files(
+    spark: SparkSession, folder: str, layout: str, files_per_batch: int = 64, extra: T.StructType | None = None
+) -> DataFrame:
+    """Stream of hotspot CSV files of one layout landing in a folder.
+
+    ``layout`` is a file with the header all files must have, for example the first
+    chunk. Columns are taken by name; a file with another header stops the stream
+    instead of filling columns by position. ``extra`` adds typed columns.
+    """
+    wanted = T.StructType(HOTSPOT_SCHEMA.fields + (extra.fields if extra else []))
+    schema = layout_schema(spark, layout, wanted)
+    files = by_header(spark.readStream).schema(schema).option("maxFilesPerTrigger", files_per_batch).csv(folder)
+    return files.select(*[f"`{f.name}`" for f in wanted.fields if f.name in schema.names])
 
 
 def dedup_stream(stream: DataFrame, overlap: str = "10 days") -> DataFrame:
     """Drop repeats of (place, detection date) that arrive within the archive overlap.
 
     State is bounded by the watermark: rows older than the newest date minus
-    ``overlap`` are late and their keys are forgotten. A nightly batch dedup of
-    the table stays the authority for anything later than that. The event time
-    must be TIMESTAMP, which the date already is in UTC.
+    ``overlap`` are late and their keys are forgotten. Which copy of a key within
+    one micro-batch survives is not defined, so columns outside the key may come
+    from any of them; a batch dedup of the table (``dedup_hotspots``, with an order)
+    is the authority for that and for anything later than the overlap. The event
+    time must be TIMESTAMP, which the date already is in UTC.
     """
     timed = stream.withColumn("acq_date", F.col("acq_date").cast("timestamp"))
     return timed.withWatermark("acq_date", overlap).dropDuplicates(HOTSPOT_KEY)

@@ -186,7 +186,15 @@ def test_mosaic_first_valid_tile_wins(spark):
     tiles = spark.createDataFrame([("a", 0, 0, 0), ("b", 1, 0, 0)], "tile_id string, tile_seq int, row_off int, col_off int")
     out = raster.mosaic(pixels, tiles, ["z"])
     assert {(r["row_ix"], r["col_ix"]): r["z"] for r in out.collect()} == {(0, 0): 1.0, (0, 1): 3.0}
-    assert out._jdf.queryExecution().executedPlan().toString().count("WindowGroupLimit") >= 1
+    assert out._jdf.queryExecution().executedPlan().toString().count("partial_min") >= 1
+
+
+def test_mosaic_merges_each_band_alone(spark):
+    rows = [("a", 0, 0, 1.0, None), ("b", 0, 0, 2.0, 3), ("a", 0, 1, None, None), ("b", 0, 2, None, 4)]
+    pixels = spark.createDataFrame(rows, "tile_id string, row_ix int, col_ix int, `z m` double, code int")
+    tiles = spark.createDataFrame([("a", 0, 0, 0), ("b", 1, 0, 0)], "tile_id string, tile_seq int, row_off int, col_off int")
+    out = raster.mosaic(pixels, tiles, ["z m", "code"])
+    assert {r["col_ix"]: (r["z m"], r["code"]) for r in out.collect()} == {0: (1.0, 3), 2: (None, 4)}
 
 
 def test_crop(spark):

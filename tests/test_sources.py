@@ -45,6 +45,35 @@ def test_hotspot_csv_matches_columns_by_name(spark, tmp_path):
     assert (row["latitude"], row["longitude"]) == (40.0, 33.0) and df.count() == 3
 
 
+def test_hotspot_folder_and_glob_match_columns_by_name(spark, tmp_path):
+    write(tmp_path / "a 1%.csv", "# note\n" + HEADER + TWO)
+    write(tmp_path / "b+ü.csv", "longitude,latitude,scan,acq_date,confidence\n33.0,40.0,0.4,2024-07-01,l\n")
+    write(tmp_path / "c.csv", "")
+    for paths in (str(tmp_path), str(tmp_path / "*.csv"), [str(tmp_path / "a 1%.csv"), str(tmp_path / "b+ü.csv")]):
+        rows = hotspot_files.read_hotspots(spark, paths).orderBy("latitude").collect()
+        assert [(r["latitude"], r["longitude"], r["confidence"]) for r in rows] == [
+            (39.5, 32.8, "n"), (39.6, 32.9, "h"), (40.0, 33.0, "l"),
+        ]
+
+
+def test_stream_takes_columns_by_name_and_refuses_other_layouts(spark, tmp_path):
+    inbox, table, state = tmp_path / "in", str(tmp_path / "table"), str(tmp_path / "state")
+    inbox.mkdir()
+    usual = "latitude,longitude,bright_ti4,scan,track,acq_date,acq_time,confidence\n"
+    first = write(inbox / "1.csv", usual + "39.5,32.8,300,0.4,0.4,2024-06-01,10,n\n39.5,32.8,300,0.4,0.4,2024-06-02,11,h\n")
+
+    def run():
+        source = stream.stream_hotspot_files(spark, str(inbox), first)
+        stream.ingest(stream.dedup_stream(source), table, state).awaitTermination()
+
+    run()
+    rows = spark.read.parquet(table).orderBy("acq_date").collect()
+    assert [(str(r["acq_date"].date()), r["confidence"]) for r in rows] == [("2024-06-01", "n"), ("2024-06-02", "h")]
+    write(inbox / "2.csv", HEADER + TWO)
+    with pytest.raises(Exception, match="2.csv"):
+        run()
+
+
 def test_missing_hotspot_column(spark, tmp_path):
     bad = write(tmp_path / "bad.csv", "latitude,longitude,acq_date\n1,2,2024-01-01\n")
     with pytest.raises(ValueError, match="confidence"):
@@ -113,7 +142,7 @@ def test_stream_ingest_is_duplicate_free_and_restartable(spark, tmp_path):
     write(inbox / "1.csv", "# note\n" + small + "39.5,32.8,2024-06-01,n\n39.6,32.9,2024-06-02,h\n")
 
     def run():
-        source = stream.stream_hotspot_files(spark, str(inbox))
+        source = stream.stream_hotspot_files(spark, str(inbox), str(inbox / "1.csv"))
         stream.ingest(stream.dedup_stream(source), table, state).awaitTermination()
         return sorted((r["latitude"], r["confidence"]) for r in spark.read.parquet(table).collect())
 
@@ -146,6 +175,15 @@ def test_image_folders(spark, tmp_path):
     assert image_files.read_image_folders(spark, root, "other").count() == 0
 
 
+def test_image_names_with_blanks_signs_and_letters(spark, tmp_path):
+    for stem in ("fire 1", "fire%2", "fire+3", "feuer ä", "fire"):
+        for folder, name, content in (("images", f"{stem}.jpg", "x"), ("labels", f"{stem}.txt", "0 0 0 1 1\n")):
+            (tmp_path / folder / "train").mkdir(parents=True, exist_ok=True)
+            write(tmp_path / folder / "train" / name, content)
+    rows = image_files.read_image_folders(spark, str(tmp_path), "train").collect()
+    assert len(rows) == 5 and all(r["label"] == 1 for r in rows)
+
+
 def test_image_catalogue(spark, tmp_path):
     root = image_root(tmp_path)
     shards = tmp_path / "shards"
@@ -201,11 +239,12 @@ def test_full_dataset(spark, tmp_path):
     assert rows["temp_c"].unique().tolist() == [20.0]
     path = str(tmp_path / "table")
     feature_tables.write_feature_table(built.table, path)
-    assert os.path.isdir(f"{path}/obs_date=2024-06-01 00%3A00%3A00") or any(
-        d.startswith("obs_date=2024-06-01") for d in os.listdir(path)
-    )
+    days = [d for d in os.listdir(path) if d.startswith("obs_day=")]
+    assert len(days) == 12 and "obs_day=2024-06-01" in days
+    assert sum(f.endswith(".parquet") for d in days for f in os.listdir(f"{path}/{d}")) == 12
     back = feature_tables.load_feature_table(spark, path)
-    assert back.count() == len(rows)
+    assert back.dtypes == table.dtypes
+    assert back.exceptAll(table).count() == 0 and back.count() == len(rows)
     feature_tables.write_feature_table(built.table, str(tmp_path / "csv"), "csv")
     loaded = feature_tables.load_feature_table(spark, str(tmp_path / "csv"), "csv")
     assert loaded.schema["elevation_m"].dataType == T.FloatType()
