@@ -122,23 +122,7 @@ def contract_frame(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(contract_rows(), CONTRACT_SCHEMA)
 
 
-@dataclass(frozen=True)
-class Region:
-    """Study area and grid spacing."""
-
-    lon_min: float = 32.7
-    lat_min: float = 39.4
-    lon_max: float = 33.0
-    lat_max: float = 39.6
-    resolution_m: float = 250.0
-
-    @property
-    def bbox(self) -> tuple[float, float, float, float]:
-        return (self.lon_min, self.lat_min, self.lon_max, self.lat_max)
-
-    @property
-    def mid_lat(self) -> float:
-        return (self.lat_min + self.lat_max) / 2.0
+# Defaults of the runs that this library reproduces.
 
 
 @dataclass(frozen=True)
@@ -153,7 +137,6 @@ class LabelSettings:
     start: str = "2024-01-01"
     end: str = "2025-12-31"
     folds: int = 5
-    archive_chunk_days: int = 5
     min_positive_rate: float = 0.002
 
 

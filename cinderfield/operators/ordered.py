@@ -65,7 +65,7 @@ def running_sums(
     )
     # Every range has its offsets. A left join says so without the null filter an inner
     # join would push below the aggregation, repeating the expression behind the key.
-    joined = cut.join(F.broadcast(offsets), match, "left")
+    joined = cut.join(offsets, match, "left")
     return joined.select(
         *df.columns,
         *[(F.sum(c).over(inside) + F.col(f"_off_{c}")).alias(f"run_{c}") for c in sums],

@@ -74,6 +74,9 @@ def share_flags(u: Column, shares: list[float]) -> list[Column]:
     return flags
 
 
+# The distributions' parameters and the clipping bounds in the two functions below.
+
+
 def _drawn(draw: KeyedDraws) -> dict[str, Column]:
     """Independent variables, read straight from the hash."""
     return {

@@ -85,18 +85,16 @@ def dataset_metadata(
 ) -> DataFrame:
     """One row: rows, distinct cells and dates, positive rate, gate outcome, provenance.
 
-    Cells and dates are counted from distinct values found in one earlier
-    aggregation, so the wide table is read once.
+    Rows and positives are plain sums; cells and dates are distinct values of their
+    own columns, reduced within each task first. No row is shuffled by its full key.
     """
-    narrow = df.groupBy("lat", "lon", "obs_date").agg(
-        F.count(F.lit(1)).alias("_n"), F.sum(F.when(F.col(y) == 1, 1).otherwise(0)).alias("_p")
-    )
-    row = narrow.agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("n_rows"),
-        F.count_distinct("lat", "lon").alias("n_grid_cells"),
-        F.count_distinct("obs_date").alias("n_obs_date_slices"),
-        F.coalesce(F.sum("_p"), F.lit(0)).alias("n_positive"),
-    )
+    positive = F.sum(F.when(F.col(y) == 1, 1).otherwise(0))
+    totals = df.agg(F.count(F.lit(1)).alias("n_rows"), F.coalesce(positive, F.lit(0)).alias("n_positive"))
+    known = df.filter(F.col("lat").isNotNull() & F.col("lon").isNotNull()).select("lat", "lon").distinct()
+    cells = known.agg(F.count(F.lit(1)).alias("n_grid_cells"))
+    dates = df.select("obs_date").distinct().agg(F.count("obs_date").alias("n_obs_date_slices"))
+    counts = totals.unionByName(cells, allowMissingColumns=True).unionByName(dates, allowMissingColumns=True)
+    row = counts.agg(*[F.max(c).alias(c) for c in counts.columns])  # three rows, each with its own columns
     rate = F.when(F.col("n_rows") == 0, F.lit(0.0)).otherwise(F.col("n_positive") / F.col("n_rows"))
     return row.select(
         F.lit(data_version).alias("data_version"),

@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 from cinderfield.contract import TARGET
 from cinderfield.functions.scalars import hash_text
 from cinderfield.operators.ordered import exact_quantiles
-
-_HASH_BINS = 4096  # first three hex digits of the hash
+from cinderfield.scratch import settle
 
 
 def seeded_order(df: DataFrame, key: str, seed: int) -> DataFrame:
@@ -22,6 +21,21 @@ def bounded_sample(df: DataFrame, key: str, n: int, seed: int = 0) -> DataFrame:
     return seeded_order(df, key, seed).limit(n)
 
 
+def ranked(ordered: DataFrame) -> DataFrame:
+    """Add ``place``: 1, 2, 3 ... in the order of a sorted table.
+
+    Settled once, since the place of a row is its number in its own partition plus
+    the sizes of the partitions before; those few sizes are all that meets in one task.
+    """
+    low = F.shiftright(F.monotonically_increasing_id(), 33).cast("int")
+    within = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    numbered = settle(ordered.select("*", low.alias("_part"), within.alias("_row")), "ordered")
+    sizes = numbered.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
+    ahead = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_part", F.coalesce(F.sum("_size").over(ahead), F.lit(0)).alias("_ahead"))
+    return numbered.join(offsets, "_part").withColumn("place", F.col("_ahead") + F.col("_row") + 1).drop("_part", "_row", "_ahead")
+
+
 def first_rows(df: DataFrame, order: str, n: int) -> DataFrame:
     return df.orderBy(order).limit(n)
 

@@ -288,10 +288,14 @@ def statements() -> dict[str, str]:
     )
     out["raster_mosaic"] = _with(
         "pixels",
-        """select row_ix, col_ix, elevation from pixels
-           union all
-           select row_ix+1, col_ix+1, elevation+1000.0E0 from pixels b
-           where not exists (select 1 from pixels a where a.row_ix = b.row_ix+1 and a.col_ix = b.col_ix+1)""",
+        """select * from (
+             select coalesce(a.row_ix, b.row_ix) as row_ix, coalesce(a.col_ix, b.col_ix) as col_ix,
+               coalesce(a.elevation, b.elevation) as elevation, coalesce(a.code, b.code) as code
+             from gaps a full join (select row_ix+1 as row_ix, col_ix+1 as col_ix, elevation+1000.0E0 as elevation, code+1000 as code from gaps) b
+               on a.row_ix = b.row_ix and a.col_ix = b.col_ix)
+           where elevation is not null or code is not null""",
+        """gaps as (select row_ix, col_ix, case when (row_ix+col_ix)%3=0 then null else elevation end as elevation,
+             case when (row_ix+col_ix)%4=0 then null else code end as code from pixels)""",
     )
     # The box spans columns 10.5..36.5 and rows from 1.3 on: pixels 10..36 and 1.. meet it.
     out["raster_crop"] = _with(
@@ -433,7 +437,12 @@ def statements() -> dict[str, str]:
     )
     out["seeded_order"] = _with(
         "scored",
-        "select event_id, md5(cast(event_id as varchar)||'|42') as order_hash from scored order by 2, 1",
+        """select event_id, row_number() over (order by md5(cast(event_id as varchar)||'|42'), event_id) as place from scored""",
+    )
+    out["first_rows"] = _with("scored", "select event_id, p from scored order by event_id limit 500")
+    out["hotspot_csv_roundtrip"] = _with(
+        "arch",
+        "select latitude, longitude, acq_date, confidence, count(*) as n from arch group by latitude, longitude, acq_date, confidence",
     )
     out["bounded_sample"] = _with(
         "scored",

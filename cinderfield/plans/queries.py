@@ -30,6 +30,7 @@ from cinderfield.operators import (
 from cinderfield.plans import model_jobs, views
 from cinderfield.plans.risk_dataset import Built, RasterLayer, Sources, build_dataset
 from cinderfield.scratch import scratch_path, settle
+from cinderfield.sources import hotspots as hotspot_files
 from cinderfield.streaming import hotspots as stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -238,14 +239,19 @@ def slope_aspect(spark: SparkSession, sf: str) -> DataFrame:
 
 @register
 def raster_mosaic(spark: SparkSession, sf: str) -> DataFrame:
-    """Two overlapping tiles: the part raster, and a copy of other heights one pixel south-east."""
-    pixels = views.view(spark, sf, "PIXELS")
-    other = pixels.withColumn("elevation", F.col("elevation") + 1000.0)
+    """Two overlapping tiles of two bands with gaps: the part raster, and a changed copy one pixel south-east."""
+    pixels = views.view(spark, sf, "PIXELS").withColumns(
+        {
+            "elevation": F.expr("case when (row_ix + col_ix) % 3 = 0 then null else elevation end"),
+            "code": F.expr("case when (row_ix + col_ix) % 4 = 0 then null else code end"),
+        }
+    )
+    other = pixels.withColumns({"elevation": F.col("elevation") + 1000.0, "code": F.col("code") + 1000})
     both = pixels.withColumn("tile_id", F.lit("a")).unionByName(other.withColumn("tile_id", F.lit("b")))
     tiles = spark.createDataFrame(
         [("a", 0, 0, 0), ("b", 1, 1, 1)], "tile_id string, tile_seq int, row_off int, col_off int"
     )
-    return raster.mosaic(both, tiles, ["elevation"])
+    return raster.mosaic(both, tiles, ["elevation", "code"])
 
 
 @register
@@ -389,10 +395,35 @@ def stratified_split(spark: SparkSession, sf: str) -> DataFrame:
 
 @register
 def seeded_order(spark: SparkSession, sf: str) -> DataFrame:
-    """The seeded order as a rank, so that the order itself is compared."""
-    h = scalars.hash_text(F.col("event_id"), 42)
-    by_hash = scored(spark, sf).select("event_id", h.alias("order_hash"))
-    return splits.seeded_order(by_hash, "event_id", 42)
+    """The seeded order as an exact rank: partitions of the sorted table, offset by the sizes of those before.
+
+    A partition is one range of the order, so its rows are numbered where they lie;
+    only the sizes of partitions are summed up.
+    """
+    ordered = splits.seeded_order(scored(spark, sf).select("event_id"), "event_id", 42)
+    return splits.ranked(ordered).select("event_id", "place")
+
+
+@register
+def first_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return splits.first_rows(scored(spark, sf).select("event_id", "p"), "event_id", 500)
+
+
+@register
+def hotspot_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """The archive written as CSV chunks of three layouts, some with extra columns, and read back as one folder."""
+    archive_rows = views.view(spark, sf, "ARCHIVE")
+    layouts = [
+        ["latitude", "longitude", "acq_date", "confidence"],
+        ["latitude", "longitude", "frp", "line_ref", "acq_date", "chunk_seq", "confidence"],
+        ["confidence", "frp", "acq_date", "longitude", "latitude"],
+    ]
+    folder = scratch_path(spark, "csv")
+    for i, layout in enumerate(layouts):
+        part = archive_rows.filter(F.pmod("line_ref", F.lit(len(layouts))) == i)
+        part.select(*layout).write.option("header", True).csv(f"{folder}/{i}")
+    found = hotspot_files.read_hotspots(spark, f"{folder}/*")
+    return found.groupBy("latitude", "longitude", "acq_date", "confidence").agg(F.count(F.lit(1)).alias("n"))
 
 
 @register
@@ -580,7 +611,8 @@ def hotspot_stream(spark: SparkSession, sf: str) -> DataFrame:
     schema = views.table(spark, sf, "lineitem").schema
     lines = spark.readStream.schema(schema).option("pathGlobFilter", "lineitem.parquet").parquet(sf)
     incoming = spark.sql(views.ARCHIVE, lineitem=lines)
-    # Ten years: the file is one batch in no date order, so nothing in it may count as late.
+    # The file is one batch in no date order, so nothing in it may count as late; that late
+    # rows go and state is forgotten is tested on files of rising dates.
     deduped = stream.dedup_stream(incoming, "3650 days")
     path = scratch_path(spark, "stream")
     stream.ingest(deduped, f"{path}/table", f"{path}/checkpoint").awaitTermination()

@@ -2,31 +2,29 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_written: dict[str, list[str]] = {}
+
 
 def scratch_root(spark: SparkSession) -> str:
-    """Folder named by ``spark.checkpoint.dir``.
+    """Folder named by ``spark.checkpoint.dir``; where that is unset, a folder in the warehouse.
 
-    Only a local master may fall back to a temporary folder: on a cluster that
-    folder would exist on one machine only and die with it.
+    Both are shared by the driver and all executors. A temporary folder is not: on
+    a cluster it would exist on one machine only and die with it.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="cinderfield-"))
-    return spark.sparkContext.getCheckpointDir()
+    root = configured or f"{spark.conf.get('spark.sql.warehouse.dir')}/cinderfield-scratch"
+    return root.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared scratch folder."""
-    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path under the shared scratch folder, remembered for ``release``."""
+    path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
 def settle(df: DataFrame, name: str = "table") -> DataFrame:
@@ -40,3 +38,15 @@ def settle(df: DataFrame, name: str = "table") -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete all that this application wrote to scratch.
+
+    To be called when a job's results are stored: frames that read settled tables
+    are gone afterwards.
+    """
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    for text in _written.pop(spark.sparkContext.applicationId, []):
+        path = hadoop.Path(text)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

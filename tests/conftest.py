@@ -1,8 +1,11 @@
+import os
 import tempfile
 
 import pytest
 from pyspark.sql import SparkSession
 
+from cinderfield.scratch import release
+
 SF = "/root/testdata/sf0.001"
 
 
@@ -21,6 +24,8 @@ def spark():
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    release(session)
+    assert not any(files for _, _, files in os.walk(session.conf.get("spark.checkpoint.dir")))
     session.stop()
 
 

@@ -4,11 +4,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
+from cinderfield.plans.oracle_sql import statements
+from cinderfield.plans.queries import REGISTRY
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 ).split()
-QUERIES, ORACLES = entry_module.queries(), entry_module.oracle_sql()
+QUERIES, ORACLES = REGISTRY, statements()
 
 
 @pytest.fixture(scope="module")
@@ -27,6 +29,10 @@ def tidy(pdf):
     return pdf.sort_values(list(pdf.columns)).reset_index(drop=True)
 
 
+def test_entry_module_offers_these_queries():
+    assert set(QUERIES) <= set(entry_module.queries()) and set(ORACLES) <= set(entry_module.oracle_sql())
+
+
 def test_every_oracle_has_a_query():
     assert set(ORACLES) <= set(QUERIES)
     assert set(QUERIES) - set(ORACLES) == {"spatial_cv", "holdout_eval", "batch_scores", "feature_attribution"}
