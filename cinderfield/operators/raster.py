@@ -62,6 +62,19 @@ def sample(df: DataFrame, pixels: DataFrame, grid: Transform, lat: str = "lat",
     return placed.join(hit, ["row_ix", "col_ix"], "left").select(*df.columns, *values)
 
 
+def around(pixels: DataFrame, df: DataFrame, grid: Transform, lat: str = "lat", lon: str = "lon") -> DataFrame:
+    """The pixels in the rows and columns that ``df`` lies on, and one more on each side.
+
+    A small job finds the bounds; as plain ranges they reach the scan of ``pixels``.
+    """
+    placed = with_pixel_index(df.select(lat, lon), grid, lat, lon)
+    ends = placed.agg(F.min("row_ix"), F.max("row_ix"), F.min("col_ix"), F.max("col_ix")).first()
+    if ends[0] is None:
+        return pixels.filter(F.lit(False))
+    r0, r1, c0, c1 = ends
+    return pixels.filter(F.col("row_ix").between(r0 - 1, r1 + 1) & F.col("col_ix").between(c0 - 1, c1 + 1))
+
+
 def slope_aspect(
     pixels: DataFrame,
     pixel_m: float,
@@ -70,11 +83,18 @@ def slope_aspect(
 ) -> DataFrame:
     """Slope and aspect in degrees: central differences inside, one-sided at edges.
 
-    The east-west spacing is ``pixel_m / cos(mid_lat)``. Each pixel sends its
-    value to itself and its four neighbours and one aggregation per pixel gathers
-    them: one shuffle with evenly small groups, where row and column windows
-    would sort whole raster lines in two shuffles. A pixel without any neighbour
-    on one axis has no gradient and gets null.
+    The east-west spacing is ``pixel_m / cos(mid_lat)``. A pixel without any
+    neighbour on one axis has no gradient and gets null.
+    """
+    return _shaped(pixels, pixel_m, mid_lat, value).drop("elevation_m")
+
+
+def _shaped(pixels: DataFrame, pixel_m: float, mid_lat: float, value: str) -> DataFrame:
+    """Height, slope and aspect of each pixel with a height.
+
+    Each pixel sends its value to itself and its four neighbours and one aggregation
+    per pixel gathers them: one shuffle with evenly small groups, where row and
+    column windows would sort whole raster lines in two shuffles.
     """
     step_ns = pixel_m
     step_ew = pixel_m / math.cos(math.radians(mid_lat))
@@ -85,7 +105,7 @@ def slope_aspect(
     sent = pixels.select(
         F.col("row_ix").cast("int").alias("row_ix"),
         F.col("col_ix").cast("int").alias("col_ix"),
-        F.col(value).cast("double").alias("_z"),
+        F.col(f"`{value}`").cast("double").alias("_z"),
         F.explode(sends).alias("_to"),
     )
     gathered = (
@@ -105,21 +125,16 @@ def slope_aspect(
     return gathered.select(
         "row_ix",
         "col_ix",
+        F.col("self").alias("elevation_m"),
         F.degrees(F.atan(F.hypot(dx, dy))).alias("slope_deg"),
         F.pmod(F.degrees(F.atan2(-dx, dy)) + 360.0, F.lit(360.0)).alias("aspect_deg"),
     )
 
 
 def terrain(pixels: DataFrame, pixel_m: float, mid_lat: float, value: str = "elevation") -> DataFrame:
-    """Elevation, slope clipped to [0, 45] and the aspect's sine and cosine per pixel."""
-    shape = slope_aspect(pixels, pixel_m, mid_lat, value)
+    """Elevation, slope clipped to [0, 45] and the aspect's sine and cosine per pixel with a height."""
     east, north = circular(F.col("aspect_deg"))
-    heights = pixels.select(
-        F.col("row_ix").cast("int").alias("row_ix"),
-        F.col("col_ix").cast("int").alias("col_ix"),
-        F.col(value).cast("double").alias("elevation_m"),
-    )
-    return heights.join(shape, ["row_ix", "col_ix"]).select(
+    return _shaped(pixels, pixel_m, mid_lat, value).select(
         "row_ix",
         "col_ix",
         "elevation_m",

@@ -54,11 +54,13 @@ def cell_features(cells: DataFrame, sources: Sources, pixel_m: float, mid_lat: f
     out = cells
     if sources.elevation is not None:
         layer = sources.elevation
-        surface = raster.terrain(layer.pixels, pixel_m, mid_lat, layer.value)
+        # Terrain only where cells are: a fine raster has many pixels for each cell.
+        wanted = raster.around(layer.pixels, cells, layer.transform)
+        surface = raster.terrain(wanted, pixel_m, mid_lat, layer.value)
         out = raster.sample(out, surface, layer.transform)
     if sources.land_cover is not None:
         layer = sources.land_cover
-        codes = layer.pixels.select("row_ix", "col_ix", F.col(layer.value).alias("_code"))
+        codes = raster.around(layer.pixels, cells, layer.transform).select("row_ix", "col_ix", F.col(layer.value).alias("_code"))
         out = raster.sample(out, codes, layer.transform)
         out = out.withColumns(raster.land_cover_flags(F.col("_code"))).drop("_code")
     return out

@@ -178,6 +178,25 @@ def test_land_cover_flags(spark):
         assert marks == [int(i == k) for k in range(8)] and r["u"] == int(i >= 8)
 
 
+def test_terrain_needs_one_shuffle_and_only_pixels_near_cells(spark, tmp_path):
+    z = np.arange(400.0).reshape(20, 20) ** 1.5
+    pixel_table(spark, z).write.parquet(str(tmp_path / "z"))
+    stored = spark.read.parquet(str(tmp_path / "z"))
+    grid_ = raster.Transform(x0=30.0, y0=40.0, dx=0.1, dy=-0.1, height=20, width=20)
+    cells = spark.createDataFrame([(1, 39.05, 31.05), (2, 38.95, 31.25)], "i int, lat double, lon double")
+    value = [c for c in stored.columns if c not in ("row_ix", "col_ix")][0]
+    near = raster.around(stored, cells, grid_)
+    assert 0 < near.count() < 40
+    part = raster.terrain(near, 250.0, 39.0, value)
+    plan = part._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan and "GreaterThanOrEqual(row_ix" in plan
+    whole = {(r["row_ix"], r["col_ix"]): tuple(r) for r in raster.terrain(stored, 250.0, 39.0, value).collect()}
+    for r in raster.sample(cells, part, grid_).collect():
+        at = (9, 10) if r["i"] == 1 else (10, 12)
+        assert (r["elevation_m"], r["slope_deg"], r["aspect_sin"]) == whole[at][2:5]
+    assert raster.around(stored, cells.limit(0), grid_).count() == 0
+
+
 def test_mosaic_first_valid_tile_wins(spark):
     pixels = spark.createDataFrame(
         [("a", 0, 0, 1.0), ("a", 0, 1, None), ("b", 0, 0, 2.0), ("b", 0, 1, 3.0)],
