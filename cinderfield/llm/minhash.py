@@ -5,21 +5,21 @@
    of all 128 minima, packed as bit planes.
 2. Documents of equal sets form a class with its smallest id as representative;
    only representatives go on, so thousands of copies are one row.
-3. Representatives that share a band key are candidates. Each bucket first pairs
-   its members with one centre. Pairs whose collision-corrected estimate from bit
-   counts is far below the threshold go; the rest are confirmed on full sets.
-4. Links give components. Buckets that still hold several components pair members
-   across them, the best estimates first, more each round, until no untested
-   candidate is left between different components.
-
-So every candidate that could join two components is tested, but a group of n
-near copies costs about n pairs, not n squared.
+3. Representatives that share a band key are compared by bit counts alone, with the
+   estimate corrected for chance collisions. In each bucket a search from its first
+   member finds who hangs together above a safe bound; it visits a dense bucket in
+   one sweep and emits one edge per member. Those edges give families.
+4. A family's sets meet once, in slices of bounded size. Pairs above the bound are
+   confirmed on full sets, the best estimates first, until no pair between two
+   unlinked parts is left; one link per joined part leaves. Links give components.
+
+So a group of n near copies costs n rows, never n squared, and no pair that could
+join two components goes unconfirmed.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +34,9 @@ from cinderfield.scratch import settle
 BANDS, ROWS, BITS = 32, 4, 4
 MINIMA = BANDS * ROWS
 SLACK = 0.22  # six standard errors of the estimate at the threshold
+CHANCE = 1 / (1 << BITS)
 SLICE_ROWS = 4096
+SLICE_SHINGLES = 4_000_000
 ROWS_AT_ONCE = 500
 _RANDOM = np.random.default_rng(20)
 _FACTORS = _RANDOM.integers(1, 1 << 63, MINIMA, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -143,65 +145,131 @@ def _sets(size: int):
     return make
 
 
-def estimate(one: Column, other: Column) -> Column:
-    """Similarity from packed low bits: share of equal minima, corrected for chance collisions."""
+def estimates(one: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Similarity of packed signatures: share of equal minima, corrected for chance collisions."""
     words = MINIMA // 64
-    unequal = []
+    unequal = np.zeros(len(others), np.int64)
     for w in range(words):
-        differ = [F.get(one, b * words + w).bitwiseXOR(F.get(other, b * words + w)) for b in range(BITS)]
-        unequal.append(F.bit_count(reduce(lambda x, y: x.bitwiseOR(y), differ)))
-    equal = F.lit(1.0) - sum(unequal[1:], unequal[0]) / MINIMA
-    chance = 1 / (1 << BITS)
-    return (equal - chance) / (1 - chance)
-
-
-def _confirm(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Pairs (a, b, linked), decided on full sets. Only texts of the pairs' members are read into sets."""
-    members = pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))).distinct()
-    texts = docs.join(members, F.col("id") == F.col("rep"), "left_semi")
-    sets = settle(texts.mapInArrow(_sets(size), "rep long, set array<bigint>"), "sets")
-    both = (
-        pairs.join(sets.select(F.col("rep").alias("b"), F.col("set").alias("set_b")), "b")
-        .join(sets.select(F.col("rep").alias("a"), F.col("set").alias("set_a")), "a")
-        .select("a", "b", F.size("set_a").alias("na"), F.size("set_b").alias("nb"), F.size(F.array_intersect("set_a", "set_b")).alias("common"))
-    )
-    linked = 100 * F.col("common").cast("long") >= percent * (F.col("na") + F.col("nb") - F.col("common"))
-    return both.groupBy("a", "b").agg(F.max(linked).alias("linked"))
-
-
-def _across(limit: int, least: float):
-    """For each member of a bucket slice, its best ``limit`` untested partners of other components."""
-
-    def match(table: pa.Table) -> pa.Table:
-        rep = table.column("rep").to_numpy()
-        comp = table.column("component").to_numpy()
-        seed = table.column("seed").to_numpy(zero_copy_only=False)
-        sig = np.array(table.column("sig").to_pylist(), np.int64).view(np.uint64)
-        tested = table.column("tested").to_pylist()
-        words = MINIMA // 64
-        a, b, score = [], [], []
-        for i in np.flatnonzero(seed):
-            other = np.flatnonzero(comp != comp[i])
-            gap = np.zeros(len(other), np.int64)
-            for w in range(words):
-                differ = np.zeros(len(other), np.uint64)
-                for plane in range(BITS):
-                    differ |= sig[other, plane * words + w] ^ sig[i, plane * words + w]
-                gap += np.bitwise_count(differ)
-            chance = 1 / (1 << BITS)
-            found = (1 - gap / MINIMA - chance) / (1 - chance)
-            near = other[found >= least]
-            if len(near) and tested[i]:
-                near = near[~np.isin(rep[near], tested[i])]
-                found = found[np.isin(other, near)]
-            else:
-                found = found[found >= least]
-            for k in near[np.argsort(-found, kind="stable")[:limit]]:
-                a.append(min(rep[i], rep[k]))
-                b.append(max(rep[i], rep[k]))
+        differ = np.zeros(len(others), np.uint64)
+        for plane in range(BITS):
+            differ |= others[:, plane * words + w] ^ one[..., plane * words + w]
+        unequal += np.bitwise_count(differ)
+    return (1 - unequal / MINIMA - CHANCE) / (1 - CHANCE)
+
+
+def _signature_rows(column: pa.Array) -> np.ndarray:
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return column.flatten().to_numpy().view(np.uint64).reshape(-1, BITS * MINIMA // 64)
+
+
+def _hang_together(sig: np.ndarray, least: float) -> list[tuple[int, int]]:
+    """Edges of a search over one bucket: each member from the one that first reached it."""
+    edges, rest = [], np.arange(len(sig))
+    while len(rest):
+        queue, rest = [rest[0]], rest[1:]
+        while queue and len(rest):
+            one = queue.pop()
+            near = estimates(sig[one], sig[rest]) >= least
+            edges += [(one, k) for k in rest[near]]
+            queue += list(rest[near])
+            rest = rest[~near]
+    return edges
+
+
+def _bucket_edges(least: float):
+    """For rows sorted by (bucket, slice): edges (a, b) of each bucket slice's search."""
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def edges(rows: pa.Table) -> pa.RecordBatch:
+            group = np.stack([rows.column(0).to_numpy(), rows.column(1).to_numpy()])
+            rep, sig = rows.column(2).to_numpy(), _signature_rows(rows.column(3))
+            first = np.flatnonzero(np.append(True, (group[:, 1:] != group[:, :-1]).any(axis=0)))
+            size = np.diff(np.append(first, len(rep)))
+            lead = np.repeat(first, size)
+            near = estimates(sig[lead], sig) >= least
+            done = np.minimum.reduceat(near.astype(int), first).astype(bool) | (size == 2)
+            star = np.repeat(done, size) & near & (np.arange(len(rep)) != lead)
+            a, b = [rep[lead[star]]], [rep[star]]
+            for start, n in zip(first[~done], size[~done], strict=True):
+                found = np.array(_hang_together(sig[start : start + n], least), np.int64).reshape(-1, 2)
+                a.append(rep[start + found[:, 0]])
+                b.append(rep[start + found[:, 1]])
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            # The last group may go on in the next batch: hold it back.
+            key = [batch.column(0).to_numpy(), batch.column(1).to_numpy()]
+            change = np.flatnonzero((key[0][1:] != key[0][:-1]) | (key[1][1:] != key[1][:-1])) + 1
+            cut = change[-1] if len(change) else 0
+            same = held and (held[-1].column(0)[-1], held[-1].column(1)[-1]) == (batch.column(0)[0], batch.column(1)[0])
+            if cut or (held and not same):
+                ready = [*held, batch.slice(0, cut)] if cut else held
+                yield edges(pa.Table.from_batches(ready))
+                held = []
+            held.append(batch.slice(cut))
+        if held:
+            yield edges(pa.Table.from_batches(held))
+
+    return search
+
+
+def _confirmed(percent: int, least: float):
+    """For one family slice pair: links that join its parts, confirmed on full sets."""
+
+    def confirm(table: pa.Table) -> pa.Table:
+        rep, part = table.column("rep").to_numpy(), table.column("part").to_numpy()
+        sig = _signature_rows(table.column("sig"))
+        column = table.column("set").combine_chunks()
+        bounds = column.offsets.to_numpy()
+        flat = column.values.to_numpy().view(np.uint64)
+        sets = [flat[x:y] for x, y in zip(bounds[:-1], bounds[1:], strict=True)]
+        sizes = np.diff(bounds)
+        low, high = part.min(), part.max()
+        root = np.arange(len(rep))
+
+        def find(k: int) -> int:
+            while root[k] != k:
+                root[k] = root[root[k]]
+                k = root[k]
+            return k
+
+        near_a, near_b, near = [], [], []
+        for k in range(len(rep)):
+            other = np.arange(k + 1, len(rep))
+            if low != high:
+                other = other[part[other] != part[k]]
+            smaller, larger = np.minimum(sizes[k], sizes[other]), np.maximum(sizes[k], sizes[other])
+            other = other[100 * smaller >= percent * larger]
+            found = estimates(sig[k], sig[other])
+            other, found = other[found >= least], found[found >= least]
+            near_a.append(np.full(len(other), k, np.int32))
+            near_b.append(other.astype(np.int32))
+            near.append(found.astype(np.float32))
+        one, two = np.concatenate(near_a), np.concatenate(near_b)
+        a, b = [], []
+        for place in np.argsort(-np.concatenate(near), kind="stable"):
+            x, y = int(one[place]), int(two[place])
+            p, q = find(x), find(y)
+            if p == q:
+                continue
+            common = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+            if 100 * common >= percent * (int(sizes[x]) + int(sizes[y]) - common):
+                root[max(p, q)] = min(p, q)
+                a.append(rep[x])
+                b.append(rep[y])
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return match
+    return confirm
+
+
+def _slice_pairs(slices: Column, own: Column) -> Column:
+    """The slice pairs (low, high) that a row of slice ``own`` takes part in."""
+    every = F.sequence(F.lit(0), slices - 1)
+    return F.transform(every, lambda k: F.struct(F.least(k, own).alias("low"), F.greatest(k, own).alias("high")))
 
 
 def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5, percent: int = 80) -> DataFrame:
@@ -232,32 +300,33 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingl
     texts = named.where(F.col("id").isNotNull())
     signatures = classes.select("rep", "sig")
 
-    spread = classes.select("rep", F.explode("bands").alias("bucket"))
-    crowded = spread.groupBy("bucket").agg(F.count(F.lit(1)).alias("m"), F.min(F.struct(F.xxhash64("rep").alias("h"), "rep")).alias("centre"))
-    members = settle(
-        spread.join(crowded.where(F.col("m") > 1), "bucket").select("bucket", "rep", "m", F.col("centre.rep").alias("centre")), "members"
-    )
-    star = members.where(F.col("rep") != F.col("centre"))
-    pairs = star.select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b")).distinct()
     least = percent / 100 - SLACK
-    pairs = (
-        pairs.join(signatures.select(F.col("rep").alias("b"), F.col("sig").alias("sig_b")), "b")
-        .join(signatures.select(F.col("rep").alias("a"), F.col("sig").alias("sig_a")), "a")
-        .where(estimate(F.col("sig_a"), F.col("sig_b")) >= least)
-        .select("a", "b")
-    )
+    spread = classes.select("rep", F.explode("bands").alias("bucket"))
+    crowded = spread.groupBy("bucket").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > 1)
+    slices = F.ceil(F.col("m") / SLICE_ROWS).cast("int")
+    members = spread.join(crowded, "bucket").join(signatures, "rep")
+    # A bucket beyond SLICE_ROWS is searched by pairs of slices; nearly all are one slice.
+    members = members.select("bucket", F.explode(_slice_pairs(slices, F.pmod(F.hash("rep"), slices))).alias("s"), "rep", "sig")
+    members = members.select("bucket", (F.col("s.low") * (1 << 16) + F.col("s.high")).alias("slice"), "rep", "sig")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    searched = members.repartition(parts, "bucket", "slice").sortWithinPartitions("bucket", "slice", "rep")
+    candidates = searched.mapInArrow(_bucket_edges(least), "a long, b long")
+    families = settle(components(candidates), "families")
+
+    texts = named.join(families, F.col("id") == F.col("node"), "left_semi")
+    sets = settle(texts.mapInArrow(_sets(shingle_words), "rep long, set array<bigint>"), "sets")
+    whole = sets.join(families.select(F.col("node").alias("rep"), F.col("component").alias("family")), "rep").join(signatures, "rep")
+    weights = whole.groupBy("family").agg(F.count(F.lit(1)).alias("m"), F.sum(F.size("set")).alias("shingles"))
+    cuts = F.greatest(F.ceil(F.col("m") / SLICE_ROWS), F.ceil(F.col("shingles") / SLICE_SHINGLES)).cast("int")
+    dealt = whole.join(weights.select("family", cuts.alias("slices")), "family").withColumn("part", F.pmod(F.hash("rep"), "slices"))
+    dealt = dealt.withColumn("s", F.explode(_slice_pairs(F.col("slices"), F.col("part"))))
+    grouped = dealt.select("family", F.col("s.low").alias("low"), F.col("s.high").alias("high"), "part", "rep", "sig", "set")
+    links = grouped.groupBy("family", "low", "high").applyInArrow(_confirmed(percent, least), "a long, b long")
+
     # Rows that repeat an id tie the classes of its texts together.
     repeated = usable.join(classes.select("n", "d1", "d2", "rep"), ["n", "d1", "d2"]).groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("b"))
-    ties = settle(repeated.where(F.col("a") != F.col("b")).select("a", "b", F.lit(True).alias("linked")), "ties")
-    tested = settle(_confirm(settle(pairs, "pairs"), texts, shingle_words, percent), "tested")
-    limit = 8
-    while True:
-        found = settle(components(tested.where("linked").select("a", "b").unionByName(ties.select("a", "b"))), "components")
-        more = settle(_open_pairs(members, found, signatures, tested, limit, least), "pairs")
-        if more.isEmpty():
-            break
-        tested = settle(tested.unionByName(_confirm(more, texts, shingle_words, percent)), "tested")
-        limit *= 2
+    ties = repeated.where(F.col("a") != F.col("b")).select("a", "b")
+    found = settle(components(links.unionByName(ties)), "components")
     labelled = classes.select("n", "d1", "d2", "rep").join(found, F.col("rep") == F.col("node"), "left")
     labelled = labelled.select("n", "d1", "d2", F.coalesce("component", "rep").alias("component_id"))
     rows = signed.select("id", "n", "d1", "d2").join(labelled, ["n", "d1", "d2"], "left")
@@ -265,27 +334,3 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingl
     rows = rows.select(F.col("id").cast(docs.schema[id_col].dataType).alias(id_col), F.col("n").alias("n_shingles"), own.alias("component_id"))
     return rows.withColumn("kept", F.col(id_col).eqNullSafe(F.col("component_id")))
 
-
-def _open_pairs(members: DataFrame, found: DataFrame, signatures: DataFrame, tested: DataFrame, limit: int, least: float) -> DataFrame:
-    """Untested candidate pairs between different components of one bucket.
-
-    A bucket's largest component needs no pairs inside it: its members are dealt
-    into slices, and the bucket's other members (seeds) are compared with each
-    slice by bit counts. Only pairs above the estimate leave, ``limit`` per seed.
-    """
-    joined = members.select("bucket", "rep", "m").join(found, F.col("rep") == F.col("node"), "left")
-    joined = joined.select("bucket", "rep", "m", F.coalesce("component", "rep").alias("component"))
-    sizes = joined.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("c"))
-    top = sizes.groupBy("bucket").agg(F.max(F.struct("c", "component")).alias("top"), F.count(F.lit(1)).alias("several"))
-    mixed = joined.join(top.where(F.col("several") > 1), "bucket").select(
-        "bucket", "rep", "component", F.ceil(F.col("m") / SLICE_ROWS).cast("int").alias("slices"), (F.col("component") != F.col("top.component")).alias("seed")
-    )
-    own = F.pmod(F.hash("rep"), F.col("slices"))
-    dealt = F.when(F.col("seed"), F.sequence(F.lit(0), F.col("slices") - 1)).otherwise(F.array(own))
-    partners = tested.select(F.col("a").alias("rep"), F.col("b").alias("p")).unionByName(tested.select(F.col("b").alias("rep"), F.col("a").alias("p")))
-    # Only pairs that failed matter: linked ones are in one component by now.
-    failed = tested.where(~F.col("linked"))
-    partners = failed.select(F.col("a").alias("rep"), F.col("b").alias("p")).unionByName(failed.select(F.col("b").alias("rep"), F.col("a").alias("p")))
-    partners = partners.groupBy("rep").agg(F.collect_set("p").alias("tested"))
-    rows = mixed.join(signatures, "rep").join(partners, "rep", "left").select("bucket", F.explode(dealt).alias("slice"), "rep", "component", "seed", "sig", "tested")
-    return rows.groupBy("bucket", "slice").applyInArrow(_across(limit, least), "a long, b long").distinct()
