@@ -80,9 +80,9 @@ class LanguageModel:
 
     languages: list[str]
     symbol_of: dict[int, int]
+    own: list[np.ndarray]  # each language's number for a symbol; all it lacks share one
     steps: list[np.ndarray]
     weights: np.ndarray
-    symbols: int
 
 
 def build(samples: dict[str, list[str]]) -> LanguageModel:
@@ -93,22 +93,27 @@ def build(samples: dict[str, list[str]]) -> LanguageModel:
     seen = Counter(c for texts in points.values() for t in texts for c in t.tolist())
     common = sorted(sorted(seen), key=lambda c: -seen[c])[:LETTERS]
     symbol_of = {c: 1 + SHARED + i for i, c in enumerate(common)}
-    symbols = 1 + SHARED + len(common)  # symbol 0 fills up short pieces
-    lookup = _symbols(symbol_of)
-    languages, steps, weights = [], [], []
+    lookup = _symbols(symbol_of)  # symbol 0 fills up short pieces
+    languages, own, steps, weights = [], [], [], []
     for lang, texts in points.items():
         text = np.concatenate([lookup[t] for t in texts]) if texts else np.zeros(0, np.uint8)
         if not len(text):
             continue
-        table = automaton(text, symbols)
+        present = np.unique(text)
+        number = np.full(256, len(present) + 1, np.uint8)
+        number[0] = 0
+        number[present] = np.arange(1, len(present) + 1)
+        symbols = len(present) + 2
+        table = automaton(number[text], symbols)
         root = np.maximum(table[0], 0)
         step = np.where(table < 0, root[None, :], table) * symbols * 2 + (table < 0)
         step[0] |= 1  # at the root every symbol begins a phrase
         step[:, 0] = 0
         languages.append(lang)
+        own.append(number)
         steps.append(step.astype(np.int32).ravel())
         weights.append(np.log2(len(text) + 2))
-    return LanguageModel(languages, symbol_of, steps, np.array(weights), symbols)
+    return LanguageModel(languages, symbol_of, own, steps, np.array(weights))
 
 
 def _symbols(symbol_of: dict[int, int]) -> np.ndarray:
@@ -132,14 +137,14 @@ def phrases(symbols: np.ndarray, bounds: np.ndarray, model: LanguageModel) -> np
     start = bounds[:-1][owner] + nth * PIECE
     length = np.minimum(PIECE, bounds[1:][owner] - start)
     grid = np.zeros((PIECE, len(owner)), np.uint8)
-    lane = np.repeat(np.arange(len(owner)), length)
-    offset = np.arange(len(lane)) - np.repeat(np.cumsum(length) - length, length)
-    grid[offset, lane] = symbols[start[lane] + offset]
+    for offset, row in enumerate(grid):
+        long = np.flatnonzero(length > offset)
+        row[long] = symbols[start[long] + offset]
     out = np.zeros((len(model.languages), len(sizes)))
     for k, step in enumerate(model.steps):
         at = np.zeros(len(owner), np.int64)
         count = np.zeros(len(owner), np.int32)
-        for row in grid:
+        for row in model.own[k][grid]:
             at += row
             move = step[at]
             count += move & 1
