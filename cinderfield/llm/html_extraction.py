@@ -261,13 +261,12 @@ def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sampl
     first CHARS_PER_PAGE characters. Labels come from what semantic elements and
     names say about the sample's blocks, and from the same blocks under other wrappers.
     """
-    sample = (
-        pages.where(F.col(html_col).isNotNull())
-        .select(F.xxhash64(F.col(id_col).cast("string")).alias("h"), F.substring(html_col, 1, CHARS_PER_PAGE).alias("html"))
-        .orderBy("h", "html")
-        .limit(sample_pages)
-        .collect()
+    hashed = pages.where(F.col(html_col).isNotNull()).select(
+        F.xxhash64(F.col(id_col).cast("string")).alias("h"), F.substring(html_col, 1, CHARS_PER_PAGE).alias("html")
     )
+    # Hashes alone first: then only the sample's own pages travel, not a sample of each partition.
+    last = hashed.select("h").orderBy("h").limit(sample_pages).agg(F.max("h")).first()[0]
+    sample = hashed.where(F.col("h") <= F.lit(last).cast("long")).orderBy("h", "html").limit(sample_pages).collect()
     read = [read_blocks(row["html"]) for row in sample]
     return train(*training_pages(read)) if any(read) else new_labeller()
 
