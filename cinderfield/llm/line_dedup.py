@@ -22,9 +22,13 @@ def _line_key(line: Column) -> Column:
     return F.xxhash64(F.trim(line))
 
 
+def _worded(line: Column) -> Column:
+    return line.rlike(r"[^\x20\x09-\x0D]")
+
+
 def _keys(text: Column) -> Column:
     """Distinct keys of the lines that hold a word."""
-    worded = F.filter(_lines(text), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
+    worded = F.filter(_lines(text), _worded)
     return F.array_distinct(F.transform(worded, _line_key))
 
 
@@ -51,15 +55,22 @@ def spread_lines(docs: DataFrame, text_col: str = "text", site_col: str = "sourc
 
 
 def remove_lines(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source", min_sites: int = MIN_SITES
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    site_col: str = "source",
+    min_sites: int = MIN_SITES,
+    spare_only_copies: bool = False,
 ) -> DataFrame:
     """Columns (row, text, n_lines, n_removed): each input row whole, its text without cross-site boilerplate.
 
     Boilerplate is every line with a word, compared without outer blanks, that
-    occurs on ``min_sites`` distinct sites. It is cut from each document. A
-    document with more than half of its words in such lines is a copy of a whole
-    document rather than a carrier of boilerplate: it stays as it is, for the
-    near-duplicate stage to decide.
+    occurs on ``min_sites`` distinct sites. With ``spare_only_copies`` it is cut
+    from each document that has a worded line of its own left; one whose worded
+    lines are all boilerplate is a copy of a whole document and stays as it is, for
+    the near-duplicate stage to decide. Without, as the SQL twin has it, a document
+    with more than half of its words in such lines stays as it is, also if it has
+    lines of its own beside them.
 
     The list of lines has no size bound and no broadcast hint. Documents meet their
     lines by a key of id and text, so copies of one text do not share a key. A null
@@ -72,11 +83,12 @@ def remove_lines(
     places = rows.select("key", F.explode(_keys(F.col("text"))).alias("line")).join(spread, "line")
     carried = places.groupBy("key").agg(F.collect_set("line").alias("bad"))
     rows = rows.join(carried, "key", "left").select("row", "text", "bad", _lines(F.col("text")).alias("lines"))
-    kept = F.filter("lines", lambda line: ~F.array_contains("bad", _line_key(line)) | ~line.rlike(r"[^\x20\x09-\x0D]"))
+    kept = F.filter("lines", lambda line: ~F.array_contains("bad", _line_key(line)) | ~_worded(line))
     rows = rows.select("row", "text", "lines", F.when(F.col("bad").isNull(), F.col("lines")).otherwise(kept).alias("kept"))
     cut = F.array_join("kept", "\n")
     words, left = F.size(W.split_words(F.col("text"), W.BLANKS)), F.size(W.split_words(cut, W.BLANKS))
-    carrier = (F.size("kept") < F.size("lines")) & (2 * left >= words)
+    has_own = F.exists("kept", _worded) if spare_only_copies else 2 * left >= words
+    carrier = (F.size("kept") < F.size("lines")) & has_own
     n_lines = F.greatest(F.size(F.coalesce("lines", F.array().cast("array<string>"))), F.lit(0)).cast("long")
     return rows.select(
         "row",

@@ -17,8 +17,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def remove_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without lines that spread over many sources."""
-    cut = line_dedup.remove_lines(docs)
+    """All documents, without lines that spread over many sources; only copies of whole documents keep them."""
+    cut = line_dedup.remove_lines(docs, spare_only_copies=True)
     changed = F.col("n_removed") > 0
     new = {
         "text": F.col("text"),

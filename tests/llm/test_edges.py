@@ -10,6 +10,7 @@ import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from cinderfield.llm import (
     bpe_codec,
     decontamination,
@@ -182,6 +183,17 @@ def test_line_dedup_edges(spark, empty):
     assert line_dedup.remove_lines(empty).count() == 0
 
 
+def test_pipeline_cuts_boilerplate_that_outweighs_own_words(spark):
+    notice = "one long notice that every site repeats below its own few words"
+    own = [f"own line {i}\n\n {notice} " for i in range(10)]
+    texts, sources = [*own, f"{notice}\n \n{notice}"], [f"s{i}" for i in range(11)]
+    docs = table(spark, texts, sources=sources)
+    found = {r["doc_id"]: r["text"] for r in corpus_pipeline.remove_boilerplate(spark, docs, "").collect()}
+    assert found == {i: f"own line {i}\n" for i in range(10)} | {10: texts[10]}
+    by_half = {r["row"]["doc_id"]: r["n_removed"] for r in line_dedup.remove_lines(docs).collect()}
+    assert set(by_half.values()) == {0}  # the rule of op4 and its SQL twin
+
+
 def test_line_spread_near_the_threshold_is_exact(spark):
     texts = [f"line {k}" for k in (7, 8, 9, 40) for _ in range(k)]
     sources = [f"s{i}" for k in (7, 8, 9, 40) for i in range(k)]
