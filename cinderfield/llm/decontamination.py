@@ -18,8 +18,11 @@ def item_words(text: Column) -> Column:
 
 
 def windows(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Distinct windows of the items: (window, n, items), the window's words joined by blanks."""
-    rows = items.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("string").alias("item"), item_words(F.col(text_col)).alias("words"))
+    """Distinct windows of the items: (window, n, items), the window's words joined by blanks.
+
+    Items without id give windows too; ``items`` lists the others.
+    """
+    rows = items.select(F.col(id_col).cast("string").alias("item"), item_words(F.col(text_col)).alias("words"))
     size = F.least(F.lit(WINDOW), F.size("words"))
     starts = W.positions(F.size("words") - size + 1)
     rows = rows.where(F.size("words") > 0).select(
@@ -62,8 +65,9 @@ def annotate(
     broadcast hint; Spark broadcasts it only if its measured size is small. A
     passage in a third of all documents spreads over the documents' own keys.
 
-    Documents without words, and null ones, have no hit. Items without id or words
-    are ignored; equal windows of several items count for each of them. Repeated
+    Documents without words, and null ones, have no hit. Items without words
+    are ignored; those without id give hits but are not listed in ``items``. Equal
+    windows of several items count for each of them. Repeated
     documents each give their row, whatever their columns are called.
     """
     found = settle(windows(benchmark, item_col, item_text_col), "windows")

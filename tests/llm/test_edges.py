@@ -268,6 +268,14 @@ def test_decontamination_edges(spark, odd, empty):
     assert kept.columns == odd.columns and kept.where("doc_id in (4, 8)").count() == 0
 
 
+def test_items_without_id_give_hits(spark):
+    items = spark.createDataFrame([(None, "Passage without id"), (7, "other words")], "item_id long, text string")
+    docs = table(spark, ["a passage without id", "other words, passage without id", "nothing of it"])
+    found = {r["row"]["doc_id"]: (r["n_hit"], r["items"], r["contaminated"]) for r in decontamination.annotate(docs, items).collect()}
+    assert found == {0: (3, [], True), 1: (5, ["7"], True), 2: (0, [], False)}
+    assert [r["doc_id"] for r in decontamination.clean(docs, items).collect()] == [2]
+
+
 def test_classifier_edges(spark, odd, empty):
     labels = spark.createDataFrame([(0, 1), (4, 0), (8, 1), (8, 1), (None, 0), (5, None)], "doc_id long, quality int")
     machine = quality_fm.fit(odd, labels)
