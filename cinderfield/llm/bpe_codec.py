@@ -30,6 +30,7 @@ from cinderfield.llm import merges, pretokens
 
 CHUNK_BYTES = 16 << 20
 WORDS_AT_ONCE = 1_000_000
+KNOWN_WORDS = 1_000_000  # distinct words whose ids a task holds before it begins anew
 
 
 def squeeze(values: np.ndarray) -> bytes:
@@ -43,8 +44,8 @@ def unsqueeze(packed: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<i4").ravel()
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, int, pa.Array, list[np.ndarray]]]:
-    """Row ranges of about CHUNK_BYTES of text: the rows, the chunk's key, its words
+def _chunks(batches: Iterator[pa.RecordBatch], chunk_bytes: int) -> Iterator[tuple[pa.RecordBatch, int, pa.Array, list[np.ndarray]]]:
+    """Row ranges of about ``chunk_bytes`` of text: the rows, the chunk's key, its words
     in falling order of frequency, and each row's word numbers.
 
     The key is a hash of the texts themselves, so both passes over the same rows
@@ -52,7 +53,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch,
     """
     for batch in batches:
         size = np.array(pa.compute.fill_null(pa.compute.binary_length(batch.column(1)), 0))
-        cuts = np.flatnonzero(np.diff(np.cumsum(size) // CHUNK_BYTES)) + 1
+        cuts = np.flatnonzero(np.diff(np.cumsum(size) // chunk_bytes)) + 1
         for low, high in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
             rows = batch.slice(low, high - low)
             if rows.num_rows:
@@ -79,9 +80,9 @@ def _numbered(texts: pa.Array) -> tuple[int, pa.Array, list[np.ndarray]]:
     return key.intdigest() - (1 << 63), distinct.take(pa.array(order)), numbers
 
 
-def _word_lists(buckets: int):
+def _word_lists(buckets: int, chunk_bytes: int):
     def deal(batches):
-        for _, key, words, _ in _chunks(batches):
+        for _, key, words, _ in _chunks(batches, chunk_bytes):
             plain = words.to_pylist()
             bucket = np.fromiter((xxhash.xxh32_intdigest(w) for w in plain), np.uint32, len(plain)) % buckets
             order = np.argsort(bucket, kind="stable")
@@ -98,6 +99,7 @@ def _word_lists(buckets: int):
                 ],
                 names=["chunk", "bucket", "numbers", "lengths", "words"],
             )
+        pretokens.give_back()
 
     return deal
 
@@ -112,10 +114,12 @@ def _encode_words(shared):
             for key, number, lengths, packed in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3, 4)), strict=True):
                 data, ends = zstandard.decompress(packed), np.cumsum(unsqueeze(lengths))
                 words = [data[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
-                new = [w for w in words if w not in known]
-                flat, counts = merges.encode(pa.array(new, pa.binary()), table)
-                raw, stops = flat.astype("<i4").tobytes(), 4 * np.cumsum(counts)
-                known.update(zip(new, (raw[a:b] for a, b in zip([0, *stops[:-1]], stops, strict=True)), strict=True))
+                if len(known) > KNOWN_WORDS:
+                    known.clear()  # bounds a task's memory; words met again are merged again
+                if new := [w for w in words if w not in known]:
+                    flat, counts = merges.encode(pa.array(new, pa.binary()), table)
+                    raw, stops = flat.astype("<i4").tobytes(), 4 * np.cumsum(counts)
+                    known.update(zip(new, (raw[b - 4 * n : b] for b, n in zip(stops, counts, strict=True)), strict=True))
                 found = [known[w] for w in words]
                 keys.append(key)
                 numbers.append(number)
@@ -125,17 +129,23 @@ def _encode_words(shared):
                 [pa.array(keys, pa.int64()), pa.array([0] * len(keys), pa.int32()), pa.array(numbers, pa.binary()), pa.array(sizes, pa.binary()), pa.array(ids, pa.binary())],
                 names=["chunk", "kind", "numbers", "sizes", "ids"],
             )
+        known.clear()
+        pretokens.give_back()
 
     return encode
 
 
-def _positions(batches):
-    for rows, key, _, numbers in _chunks(batches):
-        packed = [squeeze(n) for n in numbers]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([key] * len(packed), pa.int64()), pa.array([1] * len(packed), pa.int32()), pa.array(packed, pa.binary()), rows.column(0)],
-            names=["chunk", "kind", "numbers", "id"],
-        )
+def _positions(chunk_bytes: int):
+    def place(batches):
+        for rows, key, _, numbers in _chunks(batches, chunk_bytes):
+            packed = [squeeze(n) for n in numbers]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([key] * len(packed), pa.int64()), pa.array([1] * len(packed), pa.int32()), pa.array(packed, pa.binary()), rows.column(0)],
+                names=["chunk", "kind", "numbers", "id"],
+            )
+        pretokens.give_back()
+
+    return place
 
 
 class _Words:
@@ -195,17 +205,27 @@ def _reassemble(id_type: pa.DataType):
                     pending, size = [], 0
             if pending:
                 yield flush()
+        words = None
+        pretokens.give_back()
 
     return join
 
 
-def encode(docs: DataFrame, ranks: str, id_col: str = "doc_id", text_col: str = "text", buckets: int | None = None) -> DataFrame:
+def encode(
+    docs: DataFrame,
+    ranks: str,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    buckets: int | None = None,
+    chunk_bytes: int = CHUNK_BYTES,
+) -> DataFrame:
     """Rows (id, ids array<int>): every whole text by the ranks file, without special tokens.
 
     ``docs`` is read twice and must give the same rows in the same partitions both
     times, as a table does; if it doesn't, the job fails instead of mixing words.
-    ``buckets`` (default: the session's shuffle partitions) should leave a bucket
-    below about a million distinct words, which a task keeps in memory.
+    ``buckets`` (default: the session's shuffle partitions) should leave a task
+    below KNOWN_WORDS distinct words, which it keeps in memory; beyond that it forgets
+    them and merges those that come again once more, so memory stays bounded.
 
     Null and empty texts give an empty array; repeated rows and null ids each give
     their own row; other columns are ignored. Lost executors cost shuffle files
@@ -217,11 +237,11 @@ def encode(docs: DataFrame, ranks: str, id_col: str = "doc_id", text_col: str =
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     id_type = docs.schema[id_col].dataType.simpleString()
 
-    dealt = rows.mapInArrow(_word_lists(parts), "chunk long, bucket int, numbers binary, lengths binary, words binary")
+    dealt = rows.mapInArrow(_word_lists(parts, chunk_bytes), "chunk long, bucket int, numbers binary, lengths binary, words binary")
     encoded = dealt.repartition(parts, "bucket").mapInArrow(
         _encode_words(shared), "chunk long, kind int, numbers binary, sizes binary, ids binary"
     )
-    positions = rows.mapInArrow(_positions, f"chunk long, kind int, numbers binary, id {id_type}")
+    positions = rows.mapInArrow(_positions(chunk_bytes), f"chunk long, kind int, numbers binary, id {id_type}")
     both = encoded.unionByName(positions, allowMissingColumns=True).select("chunk", "kind", "numbers", "sizes", "ids", "id")
     together = both.repartition(parts, "chunk").sortWithinPartitions("chunk", "kind")
     out = T.StructType([docs.schema[id_col], T.StructField("ids", T.ArrayType(T.IntegerType()))])
@@ -256,18 +276,19 @@ def decode(encoded: DataFrame, ranks: str, id_col: str = "doc_id", ids_col: str
                 at = ends[np.append(0, np.cumsum(per_text[low:high]))] if len(tokens) else np.zeros(high - low + 1, np.int64)
                 texts = [data[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, high - low), pa.array(texts, pa.binary())], names=names)
+        pretokens.give_back()
 
     schema = T.StructType([encoded.schema[id_col], T.StructField("bytes", T.BinaryType())])
     names = schema.names
     return encoded.select(id_col, ids_col).mapInArrow(lookup, schema)
 
 
-def digests(docs: DataFrame, ranks: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def digests(docs: DataFrame, ranks: str, id_col: str = "doc_id", text_col: str = "text", chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """Rows (id, n_tokens, ids_sha256, decoded_sha256): digests of the ids and of what they decode to.
 
     The ids pass through ``encode`` and ``decode``; only digests leave.
     """
-    encoded = encode(docs, ranks, id_col, text_col)
+    encoded = encode(docs, ranks, id_col, text_col, chunk_bytes=chunk_bytes)
     facts = F.struct(
         F.col(id_col),
         F.size("ids").cast("long").alias("n_tokens"),

@@ -9,6 +9,8 @@ boundaries follow from the runs of equal classes.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import re
 import sys
 from collections.abc import Iterator
@@ -111,35 +113,38 @@ def split(data: bytes, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray]:
     return pa.Array.from_buffers(pa.binary(), len(start), [None, pa.py_buffer(bounds), pa.py_buffer(data)]), counts
 
 
-def slices(column: pa.Array) -> Iterator[tuple[bytes, np.ndarray, np.ndarray]]:
+def give_back() -> None:
+    """Return freed memory to the system: Spark keeps idle workers, and what they hold counts against the executor."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def slices(column: pa.Array, cut_at: re.Pattern[bytes] = _CUT, size: int | None = None) -> Iterator[tuple[bytes, np.ndarray, np.ndarray]]:
     """The texts of a string column, null as empty, in pieces of about SLICE_BYTES.
 
     Yields the joined bytes, the bounds of the pieces in them, and the row of
-    each piece. A longer text is cut before a blank between two letters, where
-    a pre-token begins whatever stands around it.
+    each piece. A longer text is cut where a match of ``cut_at`` ends: before a blank
+    between two letters, where a pre-token begins whatever stands around it.
     """
+    size = size or SLICE_BYTES
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    values = column.cast(pa.large_binary()).to_pylist()
-    part: list[bytes] = []
-    rows: list[int] = []
-    size = 0
-
-    def packed():
-        return b"".join(part), np.concatenate([[0], np.cumsum([len(p) for p in part])]), np.array(rows)
-
-    for row, value in enumerate(values):
-        value, at = value or b"", 0
-        while True:
-            cut = _CUT.search(value, at + SLICE_BYTES) if len(value) - at > SLICE_BYTES else None
-            piece = value[at : cut.end()] if cut else value[at:]
-            part.append(piece)
-            rows.append(row)
-            size += len(piece)
-            if size >= SLICE_BYTES:
-                yield packed()
-                part, rows, size = [], [], 0
-            if not cut:
-                break
-            at = cut.end()
-    if part:
-        yield packed()
+    column = (column.fill_null("") if column.null_count else column).cast(pa.large_string())
+    _, bounds, values = column.buffers()
+    ends = np.frombuffer(bounds, np.int64, len(column) + 1, 8 * column.offset) if len(column) else np.zeros(1, np.int64)
+    data, low = memoryview(values or b""), 0
+    while low < len(column):
+        start = ends[low]
+        high = int(np.searchsorted(ends, start + size, "right")) - 1
+        if high > low:
+            yield bytes(data[start : ends[high]]), ends[low : high + 1] - start, np.arange(low, high)
+            low = high
+            continue
+        at, stop = int(start), int(ends[low + 1])
+        while at < stop:
+            cut = cut_at.search(data, at + size, stop) if stop - at > size else None
+            end = cut.end() if cut else stop
+            yield bytes(data[at:end]), np.array([0, end - at]), np.array([low])
+            at = end
+        low += 1
