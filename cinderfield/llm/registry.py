@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
+import public_tokenizers
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,8 +15,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
-#: Folder of public vocabulary files; they are read where they lie.
-TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
+#: Public vocabulary files; they are read where they lie.
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+COUNTED = public_tokenizers.path("byte_bpe_50k.json")
 TOKEN_LIMIT = 512
 
 
@@ -41,8 +43,7 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op2_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text and the bytes they decode to, as digests."""
-    ranks = f"{TOKENIZERS}/byte_bpe_multi_50k.tiktoken"
-    return bpe_codec.digests(table(spark, sf_dir, "documents"), ranks)
+    return bpe_codec.digests(table(spark, sf_dir, "documents"), RANKS)
 
 
 @register
@@ -70,7 +71,7 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every text, and whether they exceed a context of 512."""
-    counted = token_counts.count_tokens(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json")
+    counted = token_counts.count_tokens(table(spark, sf_dir, "documents"), COUNTED)
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
@@ -225,12 +226,13 @@ def line_dedup_sql(documents: str) -> str:
 docs4 as (select row_number() over () as r, d.*, string_split(d.text, chr(10)) as lines4 from {documents} d),
 lines4 as (select r, coalesce(source, '') as site, unnest(lines4) as line, unnest(range(len(lines4))) as i from docs4),
 boiler4 as (select trim(line, ' ') as line from lines4 where regexp_matches(line, '[^\\x20\\x09-\\x0D]')
-  group by trim(line, ' ') having count(distinct site) >= {line_dedup.MIN_SITES}),
+  group by trim(line, ' ') having count(distinct site) >= case when len({_words("trim(line, ' ')")}) > {line_dedup.LONG_WORDS}
+    then {line_dedup.LONG_SITES} else {line_dedup.MIN_SITES} end),
 kept4 as (select l.r, count(*) as n_kept, string_agg(line, chr(10) order by i) as text4 from lines4 l
   where not exists (select 1 from boiler4 b where b.line = trim(l.line, ' ')) group by l.r),
-sized4 as (select d.*, coalesce(n_kept, 0) as n_kept, coalesce(text4, '') as text4,
-  len({_words("d.text")}) as n4, len({_words("coalesce(text4, '')")}) as left4 from docs4 d left join kept4 using (r)),
-cut as (select *, coalesce(len(lines4), 0) as n_lines, n_kept < len(lines4) and 2 * left4 >= n4 as carrier4 from sized4)"""
+sized4 as (select d.*, coalesce(n_kept, 0) as n_kept, coalesce(text4, '') as text4 from docs4 d left join kept4 using (r)),
+cut as (select *, coalesce(len(lines4), 0) as n_lines,
+  n_kept < len(lines4) and regexp_matches(text4, '[^\\x20\\x09-\\x0D]') as carrier4 from sized4)"""
 
 
 def _words(text: str) -> str:

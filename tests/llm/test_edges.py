@@ -5,6 +5,7 @@ import random
 
 import duckdb
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import pytest
 import tiktoken
@@ -29,9 +30,9 @@ from cinderfield.llm import (
 from cinderfield.llm.components import components
 from cinderfield.llm.html_blocks import read_blocks
 
-RANKS = f"{registry.TOKENIZERS}/byte_bpe_multi_50k.tiktoken"
-JSON = f"{registry.TOKENIZERS}/byte_bpe_50k.json"
-PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+JSON = public_tokenizers.path("byte_bpe_50k.json")
+PATTERN = public_tokenizers.PATTERN
 # Names that operators use themselves, as further columns of the input.
 CLASH = "doc_id long, text string, lang string, source string, n_chars long, key string, n_words string, id string, row string, chunk int, kept int"
 LONG = "word and " * 40_000
@@ -190,8 +191,36 @@ def test_pipeline_cuts_boilerplate_that_outweighs_own_words(spark):
     docs = table(spark, texts, sources=sources)
     found = {r["doc_id"]: r["text"] for r in corpus_pipeline.remove_boilerplate(spark, docs, "").collect()}
     assert found == {i: f"own line {i}\n" for i in range(10)} | {10: texts[10]}
-    by_half = {r["row"]["doc_id"]: r["n_removed"] for r in line_dedup.remove_lines(docs).collect()}
-    assert set(by_half.values()) == {0}  # the rule of op4 and its SQL twin
+    assert {r["row"]["doc_id"]: r["n_removed"] for r in line_dedup.remove_lines(docs).collect()} == {i: 1 for i in range(10)} | {10: 0}
+
+
+def test_passages_need_fewer_sites(spark):
+    passage, line = " ".join(["word"] * 51), " ".join(["word"] * 50)
+    texts = [f"own {i}\n{shared}" for shared in (passage, line) for i in range(3)]
+    found = line_dedup.remove_lines(table(spark, texts, sources=["a", "b", None] * 2)).collect()
+    assert {r["row"]["doc_id"]: r["n_removed"] for r in found} == {0: 1, 1: 1, 2: 1, 3: 0, 4: 0, 5: 0}
+    long = line_dedup.remove_lines(table(spark, [f"own\n{LONG}", f"other\n{LONG}", f"x\n{LONG}"], sources=["a", "b", "c"])).collect()
+    assert sorted(r["text"] for r in long) == ["other", "own", "x"]
+
+
+def test_pipeline_drops_repeated_rows_of_one_id(spark, empty):
+    same = "a text of some words that comes in two equal rows"
+    docs = table(spark, [same, same, "other words", None, None, same], ids=[4, 4, 4, None, None, 9])
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    assert kept.columns == docs.columns
+    found = sorted((-1 if r["doc_id"] is None else r["doc_id"], r["text"] or "") for r in kept.collect())
+    assert found == [(-1, ""), (-1, ""), (4, same), (4, "other words")]
+    assert corpus_pipeline.drop_near_duplicates(spark, empty, "").count() == 0
+
+
+def test_pipeline_stages_take_odd_rows(spark, odd, sf):
+    docs = odd
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, sf)
+        assert docs.columns == odd.columns, name
+    left = docs.collect()
+    assert all(any(c.isalpha() for c in r["text"]) for r in left) and {r["text"] for r in left} >= {"x", LONG}
+    assert len(corpus_pipeline.encode(spark, docs, sf).collect()) == len(left)
 
 
 def test_line_spread_near_the_threshold_is_exact(spark):

@@ -6,15 +6,16 @@ import html
 import re
 
 import duckdb
+import public_tokenizers
 import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from cinderfield.llm import line_dedup, merges, registry
+from cinderfield.llm import bpe_codec, line_dedup, merges, registry
 
-RANKS = f"{registry.TOKENIZERS}/byte_bpe_multi_50k.tiktoken"
-PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+PATTERN = public_tokenizers.PATTERN
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -58,8 +59,13 @@ def test_ten_queries_and_pipeline_are_registered():
     assert found["pipeline"] is corpus_pipeline.run
 
 
-def test_codec_equals_library(spark, sf, texts, tokens):
-    rows = registry.REGISTRY["op2_bpe_codec"](spark, sf).collect()
+@pytest.mark.parametrize("chunk", [bpe_codec.CHUNK_BYTES, 20_000, 300])
+def test_codec_equals_library(spark, sf, tokens, chunk):
+    """The query at sf0.01; smaller chunks give records of which all words are known."""
+    docs = spark.read.parquet(f"{sf.replace('0.001', '0.01')}/documents.parquet")
+    docs = docs if chunk > 300 else docs.where("length(text) < 300")
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    rows = bpe_codec.digests(docs, RANKS, chunk_bytes=chunk).collect()
     assert len(rows) == len(texts)
     for r in rows:
         ids = tokens.encode_ordinary(texts[r["doc_id"]])
@@ -68,7 +74,7 @@ def test_codec_equals_library(spark, sf, texts, tokens):
 
 
 def test_counts_equal_library(spark, sf, texts):
-    library = Tokenizer.from_file(f"{registry.TOKENIZERS}/byte_bpe_50k.json")
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     rows = registry.REGISTRY["op6_token_counts"](spark, sf).collect()
     assert len(rows) == len(texts)
     for r in rows:
@@ -138,12 +144,11 @@ def brute_pipeline(rows, items, tokens):
         for line in text.split("\n"):
             if WORDS.search(line):
                 sites[line.strip(" ")].add(source)
-    bad = {line for line, found in sites.items() if len(found) >= line_dedup.MIN_SITES}
+    bad = {x for x, found in sites.items() if len(found) >= (line_dedup.LONG_SITES if len(WORDS.findall(x)) > 50 else line_dedup.MIN_SITES)}
     texts = {}
     for d, (text, _) in docs.items():
         cut = "\n".join(line for line in text.split("\n") if line.strip(" ") not in bad)
-        carrier = 2 * len(WORDS.findall(cut)) >= len(WORDS.findall(text))
-        texts[d] = cut if carrier else text
+        texts[d] = cut if WORDS.search(cut) else text
     roots = roots_of(sets_of(texts, 5))
     texts = {d: t for d, t in texts.items() if roots[d] == d}
     word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -164,7 +169,9 @@ def brute_pipeline(rows, items, tokens):
     return out
 
 
-def test_pipeline_equals_brute_force(spark, sf, tokens):
+@pytest.mark.parametrize("size", ["0.001", "0.01"])
+def test_pipeline_equals_brute_force(spark, sf, tokens, size):
+    sf = sf.replace("0.001", size)
     docs = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "source").collect()]
     items = [r["text"] for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
     want = brute_pipeline(docs, items, tokens)
