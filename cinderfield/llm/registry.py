@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinderfield.llm import bpe_codec, decontamination, html_extraction, language_id, line_dedup, minhash, quality_fm, quality_rules, token_counts, url_filter
+from cinderfield.llm import bpe_codec, collocations, decontamination, filter_audit, html_extraction, language_id, line_dedup, minhash, quality_fm, quality_rules, token_counts, url_filter, warc
+from cinderfield.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -256,3 +257,89 @@ reach5(a, b) as (select doc_id, doc_id from docs5 union select r.a, l.b from rea
 roots5 as (select a as doc_id, min(b) as component_id from reach5 group by a)
 select d.doc_id, coalesce(n, 0) as n_shingles, component_id, d.doc_id = component_id as kept
 from docs5 d join roots5 r using (doc_id) left join sizes5 s using (doc_id)"""
+
+
+@register
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents kept and removed by five filters in each of their orders, per source."""
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+_BITS = " ".join(f"when '{name}' then {1 << i}" for i, name in enumerate(filter_audit.FILTERS))
+ORACLES["op12_filter_audit"] = f"""
+with docs as (select doc_id, coalesce(text, '') as text, coalesce(source, '') as part, {_words("text")} as words from documents),
+firsts as (select text, min(doc_id) as first from docs group by text),
+marks as (select doc_id, coalesce(max((quality = 1)::int), 0) as good, coalesce(max((toxic = 1)::int), 0) as toxic from labels group by doc_id),
+masks as (select part, (len(words) < 50)::int + 2 * (100 * len(list_distinct(words)) < 65 * len(words))::int
+    + 4 * (100 * (length(text) - length(regexp_replace(text, '[A-Z]+', '', 'g'))) > 5 * length(text))::int
+    + 8 * regexp_matches(text, '[#$%&*|]')::int + 16 * (first is not null and not coalesce(doc_id <= first, false))::int as m,
+    coalesce(good, 0) as good, coalesce(toxic, 0) as toxic
+  from docs left join firsts using (text) left join marks using (doc_id)),
+counted as (select part, m, count(*) as n, sum(good) as good, sum(toxic) as toxic from masks group by part, m),
+names(x) as (values {', '.join(f"('{name}')" for name in filter_audit.FILTERS)}),
+orders as (select a.x || b.x || c.x || d.x || e.x as filter_order from names a, names b, names c, names d, names e
+  where len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+bits as (select filter_order, step, case filter_order[step] {_BITS} end as own from orders, range(1, 6) s(step)),
+steps as (select *, coalesce(sum(own) over (partition by filter_order order by step rows between unbounded preceding and 1 preceding), 0)::int as before from bits),
+found as (select part, filter_order, step, own,
+    coalesce(sum(n) filter (m & (before | own) = 0), 0)::bigint as kept, coalesce(sum(n) filter (m & before = 0 and m & own <> 0), 0)::bigint as removed,
+    coalesce(sum(n) filter (m & before <> 0 and m & own <> 0), 0)::bigint as redundant, coalesce(sum(n) filter (m = own), 0)::bigint as unique_fails,
+    coalesce(sum(good) filter (m & before = 0 and m & own <> 0), 0)::bigint as good_lost,
+    coalesce(sum(toxic) filter (m & before = 0 and m & own <> 0), 0)::bigint as toxic_lost
+  from counted, steps group by part, filter_order, step, own)
+select part, filter_order, step::int as step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  (sum(removed) over (partition by part, own))::bigint as shapley from found"""
+
+
+@register
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 strongest phrases of each language."""
+    return collocations.top_phrases(table(spark, sf_dir, "documents"))
+
+
+_LENGTHS = range(2, collocations.MOST_WORDS + 1)
+_INNER = " union all ".join(
+    f"select lang, array_to_string(list_slice(w, {start}, {start + size - 1}), ' ') as phrase, a as longer from candidates where k = {words}"
+    for words in _LENGTHS
+    for start, size in collocations._inner(words)
+)
+ORACLES["op13_collocations"] = f"""
+with pieces as (select row_number() over () as p, * from (select coalesce(lang, 'und') as lang,
+    unnest(string_split_regex(translate(coalesce(text, ''), '{quality_rules.W.UPPER}', '{quality_rules.W.LOWER}'), '[.,;:!?\\x0A-\\x0D]')) as piece from documents)),
+spots as (select lang, p, unnest(w) as word, unnest(range(len(w))) as i
+  from (select lang, p, list_filter(string_split_regex(piece, '[\\x20\\x09]+'), lambda x: x <> '') as w from pieces)),
+wins as (select lang, word, {', '.join(f'lead(word, {k}) over t as w{k}' for k in range(1, collocations.MOST_WORDS))} from spots window t as (partition by p order by i)),
+grams as (select lang, 1 as k, [word] as w from wins
+  {' '.join(f"union all select lang, {k}, [word, {', '.join(f'w{i}' for i in range(1, k))}] from wins where w{k - 1} is not null" for k in _LENGTHS)}),
+f as (select lang, k, w, array_to_string(w, ' ') as phrase, count(*) as a from grams group by lang, k, w),
+sizes as (select lang, sum(a)::bigint as n from f where k = 1 group by lang),
+candidates as (select * from f where k > 1 and a >= 100),
+cuts as (select c.*, unnest(range(1, k)) as cut from candidates c),
+rated as (select c.lang, c.phrase, c.a, c.cut, x.a as l, y.a as r, n, (1000::hugeint * c.a * n) // (x.a::hugeint * y.a) as score
+  from cuts c join f x on x.lang = c.lang and x.k = c.cut and x.w = list_slice(c.w, 1, c.cut)
+  join f y on y.lang = c.lang and y.k = c.k - c.cut and y.w = list_slice(c.w, c.cut + 1, c.k) join sizes s on s.lang = c.lang),
+worst as (select * from (select *, row_number() over (partition by lang, phrase order by score, cut) as place from rated) where place = 1),
+inside as (select lang, phrase, max(longer) as longer from ({_INNER}) group by lang, phrase),
+kept as (select w.* from worst w left join inside i using (lang, phrase) where longer is null or 100 * longer < 100 * a),
+ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from kept)
+select lang, rank, phrase, a, l, r, n, score::bigint as score from ranked where rank <= 2000"""
+
+
+@register
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to an archive and read back: its payload's size and digest, and its record."""
+    pages = table(spark, sf_dir, "pages")
+    path = scratch_path(spark, "archive")
+    warc.write_archive(warc.page_records(pages), path)
+    id_type = pages.schema["page_id"].dataType
+    found = warc.page_facts(spark, path)
+    return found.select(
+        F.col("page_id").cast(id_type).alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast(id_type).alias("refers_to")
+    )
+
+
+ORACLES["op11_warc"] = f"""
+with payloads as (select page_id, strlen(coalesce(html, '')) as size, sha256(coalesce(html, '')) as digest from pages),
+firsts as (select digest, min(page_id) as first from payloads where size >= {warc.LEAST_REVISIT} group by digest)
+select page_id, size as payload_bytes, digest as payload_digest, case when first <> page_id then 'revisit' else 'response' end as record_type,
+  case when first <> page_id then first end as refers_to from payloads left join firsts using (digest)"""
