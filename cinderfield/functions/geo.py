@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from typing import ClassVar
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,6 +51,9 @@ class RadiusBins:
 
     radius_m: float
 
+    #: Bits of a bin's number along its band: enough for bins of three metres.
+    COLUMN_BITS: ClassVar[int] = 24
+
     @property
     def height_deg(self) -> float:
         return math.degrees(self.radius_m / EARTH_RADIUS_M) * _SLACK
@@ -83,6 +87,27 @@ class RadiusBins:
             F.expr(f"({self._column(lon, bins)} + 0.5D) * 360D / {bins} - 180D"),
         )
 
+    def nested(self, lat: str, lon: str, depth: int) -> tuple[Column, Column, Column]:
+        """The bin a point lies in as one small number, and its row and column among the bin's 2^depth by 2^depth parts."""
+        band, parts = self._band(lat), 1 << depth
+        bins = self._bins_in_band(band)
+        up = f"(({lat} + 90D) / {_d(self.height_deg)} - {band})"
+        along = f"(({lon} + 180D) / 360D * {bins} - floor(({lon} + 180D) / 360D * {bins}))"
+        return (
+            F.expr(f"shiftleft({band}, {self.COLUMN_BITS}) + {self._column(lon, bins)}"),
+            F.expr(f"cast(least(floor({up} * {parts}), {parts - 1}) as int)"),
+            F.expr(f"cast(least(floor({along} * {parts}), {parts - 1}) as int)"),
+        )
+
+    def part_centre(self, bin_: str, row: str, column: str, parts: str) -> tuple[Column, Column]:
+        """Latitude and longitude of the middle of one of ``parts`` by ``parts`` equal parts of a bin from ``nested``."""
+        band, col = f"shiftright({bin_}, {self.COLUMN_BITS})", f"({bin_} & {(1 << self.COLUMN_BITS) - 1}L)"
+        bins = self._bins_in_band(band)
+        return (
+            F.expr(f"({band} + ({row} + 0.5D) / {parts}) * {_d(self.height_deg)} - 90D"),
+            F.expr(f"({col} + ({column} + 0.5D) / {parts}) * 360D / {bins} - 180D"),
+        )
+
     def with_reach(self, df: DataFrame, lat: str, lon: str, out: str) -> DataFrame:
         """One row per (input row, reachable bin)."""
         h = _d(self.height_deg)

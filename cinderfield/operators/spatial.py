@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -118,57 +119,147 @@ def radius_pairs(
     return pairs.select(*out, distance.alias("distance_m")) if with_distance else pairs.select(*out)
 
 
-# Points are folded by blocks this many to a radius.
-BLOCKS_PER_RADIUS = 8
+# The coarsest blocks are half a radius high; a block of more rows than SPLIT_ROWS
+# has four children, down to DEPTH levels below.
+BLOCKS_PER_RADIUS = 2
+DEPTH = 4
+SPLIT_ROWS = 256
+_SIDE = 1 << DEPTH
 
 
-def radius_fold(
+def _node(level: str) -> Column:
+    """Number of the block of this level that holds the row; levels never share numbers."""
+    return F.expr(
+        f"((_base * {DEPTH + 1} + {level}) * {_SIDE} + shiftright(_row, {DEPTH} - {level})) * {_SIDE} + shiftright(_col, {DEPTH} - {level})"
+    )
+
+
+def _blocks(rows: DataFrame, bins: RadiusBins, point_cols: tuple[str, str]) -> DataFrame:
+    """Per block of each row's ``_level``: its middle, its rows, and how far they reach from the middle."""
+    mid = bins.part_centre("_base", f"shiftright(_row, {DEPTH} - _level)", f"shiftright(_col, {DEPTH} - _level)", "shiftleft(1, _level)")
+    middles = rows.select(*rows.columns, mid[0].alias("_mlat"), mid[1].alias("_mlon"))
+    return middles.groupBy("_node", "_level", "_mlat", "_mlon").agg(
+        F.count(F.lit(1)).alias("_rows"), F.max(haversine_m("_mlat", "_mlon", *point_cols)).alias("_extent")
+    )
+
+
+@dataclass(frozen=True)
+class Cover:
+    """``asked``: place columns and ``_bin``; ``offered``: what each bin holds. A bin's last digit tells whole blocks from cut ones."""
+
+    asked: DataFrame
+    offered: DataFrame
+
+
+def block_cover(
     places: DataFrame,
     points: DataFrame,
     radius_m: float,
     place_cols: tuple[str, str],
     point_cols: tuple[str, str] = ("latitude", "longitude"),
     rows_per_slice: int = ROWS_PER_SLICE,
-) -> DataFrame:
-    """Per place and ``_t``: ``_n`` summed and ``_at`` at its largest over the points within the radius.
-
-    ``points`` carries ``_t, _n, _at``. Pairing every point with every place is
-    avoided: points fold by small blocks (an eighth of the radius), a place takes a
-    block's sums per ``_t`` when the block lies wholly inside its circle, skips the
-    block when it lies wholly outside, and looks at single points only of blocks
-    its circle cuts. Every block goes this way, crowded or not.
+    split_rows: int = SPLIT_ROWS,
+) -> Cover:
+    """The blocks that stand for each place's circle: the coarsest that lie wholly inside, and those its rim cuts.
+
+    Blocks form a quadtree. A place meets the coarsest blocks near it in one radius
+    join; of those that its rim cuts it goes on to the children, where there are
+    any, and so looks at fine blocks along the rim only. Blocks of few rows are not
+    divided, so thin areas have no levels below and no join for them.
     """
     plat, plon = point_cols
-    blocks = RadiusBins(radius_m / BLOCKS_PER_RADIUS)
-    mid_lat, mid_lon = blocks.centre(*point_cols)
-    placed = _checked(points.select(plat, plon, "_t", "_n", "_at"), point_cols, "point table").select(
-        "*", blocks.home(plat, plon).alias("_block"), mid_lat.alias("_mlat"), mid_lon.alias("_mlon")
-    )
-    extents = placed.groupBy("_block", "_mlat", "_mlon").agg(
-        F.max(haversine_m("_mlat", "_mlon", *point_cols)).alias("_extent")
-    )
-    # A block reaches at most half a radius from its middle, also at the poles.
+    bins = RadiusBins(radius_m / BLOCKS_PER_RADIUS)
+    base, row, col = bins.nested(plat, plon, DEPTH)
+    placed = _checked(points.select(plat, plon, "_t", "_n", "_at"), point_cols, "point table")
+    placed = placed.select("*", base.alias("_base"), row.alias("_row"), col.alias("_col"))
+    coarse = placed.withColumn("_level", F.lit(0)).withColumn("_node", _node("_level"))
+    blocks = settle(_blocks(coarse, bins, point_cols), "blocks")
+    crowded = blocks.filter(F.col("_rows") > split_rows).select("_node")
+    reach, deep = blocks.agg(F.max("_extent"), F.max("_rows") > split_rows).first()
+
+    margin = radius_m * 1e-9 + 1e-6
     near = radius_pairs(
-        places, extents, radius_m * 1.5 + 1.0, place_cols, ("_mlat", "_mlon"), rows_per_slice, with_distance=True
+        places, blocks.drop("_level"), radius_m + (reach or 0.0) + 1.0, place_cols, ("_mlat", "_mlon"), rows_per_slice, with_distance=True
     )
-    margin = radius_m * 1e-9 + 1e-6
     inside = F.col("distance_m") + F.col("_extent") <= radius_m - margin
     outside = F.col("distance_m") - F.col("_extent") > radius_m + margin
-    asked = (
-        near.withColumn("_cut", F.when(inside, 0).otherwise(1))
-        .filter((F.col("_cut") == 0) | ~outside)
-        .select(*place_cols, "_cut", (F.col("_block") * 2 + F.col("_cut")).alias("_bin"))
-    )
-    whole = placed.groupBy("_block", "_t").agg(F.sum("_n").alias("_n"), F.max("_at").alias("_at"))
+
+    def judged(pairs: DataFrame, last: bool) -> DataFrame:
+        leaf = F.lit(True) if last else F.col("_rows") <= split_rows
+        state = F.when(inside, 0).when(leaf, 1).otherwise(2)
+        return pairs.filter(inside | ~outside).select(*place_cols, "_node", state.alias("_state"))
+
+    def bins_of(pairs: DataFrame) -> DataFrame:
+        return pairs.filter(F.col("_state") < 2).select(*place_cols, (F.col("_node") * 2 + F.col("_state")).alias("_bin"))
+
+    first = judged(near, last=False)
+    rest = placed
+    if deep:
+        first = settle(first, "cover")
+        inner = coarse.join(crowded, "_node", "left_semi").drop("_level", "_node")
+        levels = inner.select("*", F.explode(F.sequence(F.lit(1), F.lit(DEPTH))).alias("_level")).withColumn("_node", _node("_level"))
+        levels = levels.withColumn("_parent", _node("(_level - 1)"))
+        fine = _blocks(levels, bins, point_cols)
+        parents = levels.select("_node", "_parent").distinct()
+        tree = settle(fine.join(parents, "_node"), "tree")
+        asked, cut = bins_of(first), first.filter(F.col("_state") == 2)
+        for level in range(1, DEPTH + 1):
+            children = tree.filter(F.col("_level") == level).select(
+                F.col("_parent").alias("_up"), F.col("_node").alias("_child"), "_mlat", "_mlon", "_rows", "_extent"
+            )
+            pairs = cut.join(children, F.col("_node") == F.col("_up")).drop("_node").withColumnRenamed("_child", "_node")
+            pairs = judged(pairs.withColumn("distance_m", haversine_m(*place_cols, "_mlat", "_mlon")), last=level == DEPTH)
+            pairs = settle(pairs, "cover")
+            asked, cut = asked.unionByName(bins_of(pairs)), pairs.filter(F.col("_state") == 2)
+        # A row of a crowded block stands in the one leaf that has no children, and in every block above it.
+        held = tree.select("_node", (F.col("_level") == DEPTH).alias("_last"), "_rows")
+        open_ = tree.filter(F.col("_rows") > split_rows).select("_node").unionByName(crowded)
+        held = held.join(tree.select("_node", "_parent"), "_node").join(open_.withColumnRenamed("_node", "_parent"), "_parent", "left_semi")
+        stands = levels.join(held.drop("_parent"), "_node")
+        leaf = F.col("_last") | (F.col("_rows") <= split_rows)
+        offered = _offered(stands.filter(leaf), stands, plat, plon)
+        sums = coarse.join(crowded, "_node", "left_semi")
+        offered = offered.unionByName(_sums(sums, plat, plon))
+        rest = coarse.join(crowded, "_node", "left_anti")
+        offered = offered.unionByName(_offered(rest, rest, plat, plon))
+    else:
+        asked, offered = bins_of(first), _offered(coarse, coarse, plat, plon)
+    return Cover(settle(asked, "asked"), settle(offered, "offered"))
+
+
+def _sums(rows: DataFrame, plat: str, plon: str) -> DataFrame:
     nowhere = F.lit(0.0)
-    offered = whole.select(
-        (F.col("_block") * 2).alias("_bin"), nowhere.alias(plat), nowhere.alias(plon), "_t", "_n", "_at"
-    ).unionByName(
-        placed.select((F.col("_block") * 2 + 1).alias("_bin"), plat, plon, "_t", "_n", "_at")
-    )
+    whole = rows.groupBy("_node", "_t").agg(F.sum("_n").alias("_n"), F.max("_at").alias("_at"))
+    return whole.select((F.col("_node") * 2).alias("_bin"), nowhere.alias(plat), nowhere.alias(plon), "_t", "_n", "_at")
+
+
+def _offered(leaves: DataFrame, held: DataFrame, plat: str, plon: str) -> DataFrame:
+    """Sums per block and ``_t`` for whole blocks, single rows for cut ones."""
+    single = leaves.select((F.col("_node") * 2 + 1).alias("_bin"), plat, plon, "_t", "_n", "_at")
+    return _sums(held, plat, plon).unionByName(single)
+
+
+def radius_fold(
+    places: DataFrame,
+    points: DataFrame,
+    radius_m: float,
+    place_cols: tuple[str, str],
+    point_cols: tuple[str, str] = ("latitude", "longitude"),
+    rows_per_slice: int = ROWS_PER_SLICE,
+    split_rows: int = SPLIT_ROWS,
+) -> DataFrame:
+    """Per place and ``_t``: ``_n`` summed and ``_at`` at its largest over the points within the radius.
+
+    ``points`` carries ``_t, _n, _at``. Pairing every point with every place is
+    avoided: a place takes the sums per ``_t`` of blocks that lie wholly inside its
+    circle, and looks at single points only of blocks that its rim cuts
+    (``block_cover``). Every block goes this way, crowded or not.
+    """
+    plat, plon = point_cols
+    cover = block_cover(places, points, radius_m, place_cols, point_cols, rows_per_slice, split_rows)
     distance = haversine_m(*place_cols, plat, plon)
-    asked, offered = settle(asked, "asked"), settle(offered, "offered")
-    found = _bin_join(asked, offered, (F.col("_cut") == 0) | (distance <= radius_m), rows_per_slice)
+    whole = F.col("_bin") % 2 == 0
+    found = _bin_join(cover.asked.withColumn("_whole", whole), cover.offered, F.col("_whole") | (distance <= radius_m), rows_per_slice)
     return found.groupBy(*place_cols, "_t").agg(F.sum("_n").alias("_n"), F.max("_at").alias("_at"))
 
 
@@ -180,6 +271,7 @@ def radius_count(
     centre_cols: tuple[str, str] = ("lat", "lon"),
     point_cols: tuple[str, str] = ("latitude", "longitude"),
     rows_per_slice: int = ROWS_PER_SLICE,
+    split_rows: int = SPLIT_ROWS,
 ) -> DataFrame:
     """``centres`` plus the number of points within the radius; no point gives 0.
 
@@ -195,7 +287,7 @@ def radius_count(
         F.col(clat).cast("double").alias("_clat"), F.col(clon).cast("double").alias("_clon")
     ).distinct()
     counted = radius_fold(
-        places, folded, radius_m, ("_clat", "_clon"), point_cols, rows_per_slice
+        places, folded, radius_m, ("_clat", "_clon"), point_cols, rows_per_slice, split_rows
     ).select("_clat", "_clon", F.col("_n").alias(out))
     joined = centres.join(
         counted,

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cinderfield.contract import EARTH_RADIUS_M
-from cinderfield.operators.spatial import radius_count, radius_pairs
+from cinderfield.operators.spatial import block_cover, radius_count, radius_pairs
 
 
 def distance(a, b):
@@ -81,14 +81,14 @@ def test_null_coordinate_fails(spark):
         radius_count(c, p, 10_000.0).collect()
 
 
-@pytest.mark.parametrize("rows_per_slice", [20_000, 5, 1])
-def test_folded_counts_match_brute_force_on_the_sphere(spark, rows_per_slice):
+@pytest.mark.parametrize("rows_per_slice, split_rows", [(20_000, 256), (5, 256), (1, 3), (20_000, 20)])
+def test_folded_counts_match_brute_force_on_the_sphere(spark, rows_per_slice, split_rows):
     rng = random.Random(12)
     left, right = sphere_points(rng, 200), sphere_points(rng, 400)
     right += [(40 + rng.gauss(0, 0.01), 30 + rng.gauss(0, 0.01)) for _ in range(200)]
     c = spark.createDataFrame([(i, *p) for i, p in enumerate(left)], "i int, lat double, lon double")
     p = spark.createDataFrame(right, "latitude double, longitude double")
-    got = radius_count(c, p, 30_000.0, rows_per_slice=rows_per_slice)
+    got = radius_count(c, p, 30_000.0, rows_per_slice=rows_per_slice, split_rows=split_rows)
     want = {i: sum(distance(a, b) <= 30_000.0 for b in right) for i, a in enumerate(left)}
     assert {r["i"]: r["n_points"] for r in got.collect()} == want
 
@@ -103,3 +103,19 @@ def test_every_block_folds_without_limits(spark):
     assert got == want
     plan = radius_count(c, p, 30_000.0)._jdf.queryExecution().optimizedPlan().toString()
     assert "Limit" not in plan
+
+
+def test_cover_takes_coarse_blocks_inside_and_fine_ones_along_the_rim(spark):
+    """About 1,300 points to a circle of 10 km: a divided cover asks for under 80 blocks and tests fewer points."""
+    step = 0.00443  # half a kilometre
+    points = spark.range(160 * 160).selectExpr(
+        f"40 + (id div 160) * {step} as latitude", f"30 + (id % 160) * {step} / cos(radians(40)) as longitude", "0L as _t", "1L as _n", "cast(null as long) as _at"
+    )
+    places = spark.range(25).selectExpr("40.2 + (id div 5) * 0.061 as lat", "30.25 + (id % 5) * 0.083 as lon")
+    tested = {}
+    for split_rows in (50, 10**6):
+        cover = block_cover(places, points, 10_000.0, ("lat", "lon"), split_rows=split_rows)
+        asked = cover.asked.groupBy("lat", "lon").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("_bin") % 2 == 0).alias("whole")).collect()
+        assert len(asked) == 25 and max(r["n"] for r in asked) < 80 and all(r["whole"] > 0 for r in asked)
+        tested[split_rows] = cover.asked.where("_bin % 2 = 1").join(cover.offered, "_bin").count() / 25
+    assert tested[50] < 0.7 * tested[10**6]
