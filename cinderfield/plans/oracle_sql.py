@@ -555,6 +555,12 @@ def statements() -> dict[str, str]:
                on f.stem = 'img_'||cast(i.image_id as varchar)) group by all""",
         flags,
     )
+    out["hotspot_ingest"] = _with(
+        "arch",
+        """select * exclude (rn, lowest), cast(date_diff('day', lowest, acq_date) // 365 as int) as chunk
+           from (select *, row_number() over (partition by latitude, longitude, acq_date order by chunk_seq, line_ref, frp, confidence) as rn,
+             min(acq_date) over () as lowest from arch) where rn = 1""",
+    )
     out["hotspot_stream"] = _with("arch", "select distinct latitude, longitude, acq_date from arch")
     return out
 

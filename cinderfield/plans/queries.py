@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cinderfield import contract
 from cinderfield.contract import FEATURES, LAND_COVER, TARGET, BoosterSettings, LabelSettings
@@ -618,3 +620,48 @@ def hotspot_stream(spark: SparkSession, sf: str) -> DataFrame:
     stream.ingest(deduped, f"{path}/table", f"{path}/checkpoint").awaitTermination()
     table = spark.read.parquet(f"{path}/table")
     return table.select("latitude", "longitude", F.col("acq_date").cast("timestamp_ntz").alias("acq_date"))
+
+
+CHUNK_DAYS, OVERLAP_DAYS = 365, 10
+
+
+@register
+def hotspot_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    """The archive as overlapping CSV chunk files, streamed two at a time with one lost commit, and read back.
+
+    Each chunk begins with the last ten days of the one before. The last batch is
+    written and its commit lost; the stream is then started anew.
+    """
+    rows = views.view(spark, sf, "ARCHIVE")
+    first, last = rows.agg(F.min("acq_date"), F.max("acq_date")).first()
+    day = F.datediff("acq_date", F.lit(first))
+    own = F.floor(day / CHUNK_DAYS).cast("int")
+    begun = F.when((day % CHUNK_DAYS >= CHUNK_DAYS - OVERLAP_DAYS), F.array(own, own + 1)).otherwise(F.array(own))
+    copies = rows.withColumn("chunk", F.explode(begun))
+    folder = scratch_path(spark, "chunks")
+    chunks = (last - first).days // CHUNK_DAYS + 1
+    for number in range(chunks):  # one file for each chunk, as an archive delivers them
+        copies.filter(F.col("chunk") == number).coalesce(1).write.option("header", True).csv(f"{folder}/{number:05d}")
+    extra = T.StructType.fromDDL("chunk int, chunk_seq bigint, line_ref bigint, frp double")
+    order, path = ["chunk", "chunk_seq", "line_ref", "frp", "confidence"], scratch_path(spark, "ingest")
+
+    def run(after_write: Callable[[int], None] | None = None) -> None:
+        files = stream.stream_hotspot_files(spark, f"{folder}/*", f"{folder}/00000", 2, extra)
+        kept = stream.keep_first_stream(files, order, f"{OVERLAP_DAYS} days")
+        stream.ingest_batches(kept, f"{path}/table", f"{path}/checkpoint", after_write).awaitTermination()
+
+    class CommitLost(Exception):
+        pass
+
+    def lose_last(number: int) -> None:
+        if 2 * (number + 1) >= chunks:
+            raise CommitLost(f"batch {number} was written and not committed")
+
+    try:
+        run(lose_last)
+    except StreamingQueryException as lost:
+        if "CommitLost" not in str(lost):
+            raise
+    run()
+    table = stream.read_ingested(spark, f"{path}/table").select(*rows.columns, "chunk")
+    return table.withColumn("acq_date", F.col("acq_date").cast("timestamp_ntz"))
