@@ -1,33 +1,57 @@
 """Exact order statistics over a whole table without a single-task sort.
 
-Spark runs a window without partition keys in one task. Here the distinct keys
-are first cut into value ranges of similar size; the ranges' totals (a few
-hundred rows) give each range its starting offset and the rest of the running
-sum stays inside a range.
+Spark runs a window without partition keys in one task. Here the distinct keys are
+written once and dealt into value ranges of bounded size, as many as there are keys
+for; each range's total gives the next its starting offset, in two levels, and the
+rest of the running sum stays inside a range.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-RANGES = 256
+from cinderfield.scratch import settle
 
+#: Keys of one range: what a task sorts.
+ROWS_PER_RANGE = 50_000
+#: Ranges whose totals are summed together in one task.
+RANGES_PER_BLOCK = 1_000
 
-def _ranges(df: DataFrame, key: str, ranges: int) -> DataFrame:
-    """Add ``_range``: a rising function of ``key``. Its edges only decide balance, not results."""
-    probabilities = [i / ranges for i in range(1, ranges)]
-    edges = sorted(set(df.approxQuantile(key, probabilities, 1.0 / (4 * ranges))))
-    if not edges:
-        return df.withColumn("_range", F.lit(0.0))
-    cut = Bucketizer(
-        splits=[float("-inf"), *edges, float("inf")],
-        inputCol=key,
-        outputCol="_range",
-        handleInvalid="keep",
+
+def _ranges(df: DataFrame, key: str, rows_per_range: int) -> DataFrame:
+    """``df``, written once, plus ``_range``: a rising number of the value range a row's key lies in."""
+    keys = settle(df, "keys")
+    ranges = -(-keys.count() // rows_per_range)
+    if ranges < 2:
+        return keys.withColumn("_range", F.lit(0))
+    return settle(keys.repartitionByRange(ranges, F.col(key)).withColumn("_range", F.spark_partition_id()), "ranges")
+
+
+def _offsets(totals: DataFrame, by: list[str], sums: list[str], descending: bool) -> DataFrame:
+    """Per group and range: what lies ahead of it, and the group's total; blocks of ranges first, ranges inside a block second."""
+    order = F.desc if descending else F.asc
+    blocked = totals.withColumn("_block", F.floor(F.col("_range") / RANGES_PER_BLOCK))
+    blocks = blocked.groupBy(*by, "_block").agg(*[F.sum(f"_s_{c}").alias(f"_s_{c}") for c in sums])
+    group = Window.partitionBy(*by)
+    before = group.orderBy(order("_block")).rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select(
+        *[F.col(b).alias(f"_o_{b}") for b in by],
+        F.col("_block").alias("_o_block"),
+        *[F.coalesce(F.sum(f"_s_{c}").over(before), F.lit(0)).alias(f"_ahead_{c}") for c in sums],
+        *[F.sum(f"_s_{c}").over(group).alias(f"tot_{c}") for c in sums],
+    )
+    match = F.col("_block") == F.col("_o_block")
+    for b in by:
+        match = match & F.col(b).eqNullSafe(F.col(f"_o_{b}"))
+    inside = Window.partitionBy(*by, "_block").orderBy(order("_range")).rowsBetween(Window.unboundedPreceding, -1)
+    local = blocked.withColumns({f"_l_{c}": F.coalesce(F.sum(f"_s_{c}").over(inside), F.lit(0)) for c in sums})
+    return local.join(blocks, match).select(
+        *[F.col(b).alias(f"_b_{b}") for b in by],
+        F.col("_range").alias("_b_range"),
+        *[(F.col(f"_l_{c}") + F.col(f"_ahead_{c}")).alias(f"_off_{c}") for c in sums],
+        *[f"tot_{c}" for c in sums],
     )
-    return cut.transform(df)
 
 
 def running_sums(
@@ -36,25 +60,18 @@ def running_sums(
     sums: list[str],
     by: list[str] | None = None,
     descending: bool = False,
-    ranges: int = RANGES,
+    rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
     """Add ``run_<c>`` (inclusive running sum in key order) and ``tot_<c>`` per column.
 
-    ``key`` is a double, distinct within ``by``. ``by`` should have few values
-    (folds, rounds): the offsets table has at most ``ranges`` rows for each.
+    ``key`` is a double, distinct within ``by``, which should have few values (folds,
+    rounds). ``df`` is run once and written; the number of ranges follows its rows.
     """
     by = by or []
-    cut = _ranges(df, key, ranges)
+    cut = _ranges(df, key, rows_per_range)
     order = F.desc if descending else F.asc
     totals = cut.groupBy(*by, "_range").agg(*[F.sum(c).alias(f"_s_{c}") for c in sums])
-    group = Window.partitionBy(*by)
-    ahead = group.orderBy(order("_range")).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        *[F.col(b).alias(f"_b_{b}") for b in by],
-        F.col("_range").alias("_b_range"),
-        *[F.coalesce(F.sum(f"_s_{c}").over(ahead), F.lit(0)).alias(f"_off_{c}") for c in sums],
-        *[F.sum(f"_s_{c}").over(group).alias(f"tot_{c}") for c in sums],
-    )
+    offsets = _offsets(totals, by, sums, descending)
     match = F.col("_range") == F.col("_b_range")
     for b in by:
         match = match & F.col(b).eqNullSafe(F.col(f"_b_{b}"))
@@ -63,9 +80,7 @@ def running_sums(
         .orderBy(order(key))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    # Every range has its offsets. A left join says so without the null filter an inner
-    # join would push below the aggregation, repeating the expression behind the key.
-    joined = cut.join(offsets, match, "left")
+    joined = cut.join(offsets, match)
     return joined.select(
         *df.columns,
         *[(F.sum(c).over(inside) + F.col(f"_off_{c}")).alias(f"run_{c}") for c in sums],

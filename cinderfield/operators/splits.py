@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import math
+from dataclasses import dataclass
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cinderfield.contract import TARGET
 from cinderfield.functions.scalars import hash_text
-from cinderfield.operators.ordered import exact_quantiles
+from cinderfield.operators.ordered import exact_quantiles, running_sums
 from cinderfield.scratch import settle
 
 
@@ -45,6 +49,61 @@ def class_of(y: Column) -> Column:
     return F.when(y == 1, 1).when(y == 0, 0)
 
 
+#: Digits of a hash.
+HASH_DIGITS = 32
+#: Hash digits that one round of the selection looks at, and rows of a bin that are simply sorted.
+DIGITS = 3
+BIN_ROWS = 10_000
+
+
+@dataclass(frozen=True)
+class _Wanted:
+    """The row of rank ``rank`` among the class's hashes that begin with ``prefix``."""
+
+    cls: int | None
+    name: str
+    prefix: str
+    rank: int
+
+
+def _nth_hashes(slim: DataFrame, wanted: list[_Wanted], bin_rows: int) -> dict[tuple[int | None, str], str]:
+    """The wanted hashes, found digit by digit.
+
+    Each round counts the rows of the bins still open by their next digits and goes
+    on in the bin that holds the rank, until a bin is small or all its digits are
+    used. The driver holds a prefix and a rank for each wanted hash, no more.
+    """
+    found: dict[tuple[int | None, str], str] = {}
+    while wanted:
+        size = len(wanted[0].prefix)
+        open_ = reduce(lambda a, b: a | b, [F.col("_cls").eqNullSafe(w.cls) & F.col("_h").startswith(w.prefix) for w in wanted])
+        digits = F.substring("_h", 1, size + DIGITS).alias("_digits")
+        counts: dict[tuple[int | None, str], list[tuple[str, int]]] = {}
+        for r in slim.filter(open_).groupBy("_cls", digits).agg(F.count(F.lit(1)).alias("n")).orderBy("_digits").collect():
+            counts.setdefault((r["_cls"], r["_digits"][:size]), []).append((r["_digits"], r["n"]))
+        small, further = [], []
+        for w in wanted:
+            before = 0
+            for prefix, n in counts[w.cls, w.prefix]:
+                if before + n >= w.rank:
+                    here = _Wanted(w.cls, w.name, prefix, w.rank - before)
+                    if len(prefix) >= HASH_DIGITS:
+                        found[w.cls, w.name] = prefix
+                    else:
+                        (small if n <= bin_rows else further).append(here)
+                    break
+                before += n
+        if small:
+            here = reduce(lambda a, b: a | b, [F.col("_cls").eqNullSafe(w.cls) & F.col("_h").startswith(w.prefix) for w in small])
+            ordered = F.sort_array(F.collect_list("_h"))  # bin_rows at most
+            bins = slim.filter(here).groupBy("_cls", F.substring("_h", 1, len(small[0].prefix)).alias("_digits")).agg(ordered.alias("_all"))
+            picks = bins.select("_cls", "_digits", *[F.get("_all", F.lit(w.rank - 1)).alias(f"_{i}") for i, w in enumerate(small)]).collect()
+            for r in picks:
+                found |= {(w.cls, w.name): r[f"_{i}"] for i, w in enumerate(small) if (w.cls, w.prefix) == (r["_cls"], r["_digits"])}
+        wanted = further
+    return found
+
+
 def stratified_split(
     df: DataFrame,
     key: str,
@@ -52,67 +111,31 @@ def stratified_split(
     test: float = 0.2,
     val: float = 0.2,
     seed: int = 42,
+    bin_rows: int = BIN_ROWS,
 ) -> DataFrame:
     """``df`` plus ``split``: per class the first ceil(test*n) rows in hash order are
     ``test``, the next ceil(val*n) ``val``, the rest ``train``. ``key`` is unique.
 
-    Only two hash values per class are needed. They are found from counts per
-    (class, leading hash digits) and a ranking of the one bin that holds each
-    limit; the wide rows are then labelled in place, without a shuffle or sort.
+    Only two hash values per class are needed. They are selected digit by digit
+    from the classes and hashes, which are written once; the wide rows are then
+    labelled in place, without a shuffle, sort or join.
     """
     h = hash_text(F.col(key), seed)
-    slim = df.select(
-        class_of(F.col(y)).alias("_cls"),
-        h.alias("_h"),
-        F.conv(F.substring(h, 1, 3), 16, 10).cast("int").alias("_bin"),
-    )
-    counts = slim.groupBy("_cls", "_bin").agg(F.count(F.lit(1)).alias("_n"))
-    by_class = Window.partitionBy("_cls")
-    upto = by_class.orderBy("_bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cumulative = counts.withColumns(
-        {"_run": F.sum("_n").over(upto), "_all": F.sum("_n").over(by_class)}
-    )
-    n_test = F.ceil(F.col("_all") * F.lit(test) - 1e-9)
-    n_val = n_test + F.ceil(F.col("_all") * F.lit(val) - 1e-9)
-    limits = cumulative.withColumn(
-        "_lim",
-        F.explode(
-            F.array(
-                F.struct(F.lit("test").alias("name"), n_test.alias("k")),
-                F.struct(F.lit("val").alias("name"), n_val.alias("k")),
-            )
-        ),
-    ).filter((F.col("_run") - F.col("_n") < F.col("_lim.k")) & (F.col("_lim.k") <= F.col("_run")))
-    bounds = limits.select(
-        F.col("_cls").alias("_bcls"),
-        F.col("_bin").alias("_bbin"),
-        F.col("_lim.name").alias("_name"),
-        (F.col("_lim.k") - F.col("_run") + F.col("_n")).alias("_rank_wanted"),
-    )
-    # At most two rows for each of three classes.
-    near = slim.join(
-        F.broadcast(bounds),
-        F.col("_cls").eqNullSafe(F.col("_bcls")) & (F.col("_bin") == F.col("_bbin")),
-    )
-    ranked = near.withColumn(
-        "_rank", F.row_number().over(Window.partitionBy("_bcls", "_name").orderBy("_h"))
-    )
-    cuts = (
-        ranked.filter(F.col("_rank") == F.col("_rank_wanted"))
-        .groupBy("_bcls")
-        .agg(
-            F.max(F.when(F.col("_name") == "test", F.col("_h"))).alias("_test_cut"),
-            F.max(F.when(F.col("_name") == "val", F.col("_h"))).alias("_val_cut"),
-        )
-    )
-    split = (
-        F.when(h <= F.col("_test_cut"), "test")
-        .when(h <= F.col("_val_cut"), "val")
-        .otherwise("train")
-    )
-    # One row for each of at most three classes.
-    joined = df.join(F.broadcast(cuts), class_of(F.col(y)).eqNullSafe(F.col("_bcls")), "left")
-    return joined.select(*df.columns, split.alias("split"))
+    slim = settle(df.select(class_of(F.col(y)).alias("_cls"), h.alias("_h")), "hashes")
+    wanted = []
+    for r in slim.groupBy("_cls").agg(F.count(F.lit(1)).alias("n")).collect():  # three classes at most
+        n_test = math.ceil(r["n"] * test - 1e-9)
+        n_val = n_test + math.ceil(r["n"] * val - 1e-9)
+        wanted += [_Wanted(r["_cls"], name, "", k) for name, k in (("test", n_test), ("val", n_val)) if 0 < k <= r["n"]]
+    cuts = _nth_hashes(slim, wanted, bin_rows)
+    split = F.lit("train")
+    for name in ("val", "test"):
+        limit = F.lit(None).cast("string")
+        for (cls, part), cut in cuts.items():
+            if part == name:
+                limit = F.when(class_of(F.col(y)).eqNullSafe(cls), F.lit(cut)).otherwise(limit)
+        split = F.when(h <= limit, F.lit(name)).otherwise(split)
+    return df.select(*df.columns, split.alias("split"))
 
 
 def fold_plan(df: DataFrame, k: int = 5, y: str = TARGET) -> DataFrame:
@@ -159,9 +182,7 @@ def rank_bands(df: DataFrame, k: int, lat: str, key: str, out: str = "fold") ->
     """
     h = F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 3), 16, 10).cast("int")
     work = df.withColumn("_hb", h)
-    from cinderfield.operators.ordered import running_sums
-
-    sizes = work.groupBy(lat, "_hb").agg(F.count(F.lit(1)).alias("_n"))
+    sizes = settle(work.groupBy(lat, "_hb").agg(F.count(F.lit(1)).alias("_n")), "sizes")
     per_lat = sizes.groupBy(lat).agg(F.sum("_n").alias("_m"))
     starts = running_sums(per_lat.withColumn("_v", F.col(lat).cast("double")), "_v", ["_m"])
     starts = starts.select(

@@ -1,5 +1,6 @@
 """Order statistics, splits, folds, metrics, placeholders, contract."""
 
+import hashlib
 import math
 import random
 
@@ -17,16 +18,17 @@ def frame(spark, rows, schema, partitions=3):
     return spark.createDataFrame(rows, schema).repartition(partitions)
 
 
-@pytest.mark.parametrize("partitions", [1, 6])
-def test_running_sums_with_skewed_keys(spark, partitions):
+@pytest.mark.parametrize(("partitions", "rows", "block"), [(1, 50_000, 1000), (6, 50, 1000), (6, 20, 3)])
+def test_running_sums_with_skewed_keys(spark, monkeypatch, partitions, rows, block):
+    monkeypatch.setattr(ordered, "RANGES_PER_BLOCK", block)
     rng = random.Random(1)
     keys = sorted({rng.choice([0.01 + i * 1e-9 for i in range(300)] + [float(i) for i in range(300)]) for _ in range(900)})
-    rows = [(k, rng.randint(0, 9)) for k in keys]
-    df = frame(spark, rows, "k double, n int", partitions)
+    given = [(k, rng.randint(0, 9)) for k in keys]
+    df = frame(spark, given, "k double, n int", partitions)
     for descending in (False, True):
-        out = ordered.running_sums(df, "k", ["n"], descending=descending, ranges=16).collect()
+        out = ordered.running_sums(df, "k", ["n"], descending=descending, rows_per_range=rows).collect()
         total, want = 0, {}
-        for k, n in sorted(rows, reverse=descending):
+        for k, n in sorted(given, reverse=descending):
             total += n
             want[k] = total
         assert {r["k"]: r["run_n"] for r in out} == want
@@ -104,6 +106,34 @@ def test_stratified_split(spark):
     }
 
 
+@pytest.mark.parametrize("bin_rows", [0, 10, 10_000])
+def test_split_limits_are_selected_digit_by_digit(spark, bin_rows):
+    rows = [(f"k{i % 900}", 1 if i % 5 == 0 else (0 if i % 7 else None)) for i in range(1000)]  # some keys twice
+    df = frame(spark, rows, "id string, y int")
+    out = splits.stratified_split(df, "id", "y", 0.15, 0.3, bin_rows=bin_rows).toPandas()
+    hashed = out.assign(h=[hashlib.md5(f"{k}|42".encode()).hexdigest() for k in out["id"]], cls=out["y"].fillna(-1))
+    for _, part in hashed.groupby("cls"):
+        order = sorted(part["h"])
+        n_test = math.ceil(len(order) * 0.15 - 1e-9)
+        test, val = order[n_test - 1], order[n_test + math.ceil(len(order) * 0.3 - 1e-9) - 1]
+        want = ["test" if h <= test else "val" if h <= val else "train" for h in part["h"]]
+        assert part["split"].tolist() == want
+
+
+def test_ranking_scans_its_input_once(spark, tmp_path):
+    frame(spark, [(i % 2, (i * 7919 % 100_003) / 1e5) for i in range(30_000)], "y int, p double").write.parquet(str(tmp_path / "t"))
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def seen(p):
+        read.add(1)
+        return p
+
+    scored = spark.read.parquet(str(tmp_path / "t")).select("y", seen("p").alias("p"))
+    metrics.roc_auc(scored).collect()
+    assert read.value == 30_000
+
+
 def test_split_of_tiny_and_unlabelled_classes(spark):
     rows = [(i, None if i < 3 else int(i == 3)) for i in range(12)]
     out = splits.stratified_split(frame(spark, rows, "id int, y int"), "id", "y").toPandas()
