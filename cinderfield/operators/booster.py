@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
-from dataclasses import dataclass, replace
+from dataclasses import asdict, dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cinderfield.contract import TARGET, BoosterSettings
@@ -67,9 +68,8 @@ def fit(
 
     All rounds are trained, then every round is judged on the validation rows in
     one pass. The winner is the first best round that ``patience`` further rounds
-    do not beat. Trees are added one after another under a fixed seed, so the
-    model of the winning round is a refit with that many rounds. Both tables are
-    scanned repeatedly: pass tables read from files, not unexecuted plans.
+    do not beat; the model is then cut to it. Both tables are scanned repeatedly:
+    pass tables read from files, not unexecuted plans.
     """
     s = settings or BoosterSettings()
     weight = s.positive_weight or class_weight(train, y).first()["weight"]
@@ -79,10 +79,58 @@ def fit(
     history = round_precision(model, val, s, y)
     best = _best_round(history, s.patience)
     if best < s.rounds:
-        model = _train(train, replace(s, rounds=best), weight, y)
+        model = first_trees(model, best, train.sparkSession)
     return Booster(model, s, weight, best, tuple(history))
 
 
+def _read_json(spark: SparkSession, path: str) -> dict:
+    return json.loads(spark.read.text(path).first()["value"])
+
+
+def _write_json(spark: SparkSession, content: dict, path: str) -> None:
+    spark.createDataFrame([(json.dumps(content),)], "value string").coalesce(1).write.text(path)
+
+
+def first_trees(model: GBTClassificationModel, keep: int, spark: SparkSession) -> GBTClassificationModel:
+    """The model of the first ``keep`` rounds: its saved node table without the later trees, loaded again.
+
+    Trees are added one after another, so nothing has to be trained for it.
+    """
+    if not 1 <= keep <= model.getNumTrees:
+        raise ValueError(f"a model of {model.getNumTrees} trees has no first {keep}")
+    whole, cut = scratch_path(spark, "booster"), scratch_path(spark, "booster-cut")
+    model.write().save(whole)
+    for part in ("data", "treesMetadata"):
+        rows = spark.read.parquet(f"{whole}/{part}")
+        rows.filter(F.col(rows.columns[0]) < keep).write.parquet(f"{cut}/{part}")  # the tree's number comes first
+    _write_json(spark, _read_json(spark, f"{whole}/metadata") | {"numTrees": keep}, f"{cut}/metadata")
+    return GBTClassificationModel.load(cut)
+
+
+def save(booster: Booster, spark: SparkSession, path: str, threshold: float = 0.5) -> None:
+    """The model and beside it what scoring needs: feature order, class weight, best round, threshold, settings."""
+    booster.model.write().save(f"{path}/model")
+    card = {
+        "features": list(booster.settings.features),
+        "settings": {k: v for k, v in asdict(booster.settings).items() if k != "features"},
+        "positive_weight": booster.positive_weight,
+        "best_round": booster.best_round,
+        "threshold": threshold,
+        "history": [list(h) for h in booster.history],
+    }
+    _write_json(spark, card, f"{path}/card")
+
+
+def load(spark: SparkSession, path: str) -> tuple[Booster, float]:
+    """A saved booster and its decision threshold; a model that does not fit its card is an error."""
+    card, model = _read_json(spark, f"{path}/card"), GBTClassificationModel.load(f"{path}/model")
+    if model.numFeatures != len(card["features"]):
+        raise ValueError(f"the model at {path} takes {model.numFeatures} features, its card names {len(card['features'])}")
+    settings = BoosterSettings(**card["settings"], features=tuple(card["features"]))
+    history = tuple((number, value) for number, value in card["history"])
+    return Booster(model, settings, card["positive_weight"], card["best_round"], history), card["threshold"]
+
+
 def _best_round(history: list[tuple[int, float]], patience: int) -> int:
     best, best_score = history[0]
     for number, score in history:
@@ -170,6 +218,20 @@ def tree_values(tree: Tree, x: np.ndarray) -> np.ndarray:
         node = np.where(inner, step, node)
 
 
+def margins(booster: Booster, df: DataFrame) -> DataFrame:
+    """``df`` plus ``margin``: the weighted sum of the trees' leaf values, added up tree by tree."""
+    members = df.sparkSession.sparkContext.broadcast(trees(booster.model, df))
+    features = list(booster.settings.features)
+
+    @F.pandas_udf("double")
+    def total(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        for columns in batches:
+            x = np.column_stack([c.to_numpy(np.float64) for c in columns])
+            yield pd.Series(sum(t.weight * tree_values(t, x) for t in members.value))
+
+    return df.withColumn("margin", total(*_as_doubles(tuple(features))))
+
+
 def _as_doubles(features: tuple[str, ...]) -> list[Column]:
     return [F.col(c).cast("double").alias(c) for c in features]
 

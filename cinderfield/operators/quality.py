@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from cinderfield.contract import CONTRACT_SCHEMA, FEATURES, TARGET, Field, LabelSettings, fields
+from cinderfield.contract import CONTRACT_SCHEMA, FEATURES, LAND_COVER, TARGET, Field, LabelSettings, fields
 
 
 def require_columns(df: DataFrame, required: list[str], what: str) -> DataFrame:
@@ -17,24 +21,35 @@ def require_columns(df: DataFrame, required: list[str], what: str) -> DataFrame:
 
 
 def contract_check(df: DataFrame, checked: list[Field] | None = None) -> DataFrame:
-    """Per contract column: nulls and values outside the declared bounds.
+    """Per contract column: whether the type is the declared one, and how many values are null,
+    not a number, not castable to the declared type, or outside the declared bounds.
 
-    One aggregation over the table; its single row is then turned into one row
-    per column.
+    Columns may be text, as a CSV file holds them; a text that is no value of the
+    type counts as not castable, an empty one as null. One aggregation over the
+    table; its single row is then turned into one row per column.
     """
     checked = checked or fields()
     require_columns(df, [f.name for f in checked], "feature table")
     types = {f.name: f.dataType for f in df.schema.fields}
+
+    def count(hit: Column) -> Column:
+        return F.coalesce(F.count_if(hit), F.lit(0)).cast("long")
+
     measures = []
     for f in checked:
-        value = F.col(f.name).cast("double")
-        outside = F.when((value < f.low) | (value > f.high), 1).otherwise(0)
+        given = F.col(f"`{f.name}`")
+        if isinstance(types[f.name], T.StringType):
+            given = F.nullif(F.trim(given), F.lit(""))
+        typed = given.try_cast(f.spark_type)
+        value = typed.cast("double")
         measures.append(
             F.struct(
                 F.lit(f.name).alias("col"),
                 F.lit(int(types[f.name] == f.spark_type)).alias("type_ok"),
-                F.coalesce(F.sum(F.when(value.isNull(), 1).otherwise(0)), F.lit(0)).cast("long").alias("n_null"),
-                F.coalesce(F.sum(outside), F.lit(0)).cast("long").alias("n_outside"),
+                count(given.isNull()).alias("n_null"),
+                count(F.isnan(value)).alias("n_nan"),
+                count(given.isNotNull() & typed.isNull()).alias("n_uncast"),
+                count(~F.isnan(value) & ((value < f.low) | (value > f.high))).alias("n_outside"),
             )
         )
     return df.agg(F.array(*measures).alias("m")).select(F.explode("m").alias("r")).select("r.*")
@@ -83,7 +98,7 @@ def dataset_metadata(
     threshold: float = LabelSettings().min_positive_rate,
     y: str = TARGET,
 ) -> DataFrame:
-    """One row: rows, distinct cells and dates, positive rate, gate outcome, provenance.
+    """One row on a table that is already there: rows, distinct cells and dates, positive rate, gate outcome, provenance.
 
     Rows and positives are plain sums; cells and dates are distinct values of their
     own columns, reduced within each task first. No row is shuffled by its full key.
@@ -109,6 +124,80 @@ def dataset_metadata(
     )
 
 
+@dataclass(frozen=True)
+class Run:
+    """What a dataset was built from; goes into its metadata as it is."""
+
+    data_version: str
+    label_source: str
+    n_grid_cells: int
+    n_obs_date_slices: int
+    bbox: tuple[float, float, float, float]  # lon_min, lat_min, lon_max, lat_max
+    resolution_m: float
+    obs_freq: str
+    hotspots: str | None = None
+    note: str = ""
+    placeholder_columns: tuple[str, ...] = ()
+
+
+def observed(table: DataFrame, y: str = TARGET) -> tuple[DataFrame, Observation]:
+    """``table`` with counters that its next write fills: rows, positives, unmapped land cover, bounds."""
+    watch = Observation("dataset")
+    no_class = reduce(lambda a, b: a & b, [F.col(c) == 0 for c in LAND_COVER])
+    measures = {
+        "n_rows": F.count(F.lit(1)),
+        "n_positive": F.count_if(F.col(y) == 1),
+        "n_unmapped": F.count_if(no_class),
+        "lat_min": F.min(F.col("lat").cast("double")),
+        "lat_max": F.max(F.col("lat").cast("double")),
+        "lon_min": F.min(F.col("lon").cast("double")),
+        "lon_max": F.max(F.col("lon").cast("double")),
+    }
+    return table.observe(watch, *[m.alias(n) for n, m in measures.items()]), watch
+
+
+def run_metadata(
+    spark: SparkSession, seen: dict, run: Run, threshold: float = LabelSettings().min_positive_rate
+) -> DataFrame:
+    """One row from what the write has counted and what the run knows; the table is not read again.
+
+    Cells and dates are those of the run's grid. Bounds of an empty table are null.
+    """
+    rate = seen["n_positive"] / seen["n_rows"] if seen["n_rows"] else 0.0
+    west, south, east, north = run.bbox
+    row = {
+        "data_version": run.data_version,
+        "label_source": run.label_source,
+        "n_rows": seen["n_rows"],
+        "n_grid_cells": run.n_grid_cells,
+        "n_obs_date_slices": run.n_obs_date_slices,
+        "n_positive": seen["n_positive"],
+        "n_unmapped": seen["n_unmapped"],
+        "positive_rate": rate,
+        "positive_rate_threshold": threshold,
+        "too_sparse": int(rate < threshold and run.label_source == "hotspot_archive"),
+        "obs_freq": run.obs_freq,
+        "grid_resolution_m": run.resolution_m,
+        "bbox_lon_min": west,
+        "bbox_lat_min": south,
+        "bbox_lon_max": east,
+        "bbox_lat_max": north,
+        **{c: seen[c] for c in ("lat_min", "lat_max", "lon_min", "lon_max")},
+        "hotspots": run.hotspots,
+        "note": run.note,
+        "placeholder_columns": ",".join(run.placeholder_columns),
+    }
+    return spark.createDataFrame([tuple(row.values())], METADATA)
+
+
+METADATA = (
+    "data_version string, label_source string, n_rows long, n_grid_cells long, n_obs_date_slices long, n_positive long,"
+    " n_unmapped long, positive_rate double, positive_rate_threshold double, too_sparse int, obs_freq string,"
+    " grid_resolution_m double, bbox_lon_min double, bbox_lat_min double, bbox_lon_max double, bbox_lat_max double,"
+    " lat_min double, lat_max double, lon_min double, lon_max double, hotspots string, note string, placeholder_columns string"
+)
+
+
 def sparsity_gate(
     df: DataFrame, y: str = TARGET, threshold: float = LabelSettings().min_positive_rate
 ) -> DataFrame:

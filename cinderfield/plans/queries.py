@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +17,7 @@ from cinderfield.functions import text as text_rules
 from cinderfield.functions import weather as formulas
 from cinderfield.operators import (
     archive,
+    attribution,
     booster,
     fire,
     grid,
@@ -32,6 +34,7 @@ from cinderfield.operators import (
 from cinderfield.plans import model_jobs, views
 from cinderfield.plans.risk_dataset import Built, RasterLayer, Sources, build_dataset
 from cinderfield.scratch import scratch_path, settle
+from cinderfield.sources import features as feature_files
 from cinderfield.sources import hotspots as hotspot_files
 from cinderfield.streaming import hotspots as stream
 
@@ -329,11 +332,59 @@ def risk_dataset_no_hotspots(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def dataset_run(spark: SparkSession, sf: str, built: Built) -> quality.Run:
+    cells = views.view(spark, sf, "CELLS")
+    n_cells, *bbox = cells.agg(F.count_distinct("lat", "lon"), F.min("lon"), F.min("lat"), F.max("lon"), F.max("lat")).first()
+    return quality.Run(
+        built.data_version,
+        built.label_source,
+        n_cells,
+        grid.obs_dates(spark, LABELS.start, LABELS.end).count(),
+        tuple(bbox),
+        views.PIXEL_M,
+        "MS",
+        "orders",
+        "hotspots, rasters and weather are derived from tables",
+        tuple(built.placeholder_columns),
+    )
+
+
 @register
 def dataset_metadata(spark: SparkSession, sf: str) -> DataFrame:
+    """The dataset written by day; its metadata is counted by that write, without a second scan."""
     built = risk_table(spark, sf)
-    out = quality.dataset_metadata(built.table, built.data_version, built.label_source)
-    return out.withColumn("positive_rate", r6("positive_rate"))
+    out = feature_files.write_dataset(built.table, scratch_path(spark, "dataset"), dataset_run(spark, sf, built))
+    bounds = [c for c in out.columns if c.startswith(("lat_", "lon_", "bbox_"))]
+    return out.withColumns({c: r6(c) for c in ["positive_rate", *bounds]})
+
+
+@register
+def feature_table_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """The dataset written by day and as CSV, and the days of one year read back: each column's place, type and values."""
+    built = risk_table(spark, sf)
+    root = scratch_path(spark, "features")
+    feature_files.write_feature_table(built.table, f"{root}/parquet", rows_per_day=1)
+    whole = feature_files.load_feature_table(spark, f"{root}/parquet")
+    feature_files.write_feature_table(whole, f"{root}/csv", "csv")
+    days = ("1998-01-01", "1998-12-31")
+    dates = grid.obs_dates(spark, *days).select(F.col("obs_date").alias("day"))
+    tables = {
+        "all": whole,
+        "range": feature_files.load_feature_table(spark, f"{root}/parquet", days=days),
+        "dates": feature_files.load_feature_table(spark, f"{root}/parquet", days=dates),
+        "csv": feature_files.load_feature_table(spark, f"{root}/csv", "csv", days=days),
+    }
+    return reduce(DataFrame.unionByName, [_columns_of(name, table) for name, table in tables.items()])
+
+
+def _columns_of(name: str, table: DataFrame) -> DataFrame:
+    """One row per column: where it stands, its type, and how many values it holds."""
+    measures = [
+        F.struct(F.lit(i).alias("place"), F.lit(c).alias("col"), F.lit(kind).alias("type"), F.count(F.col(c)).alias("n_values"))
+        for i, (c, kind) in enumerate(table.dtypes, 1)
+    ]
+    rows = table.agg(F.array(*measures).alias("m")).select(F.explode("m").alias("r"))
+    return rows.select(F.lit(name).alias("reading"), "r.*")
 
 
 @register
@@ -348,19 +399,29 @@ def weather_features(spark: SparkSession, sf: str) -> DataFrame:
     return w.withColumns({"vpd_kpa": formulas.vpd(t, rh), "ffmc_approx": formulas.ffmc(t, rh, wind)})
 
 
-CHECKED = ["temp_c", "rh_pct", "wind_speed_ms", "vpd_kpa", "ffmc_approx"]
+@register
+def contract_check(spark: SparkSession, sf: str) -> DataFrame:
+    """All 25 declared columns of the built table in their declared types."""
+    return quality.contract_check(feature_files.to_contract(risk_table(spark, sf).table))
 
 
 @register
-def contract_check(spark: SparkSession, sf: str) -> DataFrame:
-    checked = [f for f in contract.fields() if f.name in CHECKED]
-    return quality.contract_check(weather_features(spark, sf), checked)
+def contract_check_text(spark: SparkSession, sf: str) -> DataFrame:
+    """The same check on a table of text, as a CSV file holds it, with damage in every column."""
+    table = feature_files.to_contract(risk_table(spark, sf).table)
+    spot = F.pmod(F.floor(F.col("lat") * 1000 + 0.5) + F.dayofyear("obs_date"), F.lit(25))
+    texts = []
+    for i, f in enumerate(contract.fields()):
+        damage = [F.lit("n/a"), F.lit(""), F.lit("NaN"), F.lit(str(int(f.high) + 1))][i % 4]
+        texts.append(F.when(spot == i, damage).otherwise(F.col(f.name).cast("string")).alias(f.name))
+    return quality.contract_check(table.select(*texts))
 
 
 @register
 def contract_diff(spark: SparkSession, sf: str) -> DataFrame:
-    """The declared contract against what the weather table holds."""
-    seen = quality.observed_contract(weather_features(spark, sf), [*CHECKED, "wind_dir_deg"])
+    """The declared contract against what the built table and one column more hold."""
+    table = feature_files.to_contract(risk_table(spark, sf).table)
+    seen = quality.observed_contract(table, [*FEATURES, "lat"])
     return quality.contract_diff(contract.contract_frame(spark), seen)
 
 
@@ -604,6 +665,68 @@ def feature_attribution(spark: SparkSession, sf: str) -> DataFrame:
     return model_jobs.feature_importance(fitted, rows, "row_key")
 
 
+# Their outcomes depend on the trees; these parts of them do not.
+
+
+@register
+def holdout_sizes(spark: SparkSession, sf: str) -> DataFrame:
+    """Holdout evaluation of a fitted model: split sizes, class weight, and whether the metrics fit together."""
+    split = model_jobs.split_table(keyed_risk_table(spark, sf), "row_key")
+    r = model_jobs.holdout_evaluation(split, model_jobs.fit_on_split(split, BOOSTER))
+    shares = [F.col(c).between(0, 1) for c in ("roc_auc", "pr_auc", "precision", "recall", "f1", "accuracy")]
+    agree = (F.col("tn") + F.col("fp") + F.col("fn") + F.col("tp") == F.col("n_test")) & F.col("best_round").between(1, BOOSTER.rounds)
+    return r.select(
+        "n_train",
+        "n_val",
+        "n_test",
+        (F.col("tp") + F.col("fn")).alias("pos_test"),
+        r6("scale_pos_weight").alias("scale_pos_weight"),
+        reduce(lambda a, b: a & b, shares, agree).cast("int").alias("metrics_agree"),
+    )
+
+
+@register
+def spatial_cv_folds(spark: SparkSession, sf: str) -> DataFrame:
+    """Spatial cross-validation: rows and positives scored per fold, and how many scores are probabilities."""
+    scores = model_jobs.fold_scores(keyed_risk_table(spark, sf), 5, BOOSTER)
+    return scores.groupBy("fold").agg(
+        F.count(F.lit(1)).alias("n_val"),
+        F.sum(F.col("y").cast("long")).alias("pos_val"),
+        F.count_if(F.col("p").between(0, 1)).alias("n_probabilities"),
+    )
+
+
+@register
+def batch_score_check(spark: SparkSession, sf: str) -> DataFrame:
+    """Every row scored by a saved and loaded model: whether p is the logistic of its trees, added up one by one."""
+    rows = keyed_risk_table(spark, sf)
+    path = scratch_path(spark, "model")
+    booster.save(booster.fit(rows, settings=BOOSTER), spark, path)
+    loaded, threshold = booster.load(spark, path)
+    scored_rows = booster.margins(loaded, booster.score(loaded, rows))
+    logistic = 1 / (1 + F.exp(-2 * F.col("margin")))
+    return scored_rows.select(
+        "row_key",
+        (F.abs(F.col("p") - logistic) < 1e-6).cast("int").alias("p_is_logistic"),
+        ((F.col("p") >= threshold) == (metrics.decide(F.col("p")) == 1)).cast("int").alias("same_decision"),
+    )
+
+
+@register
+def attribution_check(spark: SparkSession, sf: str) -> DataFrame:
+    """Attributions of every row: how many do not add up to the margin of the trees."""
+    rows = keyed_risk_table(spark, sf)
+    fitted = booster.fit(rows, settings=BOOSTER)
+    explained = attribution.attributions(fitted, rows, "row_key").select("row_key", "phi", "base")
+    both = explained.join(booster.margins(fitted, rows).select("row_key", "margin"), "row_key")
+    total = F.aggregate("phi", F.col("base"), lambda a, x: a + x)
+    return both.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(F.size("phi") != len(FEATURES)).alias("n_wrong_size"),
+        F.count_if(F.abs(total - F.col("margin")) > 1e-6).alias("n_violations"),
+    )
+
+
 # --- streaming -------------------------------------------------------------
 
 

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cinderfield.contract import DATASET_COLUMNS, FEATURES, TARGET, SplitSettings, fields
 from cinderfield.operators.placeholders import synthetic_dataset
-from cinderfield.operators.quality import require_columns
+from cinderfield.operators.quality import Run, observed, require_columns, run_metadata
 
 DAY_FOLDER = "obs_day"
 ROWS_PER_FILE = 2_000_000
@@ -26,35 +26,52 @@ def to_contract(df: DataFrame) -> DataFrame:
     )
 
 
-def write_feature_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexists") -> None:
+def write_feature_table(
+    df: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexists", rows_per_day: int | None = None
+) -> None:
     """Parquet in folders by observation day, or CSV with header.
 
     The folders are named by a copy of the date, so the table in the files keeps
     its columns, order and types. Rows are dealt by day and a salt of the place: a
     day goes to as many tasks as it fills files of ROWS_PER_FILE rows, and a task
-    writes to few folders. A first job counts rows and days for that.
+    writes to few folders. ``rows_per_day``, where the caller knows it (the cells of
+    a grid), spares the job that counts rows and days for that.
     """
     table = to_contract(df)
     if fmt == "csv":
         table.write.mode(mode).option("header", True).csv(path)
         return
     day = F.col("obs_date").cast("date")
-    size = table.agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct(day).alias("days")).first()
-    salts = 1 + size["n"] // (max(1, size["days"]) * ROWS_PER_FILE)
+    if rows_per_day is None:
+        size = table.agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct(day).alias("days")).first()
+        rows_per_day = size["n"] // max(1, size["days"])
+    salts = 1 + rows_per_day // ROWS_PER_FILE
     dealt = table.withColumn(DAY_FOLDER, day)
     dealt = dealt.repartition(DAY_FOLDER, F.pmod(F.xxhash64("lat", "lon"), F.lit(salts)))
     dealt.write.mode(mode).partitionBy(DAY_FOLDER).parquet(path)
 
 
+def write_dataset(df: DataFrame, path: str, run: Run, rows_per_day: int | None = None) -> DataFrame:
+    """Write the table by day and return its metadata row, counted while it was written."""
+    table, watch = observed(df)
+    write_feature_table(table, path, rows_per_day=run.n_grid_cells if rows_per_day is None else rows_per_day)
+    return run_metadata(df.sparkSession, watch.get, run)
+
+
 def load_feature_table(
     spark: SparkSession,
     path: str | None = None,
     fmt: str = "parquet",
     n_rows: int = 5000,
     settings: SplitSettings | None = None,
+    days: DataFrame | tuple[str, str] | None = None,
 ) -> DataFrame:
     """Feature table from files, or placeholder rows when there is no path.
 
+    ``days`` keeps a range of days (both ends included) or those of a table with a
+    column ``day``; other day folders are not opened: a range is pruned when the
+    query is planned, a table while it runs.
+
     A missing contract column is an error. Contract columns come first, in contract
     order and type, whatever the file's; further columns follow as they are.
     """
@@ -67,7 +84,8 @@ def load_feature_table(
         schema = T.StructType([T.StructField(c, types.get(c, T.StringType())) for c in names])
         df = spark.read.schema(schema).option("header", True).option("comment", "#").csv(path)
     else:
-        df = spark.read.parquet(path).drop(DAY_FOLDER)
+        df = spark.read.parquet(path)
+    df = _of_days(df, days, F.col(DAY_FOLDER) if DAY_FOLDER in df.columns else F.col("obs_date").cast("date")).drop(DAY_FOLDER)
     require_columns(df, FEATURES + [TARGET], "feature table")
     types = {f.name: f.spark_type for f in fields()}
     types.update(lat=T.DoubleType(), lon=T.DoubleType(), obs_date=T.TimestampNTZType())
@@ -75,6 +93,16 @@ def load_feature_table(
     return df.select(*[F.col(f"`{c}`").cast(types[c]).alias(c) if c in types else F.col(f"`{c}`") for c in ordered])
 
 
+def _of_days(df: DataFrame, days: DataFrame | tuple[str, str] | None, day: Column) -> DataFrame:
+    if days is None:
+        return df
+    if isinstance(days, DataFrame):
+        wanted = days.select(F.col("day").cast("date").alias("_wanted")).distinct()
+        return df.join(wanted, day == F.col("_wanted"), "left_semi")
+    first, last = (F.lit(d).cast("date") for d in days)
+    return df.filter(day.between(first, last))
+
+
 def write_record(record: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Small result tables (metadata, metrics, importances) as one JSON file."""
     record.coalesce(1).write.mode(mode).json(path)

@@ -56,11 +56,12 @@ def _keep_first(order_by: list[str], columns: list[str]):
             state.remove()
             return
         seen = pd.DataFrame(dict(zip(HOTSPOT_KEY, state.get, strict=True))) if state.exists else None
-        first = None
+        first, late = None, pd.Timestamp(state.getCurrentWatermarkMs(), unit="ms")
         for frame in frames:
+            frame = frame[frame["acq_date"] >= late]
             both = frame if first is None else pd.concat([first, frame])
             first = both.sort_values(order_by, na_position="first", kind="stable").drop_duplicates(HOTSPOT_KEY)
-        if first is None:
+        if first is None or first.empty:
             return
         keys = first[HOTSPOT_KEY].assign(acq_date=first["acq_date"].astype("datetime64[us]").astype("int64"))
         if seen is not None:
@@ -83,7 +84,8 @@ def keep_first_stream(stream: DataFrame, order_by: list[str], overlap: str = "10
     that is the batch dedup of the whole archive. State is kept by day and
     one-degree cell, a list of the keys seen there, and ends by an event-time timer
     once the watermark (newest date minus ``overlap``) has passed the day; rows
-    older than the watermark are late and go. A batch must hold whole chunks.
+    older than the watermark are late and go. A batch must hold whole chunks, and the
+    session's time zone be UTC.
     """
     timed = stream.withColumn("acq_date", F.col("acq_date").cast("timestamp")).withWatermark("acq_date", overlap)
     cell = {"_day": F.date_trunc("day", "acq_date"), "_row": F.floor("latitude"), "_col": F.floor("longitude")}

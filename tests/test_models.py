@@ -2,6 +2,7 @@
 
 import itertools
 import math
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -50,6 +51,35 @@ def test_fewer_rounds_are_a_prefix(rows, fitted):
         assert np.array_equal(a.threshold, b.threshold, equal_nan=True) and np.allclose(a.value, b.value)
 
 
+def test_cut_model_equals_a_refit(spark, rows, fitted):
+    cut = booster.first_trees(fitted.model, 3, spark)
+    short = booster.fit(rows, settings=replace(SMALL, rounds=3))
+    assert cut.getNumTrees == 3 and cut.treeWeights == short.model.treeWeights
+    for a, b in zip(booster.trees(cut, rows), booster.trees(short.model, rows), strict=True):
+        assert np.array_equal(a.threshold, b.threshold, equal_nan=True) and np.array_equal(a.value, b.value)
+    both = [booster.score(replace(fitted, model=m), rows).orderBy("id").toPandas()["p"] for m in (cut, short.model)]
+    assert both[0].equals(both[1])
+    with pytest.raises(ValueError, match="no first 7"):
+        booster.first_trees(fitted.model, 7, spark)
+
+
+def test_fit_cuts_to_the_best_round(rows):
+    kept = booster.fit(rows.filter("id % 3 > 0"), rows.filter("id % 3 = 0"), SMALL)
+    assert kept.model.getNumTrees == kept.best_round == booster._best_round(list(kept.history), SMALL.patience)
+
+
+def test_saved_booster_comes_back(spark, rows, fitted, tmp_path):
+    booster.save(fitted, spark, str(tmp_path / "m"), threshold=0.3)
+    loaded, threshold = booster.load(spark, str(tmp_path / "m"))
+    assert threshold == 0.3 and loaded.settings == fitted.settings and loaded.positive_weight == fitted.positive_weight
+    a, b = (booster.margins(f, booster.score(f, rows)).orderBy("id").select("p", "margin").toPandas() for f in (fitted, loaded))
+    assert a.equals(b) and np.allclose(a["p"], 1 / (1 + np.exp(-2 * a["margin"])), atol=1e-6)
+    other = replace(fitted, settings=replace(SMALL, features=SMALL.features[:5]))
+    booster.save(other, spark, str(tmp_path / "bad"))
+    with pytest.raises(ValueError, match="names 5"):
+        booster.load(spark, str(tmp_path / "bad"))
+
+
 def test_scores_are_probabilities_and_match_the_trees(rows, fitted):
     out = booster.score(fitted, rows)
     assert out.columns == [*rows.columns, "p"]

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cinderfield.contract import DATASET_COLUMNS, FEATURES, HUMAN, TARGET, LabelSettings, fields
-from cinderfield.operators import archive, grid, raster
+from cinderfield.operators import archive, grid, placeholders, quality, raster
 from cinderfield.plans.risk_dataset import RasterLayer, Sources, build_dataset
 from cinderfield.sources import features as feature_tables
 from cinderfield.sources import hotspots as hotspot_files
@@ -74,6 +74,61 @@ def test_stream_takes_columns_by_name_and_refuses_other_layouts(spark, tmp_path)
         run()
 
 
+CHUNKED = "latitude,longitude,acq_date,confidence,chunk,line\n"
+EXTRA = T.StructType([T.StructField("chunk", T.IntegerType()), T.StructField("line", T.IntegerType())])
+
+
+def chunk_stream(spark, inbox, files=1):
+    source = stream.stream_hotspot_files(spark, str(inbox), str(inbox / "1.csv"), files, EXTRA)
+    return stream.keep_first_stream(source, ["chunk", "line"])
+
+
+def ingested(spark, table):
+    rows = stream.read_ingested(spark, table).collect()
+    return sorted((r["latitude"], str(r["acq_date"]), r["confidence"], r["chunk"], r["line"]) for r in rows)
+
+
+def test_stream_keeps_the_first_copy_and_drops_late_rows(spark, tmp_path):
+    inbox, table, state = tmp_path / "in", str(tmp_path / "table"), str(tmp_path / "state")
+    inbox.mkdir()
+    write(inbox / "1.csv", CHUNKED + "39.5,32.8,2024-06-03 04:00:00,second,1,2\n39.5,32.8,2024-06-03 04:00:00,first,1,1\n39.5,32.8,2024-06-03 05:00:00,n,1,3\n")
+    os.utime(inbox / "1.csv", (1, 1))
+    write(inbox / "2.csv", CHUNKED + "39.5,32.8,2024-06-03 04:00:00,copy,2,1\n39.5,32.8,2024-06-20,h,2,2\n-0.5,-32.8,2024-06-12,h,2,3\n")
+    os.utime(inbox / "2.csv", (2, 2))
+    # The watermark is 2024-06-10 now: a row before it is late, one after it is new or a copy.
+    write(inbox / "3.csv", CHUNKED + "39.5,32.8,2024-06-09,late,3,1\n39.5,32.8,2024-06-20,copy,3,2\n-0.5,-32.8,2024-06-12,copy,3,3\n1.0,2.0,2024-07-01,new,3,4\n")
+    os.utime(inbox / "3.csv", (3, 3))
+    query = stream.ingest_batches(chunk_stream(spark, inbox), table, state)
+    query.awaitTermination()
+    assert ingested(spark, table) == [
+        (-0.5, "2024-06-12 00:00:00", "h", 2, 3), (1.0, "2024-07-01 00:00:00", "new", 3, 4), (39.5, "2024-06-03 04:00:00", "first", 1, 1),
+        (39.5, "2024-06-03 05:00:00", "n", 1, 3), (39.5, "2024-06-20 00:00:00", "h", 2, 2),
+    ]
+    # Of four days and cells two hold state: the watermark has passed the others.
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] == 2
+
+
+def test_a_batch_that_runs_again_adds_nothing(spark, tmp_path):
+    inbox, table, state = tmp_path / "in", str(tmp_path / "table"), str(tmp_path / "state")
+    inbox.mkdir()
+    for n in (1, 2):
+        write(inbox / f"{n}.csv", CHUNKED + f"39.5,32.8,2024-06-0{n},n,{n},1\n39.5,32.8,2024-06-01,c,{n},2\n")
+        os.utime(inbox / f"{n}.csv", (n, n))
+    seen = []
+
+    def lost(number):
+        seen.append(number)
+        if number == 1:
+            raise RuntimeError("commit lost")
+
+    with pytest.raises(Exception, match="commit lost"):
+        stream.ingest_batches(chunk_stream(spark, inbox), table, state, lost).awaitTermination()
+    before = ingested(spark, table)
+    stream.ingest_batches(chunk_stream(spark, inbox), table, state, seen.append).awaitTermination()
+    assert ingested(spark, table) == before == [(39.5, "2024-06-01 00:00:00", "n", 1, 1), (39.5, "2024-06-02 00:00:00", "n", 2, 1)]
+    assert seen.count(1) == 2  # written twice, kept once
+
+
 def test_missing_hotspot_column(spark, tmp_path):
     bad = write(tmp_path / "bad.csv", "latitude,longitude,acq_date\n1,2,2024-01-01\n")
     with pytest.raises(ValueError, match="confidence"):
@@ -292,3 +347,42 @@ def test_join_of_history_moves_cells_only(spark):
     window = next(i for i, line in enumerate(lines) if "Window [" in line)
     top_join = next(i for i, line in enumerate(lines) if "SortMergeJoin" in line and "lat" in line)
     assert top_join < window and not any("Exchange" in line for line in lines[top_join:window])
+
+
+def test_day_folders_are_pruned(spark, tmp_path):
+    keys = spark.range(40).selectExpr("id", "39 + id / 100.0 as lat", "32 + id / 100.0 as lon", "timestamp_ntz'2024-01-01' + make_interval(0, 0, 0, cast(id % 8 as int)) as obs_date")
+    table = placeholders.synthetic_dataset(keys, "id")
+    path = str(tmp_path / "t")
+    run = quality.Run("v", "synthetic_fallback", 5, 8, (32.0, 39.0, 33.0, 40.0), 250.0, "MS", note="n", placeholder_columns=("a", "b"))
+    row = feature_tables.write_dataset(table, path, run).first()
+    again = quality.dataset_metadata(table, "v", "synthetic_fallback").first()
+    assert (row["n_rows"], row["n_positive"], row["positive_rate"]) == (40, again["n_positive"], again["positive_rate"])
+    assert row["n_unmapped"] == 0 and row["placeholder_columns"] == "a,b" and row["hotspots"] is None
+    assert (row["lat_min"], row["lat_max"]) == (39.0, 39.39)
+    assert len(os.listdir(path)) >= 8
+
+    def read_days(df):
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        return {r["d"] for r in df.select(F.col("obs_date").cast("date").cast("string").alias("d")).collect()}, plan
+
+    found, plan = read_days(feature_tables.load_feature_table(spark, path, days=("2024-01-02", "2024-01-03")))
+    assert found == {"2024-01-02", "2024-01-03"} and "PartitionFilters: [" in plan and "obs_day" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    dates = spark.createDataFrame([("2024-01-05",), ("2024-01-05",), ("2030-01-01",)], "day string").filter("length(day) > 3")
+    found, plan = read_days(feature_tables.load_feature_table(spark, path, days=dates))
+    assert found == {"2024-01-05"} and "dynamicpruning" in plan
+    assert feature_tables.load_feature_table(spark, path).columns == DATASET_COLUMNS
+    assert feature_tables.write_dataset(table.limit(0), str(tmp_path / "none"), run).first()["lat_min"] is None
+
+
+def test_contract_of_text_values(spark):
+    table = placeholders.synthetic_dataset(spark.range(30), "id")
+    texts = table.select(*[F.col(f.name).cast(f.spark_type).cast("string").alias(f.name) for f in fields()])
+    broken = texts.withColumns({
+        "temp_c": F.lit(" 12.5 "), "rh_pct": F.lit("wet"), "vpd_kpa": F.lit("NaN"), "picnic_area": F.lit("2"), "lc_cropland": F.lit(" "), "slope_deg": F.lit("1e9"),
+    })
+    found = {r["col"]: r for r in quality.contract_check(broken).collect()}
+    counts = lambda c: tuple(found[c][k] for k in ("type_ok", "n_null", "n_nan", "n_uncast", "n_outside"))
+    assert counts("temp_c") == (0, 0, 0, 0, 0) and counts("rh_pct") == (0, 0, 0, 30, 0) and counts("vpd_kpa") == (0, 0, 30, 0, 0)
+    assert counts("picnic_area") == (0, 0, 0, 0, 30) and counts("lc_cropland") == (0, 30, 0, 0, 0) and counts("slope_deg") == (0, 0, 0, 0, 30)
+    assert counts("elevation_m") == (0, 0, 0, 0, 0)
