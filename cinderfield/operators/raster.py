@@ -6,11 +6,13 @@ import math
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cinderfield.contract import LAND_COVER, LAND_COVER_CODES
 from cinderfield.functions.scalars import circular, clamp
+from cinderfield.functions.text import tile_label
+from cinderfield.operators.grid import keep_covered_tiles
 
 
 @dataclass(frozen=True)
@@ -207,3 +209,28 @@ def crop(
         max(c1 - c0 + 1, 0),
     )
     return kept, moved
+
+
+def with_tile_name(pixels: DataFrame, grid: Transform, pattern: str, degrees: int = 1) -> DataFrame:
+    """``pixels`` plus ``tile_name``, the tile that holds the pixel's middle."""
+    lat = F.lit(grid.y0) + (F.col("row_ix") + 0.5) * grid.dy
+    lon = F.lit(grid.x0) + (F.col("col_ix") + 0.5) * grid.dx
+    corner = [(F.floor(x / degrees) * degrees).cast("long") for x in (lat, lon)]
+    return pixels.withColumn("tile_name", tile_label(*corner, pattern))
+
+
+def write_tiles(pixels: DataFrame, path: str, rows_per_file: int = 4_000_000) -> None:
+    """Pixels with ``tile_name`` as one folder per tile, so that readers open only tiles they need.
+
+    A tile of many pixels goes to several tasks by its rows; each file holds a band
+    of rows in order, which lets a scan skip row groups.
+    """
+    most = pixels.groupBy("tile_name").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    parts = max(1, -(-most // rows_per_file))
+    dealt = pixels.repartition("tile_name", F.pmod(F.col("row_ix"), F.lit(parts)))
+    dealt.sortWithinPartitions("tile_name", "row_ix", "col_ix").write.partitionBy("tile_name").parquet(path)
+
+
+def read_tiles(spark: SparkSession, path: str, cover: DataFrame) -> DataFrame:
+    """Pixels of the tiles that ``cover`` names; folders of other tiles are skipped at run time."""
+    return keep_covered_tiles(spark.read.parquet(path), cover)

@@ -251,6 +251,23 @@ def statements() -> dict[str, str]:
         cover1,
     )
 
+    mid_lat = f"cast(floor({views.TILED_Y0}E0 + (row_ix + 0.5E0) * {views.RASTER['dy']}E0) as int)"
+    mid_lon = f"cast(floor({views.RASTER['x0']}E0 + (col_ix + 0.5E0) * {views.RASTER['dx']}E0) as int)"
+    pixel_tile = _tile(mid_lat, mid_lon, _ELEVATION_NAME)
+    out["tile_store"] = _with(
+        "areas pixels",
+        f"""select tile_name, count(*) as n_pixels, round(avg(elevation),6) as elevation from (select *, {pixel_tile} as tile_name from pixels)
+            where tile_name in (select {one} from one) group by tile_name""",
+        cover1,
+    )
+    sums = "round(sum(temp_c),6) as temp_c, round(sum(rh_pct),6) as rh_pct, round(sum(wind_speed_ms),6) as wind_speed_ms, round(sum(wind_dir_deg),6) as wind_dir_deg"
+    out["weather_file_scan"] = _with(
+        "weather",
+        f"""select 'csv' as source, count(*) as n_rows, count(distinct date_trunc('minute', time_utc)) as n_times, {sums},
+              (select count(*) from weather where event_id%17=0) as n_bad, 1::bigint as n_reasons from weather where event_id%17<>0
+            union all select 'json', count(*), count(distinct date_trunc('minute', time_utc)), {sums},
+              (select count(*) from weather where event_id%17=0 or event_id%19=0), 2::bigint from weather where event_id%17<>0 and event_id%19<>0""",
+    )
     out["hotspots_in_bbox"] = _with(
         "hot",
         f"""select hotspot_id, latitude, longitude from hot

@@ -36,6 +36,7 @@ from cinderfield.plans.risk_dataset import Built, RasterLayer, Sources, build_da
 from cinderfield.scratch import scratch_path, settle
 from cinderfield.sources import features as feature_files
 from cinderfield.sources import hotspots as hotspot_files
+from cinderfield.sources import weather as weather_files
 from cinderfield.streaming import hotspots as stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -267,6 +268,17 @@ def raster_crop(spark: SparkSession, sf: str) -> DataFrame:
     return kept.select("row_ix", "col_ix", "elevation", "code")
 
 
+@register
+def tile_store(spark: SparkSession, sf: str) -> DataFrame:
+    """Pixels written by one-degree tile; those of the tiles that some area needs are read back, per tile."""
+    pixels = views.view(spark, sf, "PIXELS")
+    transform = raster.Transform(height=1, **views.RASTER | {"y0": views.TILED_Y0})  # placing needs no size
+    path = scratch_path(spark, "tiles")
+    raster.write_tiles(raster.with_tile_name(pixels, transform, grid.ELEVATION_TILE), path)
+    kept = raster.read_tiles(spark, path, grid.tile_cover(views.view(spark, sf, "AREAS"), "elevation"))
+    return kept.groupBy("tile_name").agg(F.count(F.lit(1)).alias("n_pixels"), r6(F.avg("elevation")).alias("elevation"))
+
+
 # --- weather ---------------------------------------------------------------
 
 
@@ -295,6 +307,38 @@ def hourly_explode(spark: SparkSession, sf: str) -> DataFrame:
     return out.withColumn("wind_speed_ms", r6("wind_speed_ms"))
 
 
+@register
+def weather_file_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Hourly rows written as CSV and as JSON payloads with damaged records among them, and read back: rows, sums, bad records."""
+    w = views.view(spark, sf, "WEATHER")
+    folder = scratch_path(spark, "weather")
+    broken = F.col("event_id") % 17 == 0
+    rows = w.select("event_id", F.date_format("time_utc", "yyyy-MM-dd'T'HH:mm").alias("at"), "temp_c", "rh_pct", "wind_speed_ms", "wind_dir_deg")
+    text = rows.select("at", F.when(broken, F.lit("n/a")).otherwise(F.col("temp_c").cast("string")).alias("temp_c"), "rh_pct", "wind_speed_ms", "wind_dir_deg")
+    text.withColumnRenamed("at", "time_utc").write.option("header", True).csv(f"{folder}/csv")
+    uneven = F.col("event_id") % 19 == 0
+    hourly = F.struct(
+        F.when(uneven, F.array("at", "at")).otherwise(F.array("at")).alias("time"),
+        F.array("temp_c").alias("temperature_2m"),
+        F.array("rh_pct").alias("relative_humidity_2m"),
+        F.array("wind_speed_ms").alias("windspeed_10m"),
+        F.array("wind_dir_deg").alias("winddirection_10m"),
+    )
+    payload = F.to_json(F.struct(hourly.alias("hourly")))
+    rows.select(F.when(broken, F.substring(payload, 1, 40)).otherwise(payload).alias("value")).write.text(f"{folder}/json")
+    found = []
+    for name, scan in (
+        ("csv", weather_files.scan_hourly_csv(spark, f"{folder}/csv")),
+        ("json", weather_files.scan_hourly_json(spark, f"{folder}/json", "ms")),
+    ):
+        sums = [r6(F.sum(c)).alias(c) for c in ("temp_c", "rh_pct", "wind_speed_ms", "wind_dir_deg")]
+        good = scan.rows.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("time_utc").alias("n_times"), *sums)
+        bad = scan.bad.agg(F.count(F.lit(1)).alias("n_bad"), F.count_distinct("reason").alias("n_reasons"))
+        one = F.lit(1).alias("_one")
+        found.append(good.select(one, "*").join(bad.select(one, "*"), "_one").select(F.lit(name).alias("source"), "*").drop("_one"))
+    return found[0].unionByName(found[1])
+
+
 # --- archive and quality ---------------------------------------------------
 
 

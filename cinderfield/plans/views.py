@@ -81,6 +81,8 @@ from {labels}"""
 OBS_START, OBS_END = "1997-01-01", "1998-12-01"
 RASTER = {"x0": 28.0, "y0": 43.0, "dx": 0.2, "dy": -0.15, "width": 50}
 PIXEL_M, MID_LAT = 250.0, 39.5
+# Upper edge of the same pixels where they are stored by tile.
+TILED_Y0 = 41.5
 
 ATTRIBUTION_WEIGHTS = {"vpd_kpa": 3, "temp_c": 5, "slope_deg": 7, "elevation_m": 2, "ffmc_approx": 11}
 

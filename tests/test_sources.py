@@ -386,3 +386,41 @@ def test_contract_of_text_values(spark):
     assert counts("temp_c") == (0, 0, 0, 0, 0) and counts("rh_pct") == (0, 0, 0, 30, 0) and counts("vpd_kpa") == (0, 0, 30, 0, 0)
     assert counts("picnic_area") == (0, 0, 0, 0, 30) and counts("lc_cropland") == (0, 30, 0, 0, 0) and counts("slope_deg") == (0, 0, 0, 0, 30)
     assert counts("elevation_m") == (0, 0, 0, 0, 0)
+
+
+def test_weather_scan_keeps_bad_records(spark, tmp_path):
+    csv = write(tmp_path / "w.csv", "time_utc,temp_c,rh_pct,wind_speed_ms,wind_dir_deg\n2024-01-01 00:00:00,1,2,3,4\n2024-01-01 01:00:00,warm,2,3,4\nonly,three,fields\n")
+    scan = weather_files.scan_hourly_csv(spark, csv)
+    assert [tuple(r)[1:] for r in scan.rows.collect()] == [(1.0, 2.0, 3.0, 4.0)]
+    bad = scan.bad.collect()
+    assert sorted(r["record"] for r in bad) == ["2024-01-01 01:00:00,warm,2,3,4", "only,three,fields"] and all(r["file"].endswith("w.csv") for r in bad)
+    hours = {"time": ["2024-01-01T00:00"], "temperature_2m": [1.0], "relative_humidity_2m": [2.0], "windspeed_10m": [36.0], "winddirection_10m": [4.0]}
+    lines = [{"hourly": hours}, {"hourly": hours | {"time": ["2024-01-01T00:00", "2024-01-01T01:00"]}}, {"error": True}, {"hourly": None}]
+    path = write(tmp_path / "w.json", "\n".join(map(json.dumps, lines)) + '\n{"hourly": {"time": [')
+    scan = weather_files.scan_hourly_json(spark, path, "kmh")
+    assert [r["wind_speed_ms"] for r in scan.rows.collect()] == [10.0]
+    reasons = sorted(r["reason"] for r in scan.bad.collect())
+    assert reasons == ["hours missing or of unequal length"] * 3 + ["no JSON payload"]
+
+
+def test_absent_sources_are_placeholders_only_if_allowed(spark, tmp_path):
+    there = write(tmp_path / "w.csv", "x")
+    assert weather_files.optional(spark, there, lambda p: p) == there
+    assert weather_files.optional(spark, None, len, "placeholder") is None
+    assert weather_files.optional(spark, str(tmp_path / "no.csv"), len, "placeholder") is None
+    with pytest.raises(FileNotFoundError, match="no.csv"):
+        weather_files.optional(spark, str(tmp_path / "no.csv"), len)
+
+
+def test_tiles_are_skipped_at_run_time(spark, tmp_path):
+    pixels = spark.range(10_000).selectExpr("cast(id div 100 as int) as row_ix", "cast(id % 100 as int) as col_ix", "id as v")
+    transform = raster.Transform(30.0, 40.0, 0.05, -0.05, 100, 100)
+    path = str(tmp_path / "tiles")
+    raster.write_tiles(raster.with_tile_name(pixels, transform, grid.ELEVATION_TILE), path)
+    names = [f for f in os.listdir(path) if f.startswith("tile_name=")]
+    assert len(names) == 25
+    areas = spark.createDataFrame([(1, 32.2, 37.1, 33.4, 37.3)], "area_id int, lon_min double, lat_min double, lon_max double, lat_max double")
+    kept = raster.read_tiles(spark, path, grid.tile_cover(areas, "elevation"))
+    rows = kept.collect()
+    assert len(rows) == 800 and {(r["row_ix"] // 20, r["col_ix"] // 20) for r in rows} == {(2, 2), (2, 3)}
+    assert "dynamicpruning" in kept._jdf.queryExecution().executedPlan().toString()
