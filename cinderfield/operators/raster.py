@@ -233,4 +233,5 @@ def write_tiles(pixels: DataFrame, path: str, rows_per_file: int = 4_000_000) ->
 
 def read_tiles(spark: SparkSession, path: str, cover: DataFrame) -> DataFrame:
     """Pixels of the tiles that ``cover`` names; folders of other tiles are skipped at run time."""
-    return keep_covered_tiles(spark.read.parquet(path), cover)
+    named = cover.filter(F.col("tile_name") > "")  # Spark prunes folders by a side that has a condition of its own
+    return keep_covered_tiles(spark.read.parquet(path), named)

@@ -97,7 +97,8 @@ def _of_days(df: DataFrame, days: DataFrame | tuple[str, str] | None, day: Colum
     if days is None:
         return df
     if isinstance(days, DataFrame):
-        wanted = days.select(F.col("day").cast("date").alias("_wanted")).distinct()
+        # Spark prunes folders by a side that has a condition of its own.
+        wanted = days.select(F.col("day").cast("date").alias("_wanted")).distinct().filter(F.col("_wanted") > F.lit("0001-01-01").cast("date"))
         return df.join(wanted, day == F.col("_wanted"), "left_semi")
     first, last = (F.lit(d).cast("date") for d in days)
     return df.filter(day.between(first, last))

@@ -154,16 +154,26 @@ def test_phrases_of_nothing(spark):
 def test_full_mark_cells_change_no_count():
     """With every cell marked at the first scan, phrases start early and are counted for one cycle all the same."""
     names, numbers = collocations.number_words(b"a b a b a. b a", np.array([0, 14]))
-    marks, pairs = np.zeros(1 << collocations.MARK_BITS, np.uint8), np.full((1 << collocations.PAIR_BITS) // 8, 255, np.uint8)
+    marks, cells = np.zeros(1 << collocations.MARK_BITS, np.uint8), np.full((1 << collocations.CELL_BITS) // 8, 255, np.uint8)
     seen = collections.defaultdict(list)
     for scan in range(8):
-        for words, phrases, _, n in collocations.count_chunk("en", names, numbers, scan, marks, pairs):
+        for _, phrases, _, _, n in collocations.count_chunk("en", names, numbers, scan, marks, cells):
             for p, c in zip(phrases.to_pylist(), n.tolist(), strict=True):
                 seen[p].append((scan, c))
     assert seen["a"] == [(s, 4) for s in range(4)] and seen["a b"] == [(s, 2) for s in range(1, 5)] and seen["b a"] == [(s, 3) for s in range(1, 5)]
     assert seen["a b a"] == [(s, 2) for s in range(1, 5)] and "a b a b a b" not in seen
 
 
+def test_cells_hold_all_lengths_and_stop_at_the_cap():
+    names, numbers = collocations.number_words(b"x x " * 50_000 + b". y z", np.array([0, 200_005]))
+    hashes = np.append(np.uint64(0), collocations.word_hashes(names.to_pylist()))
+    cells = np.zeros(1 << collocations.CELL_BITS, np.uint16)
+    collocations._add_to_cells(cells, "en", hashes, numbers, 30_000)
+    assert sorted(cells[cells > 0].tolist()) == [1, 1, 1] + [30_000] * 5
+    collocations._add_to_cells(cells, "en", hashes, numbers, 30_000)
+    assert sorted(cells[cells > 0].tolist()) == [2, 2, 2] + [30_000] * 5
+
+
 PAGES = [
     (3, "http://a/\r\nWARC-Type: x", "p" * 100, "u"), (1, "http://b", "p" * 100, "u"), (2, None, "p" * 99, "u"), (5, "", "p" * 99, "u"),
     (7, "http://c/é", None, "u"), (8, "x", "", "u"), (9, "y", "\r\n\r\nWARC/1.1\r\nWARC-Type: response\r\n\r\n" * 9, "u"), (1, "http://b", "p" * 100, "u"),
