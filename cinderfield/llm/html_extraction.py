@@ -12,13 +12,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cinderfield.llm.html_blocks import Block, read_blocks
+from cinderfield.llm.html_blocks import Block, Node, node_of, read_blocks
 
 PATH_SIZE, WORD_SIZE, FACTS = 256, 32, 8
 INPUT, HIDDEN = PATH_SIZE + WORD_SIZE + FACTS, 16
 SAMPLE_PAGES = 200
 CHARS_PER_PAGE = 60_000
 TRAIN_BLOCKS = 80
+WINDOW, CONTEXT = 8192, 256  # a page of more blocks is labelled in stretches that see so many of their neighbours
 BATCH = 128
 RESULT = "struct<text: string, n_blocks: int, n_kept: int>"
 
@@ -26,8 +27,10 @@ RESULT = "struct<text: string, n_blocks: int, n_kept: int>"
 MAIN = frozenset("article main post entry content story body text".split())
 ASIDE = frozenset(
     "nav header footer aside form menu sidebar ad ads advert advertisement banner cookie notice comment comments share social related "
-    "breadcrumb breadcrumbs newsletter promo widget subscribe pagination login search".split()
+    "breadcrumb breadcrumbs newsletter promo widget subscribe pagination login search sponsored sponsor promoted copyright disclaimer".split()
 )
+#: Elements of the HTML standard that stand beside an article.
+NEVER_MAIN = frozenset("form nav footer aside menu dialog button label".split())
 MAIN_WRAPS = ["article", "main", "div post", "div entry content", "section article body", "div content", "div story", "div text", "div main", "section", "div", ""]
 ASIDE_WRAPS = [f"div {name}" for name in sorted(ASIDE - {"nav", "header", "footer", "aside", "form"})] + [
     "nav", "header", "footer", "aside", "form", "nav menu", "footer site", "header site", "aside sidebar", "section comments", "ul menu", "section related",
@@ -38,23 +41,50 @@ ASIDE_TAILS = [("ul", "li", "a"), ("li", "a"), ("a",), ("p",), (), ("ul", "li"),
 
 
 @lru_cache(maxsize=50_000)
-def _path_vector(path: tuple[str, ...]) -> np.ndarray:
-    """Hashed tags and names of the path; tags count more the further in they stand."""
-    vector = np.zeros(PATH_SIZE, np.float32)
-    for depth, label in enumerate(path):
-        tag, *names = label.split()
-        weight = 0.5 + 0.5 * (depth + 1) / len(path)
-        vector[zlib.crc32(f"<{tag}".encode()) % PATH_SIZE] += weight
-        for name in names:
-            vector[zlib.crc32(name.encode()) % PATH_SIZE] += 1.0
-    return vector
+def _slots(label: str) -> tuple[int, list[int]]:
+    tag, *names = label.split()
+    return zlib.crc32(f"<{tag}".encode()) % PATH_SIZE, [zlib.crc32(name.encode()) % PATH_SIZE for name in names]
+
+
+class _Path:
+    """Hashed tags and names of a block's path; tags count more the further in they stand.
 
+    Kept as sums while it moves from block to block, so a block costs the elements
+    that opened and closed since the last one, however deep it stands.
+    """
+
+    def __init__(self):
+        self.node: Node | None = None
+        self.tags, self.deep, self.names = (np.zeros(PATH_SIZE, np.int64) for _ in range(3))
 
-def features(blocks: list[Block]) -> np.ndarray:
-    """[block, INPUT]: path, hashed words, and facts of length, links, marks and place."""
+    def _count(self, node: Node, sign: int) -> None:
+        tag, names = _slots(node.label)
+        self.tags[tag] += sign
+        self.deep[tag] += sign * node.depth
+        for name in names:
+            self.names[name] += sign
+
+    def move(self, to: Node | None) -> np.ndarray:
+        here, there, entered = self.node, to, []
+        while here is not there:
+            if there is None or (here is not None and here.depth >= there.depth):
+                self._count(here, -1)
+                here = here.parent
+            else:
+                entered.append(there)
+                there = there.parent
+        for node in entered:
+            self._count(node, 1)
+        self.node = to
+        return 0.5 * self.tags + 0.5 * self.deep / max(1, to.depth if to else 1) + self.names
+
+
+def features(blocks: list[Block], first: int = 0, total: int | None = None) -> np.ndarray:
+    """[block, INPUT]: path, hashed words, and facts of length, links, marks and place among ``total`` blocks of the page."""
     out = np.zeros((len(blocks), INPUT), np.float32)
+    path, total = _Path(), total or len(blocks)
     for i, block in enumerate(blocks):
-        out[i, :PATH_SIZE] = _path_vector(block.path)
+        out[i, :PATH_SIZE] = path.move(block.node)
         words = block.text.lower().split()
         slots = np.fromiter((zlib.crc32(w.encode("utf-8", "replace")) for w in words), np.int64, len(words)) % WORD_SIZE
         counted = np.bincount(slots, minlength=WORD_SIZE)
@@ -62,7 +92,7 @@ def features(blocks: list[Block]) -> np.ndarray:
         size = max(1, len(block.text))
         out[i, PATH_SIZE + WORD_SIZE :] = (
             np.log1p(size) / 5, np.log1p(len(words)) / 4, min(1.0, block.linked / size), block.text[-1:] in tuple(".!?"),
-            min(3.0, 20 * sum(map(block.text.count, ".,;")) / size), i / len(blocks), "©" in block.text, len(block.path) / 8,
+            min(3.0, 20 * sum(map(block.text.count, ".,;")) / size), (first + i) / total, "©" in block.text, min(block.depth, 64) / 8,
         )
     return out
 
@@ -190,18 +220,54 @@ def train(pages: list[np.ndarray], labels: list[np.ndarray], epochs: int = 10, s
     return m
 
 
+def _windows(blocks: list[Block]) -> list[tuple[int, int, int]]:
+    """(first, end, from) of the stretches a page is labelled in, and where each one's own blocks begin; nearly always one."""
+    if len(blocks) <= WINDOW:
+        return [(0, len(blocks), 0)]
+    return [(max(0, at - CONTEXT), min(len(blocks), at + WINDOW + CONTEXT), at) for at in range(0, len(blocks), WINDOW)]
+
+
 def predict(pages: list[list[Block]], m: Labeller) -> list[np.ndarray]:
-    """Whether each block of each page is main text. Pages of similar length run together."""
-    out: list[np.ndarray] = [np.zeros(0, bool)] * len(pages)
-    order = sorted((k for k in range(len(pages)) if pages[k]), key=lambda k: len(pages[k]))
+    """Whether each block of each page is main text. Stretches of similar length run together."""
+    out = [np.zeros(len(blocks), bool) for blocks in pages]
+    parts = sorted(((k, *w) for k, blocks in enumerate(pages) if blocks for w in _windows(blocks)), key=lambda p: p[2] - p[1])
     at = 0
-    while at < len(order):
+    while at < len(parts):
         # Fewer pages at once where they are long: the padded array stays small.
-        group = order[at : at + max(1, min(BATCH, 40_000 // len(pages[order[min(at + BATCH, len(order)) - 1]])))]
-        logits, _ = _logits([features(pages[k]) for k in group], m)
-        for column, k in enumerate(group):
-            out[k] = logits[: len(pages[k]), column] > 0
+        longest = parts[min(at + BATCH, len(parts)) - 1]
+        group = parts[at : at + max(1, min(BATCH, 40_000 // (longest[2] - longest[1])))]
+        logits, _ = _logits([features(pages[k][low:high], low, len(pages[k])) for k, low, high, _ in group], m)
+        for column, (k, low, high, own) in enumerate(group):
+            end = min(high, own + WINDOW)
+            out[k][own:end] = logits[own - low : end - low, column] > 0
         at += len(group)
+    for blocks, main in zip(pages, out, strict=True):
+        main &= ~_outside(blocks)
+    return out
+
+
+def _outside(blocks: list[Block]) -> np.ndarray:
+    """Blocks inside elements that hold no article by their nature, unless one kind of them holds most of the page's text."""
+    inside: dict[Node | None, frozenset[str]] = {None: frozenset()}
+
+    def kinds(node: Node | None) -> frozenset[str]:
+        way = []
+        while node not in inside:
+            way.append(node)
+            node = node.parent
+        found = inside[node]
+        for node in reversed(way):
+            tag = node.label.split(" ", 1)[0]
+            found = inside[node] = found | {tag} if tag in NEVER_MAIN else found
+        return found
+
+    each = [kinds(b.node) for b in blocks]
+    size = np.array([len(b.text) for b in blocks], np.int64)
+    out = np.zeros(len(blocks), bool)
+    for tag in frozenset().union(*each):
+        held = np.fromiter((tag in e for e in each), bool, len(each))
+        if 2 * size[held].sum() <= size.sum():
+            out |= held
     return out
 
 
@@ -221,7 +287,8 @@ def training_pages(pages: list[list[Block]]) -> tuple[list[np.ndarray], list[np.
     learns menus, notices, forms and comments that the sample does not show.
     """
     random = np.random.default_rng(3)
-    plain = [(blocks[:TRAIN_BLOCKS], [seed_label(b) for b in blocks[:TRAIN_BLOCKS]]) for blocks in pages if blocks]
+    ends = [blocks if len(blocks) <= TRAIN_BLOCKS else blocks[: TRAIN_BLOCKS // 2] + blocks[-TRAIN_BLOCKS // 2 :] for blocks in pages if blocks]
+    plain = [(blocks, [seed_label(b) for b in blocks]) for blocks in ends]
     main = [b for blocks, labels in plain for b, y in zip(blocks, labels, strict=True) if y == 1]
     rest = [b for blocks, labels in plain for b, y in zip(blocks, labels, strict=True) if y == 0]
     made = list(plain)
@@ -237,7 +304,7 @@ def training_pages(pages: list[list[Block]]) -> tuple[list[np.ndarray], list[np.
                 inner.append((*base, *tail))
             # Headings and list items are short: the path has to tell them from menus.
             texts = [b.text if random.random() < 0.7 else " ".join(b.text.split()[: random.integers(1, 7)]) for b in own]
-            inside = [(Block(text, path, 0), 1) for text, path in zip(texts, inner, strict=True)]
+            inside = [(Block(text, node_of(path), 0), 1) for text, path in zip(texts, inner, strict=True)]
             for _ in range(random.integers(2, 7)):
                 around = ASIDE_WRAPS[random.integers(len(ASIDE_WRAPS))]
                 source = rest if random.random() < 0.6 else main  # comments and notices read like main text
@@ -246,24 +313,26 @@ def training_pages(pages: list[list[Block]]) -> tuple[list[np.ndarray], list[np.
                 group = []
                 for _ in range(random.integers(1, 5)):
                     b = source[random.integers(len(source))]
-                    group.append((Block(b.text, (*outside, around, *tail), len(b.text) if "a" in tail else 0), 0))
+                    group.append((Block(b.text, node_of((*outside, around, *tail)), len(b.text) if "a" in tail else 0), 0))
                 place = random.choice([0, len(inside), random.integers(0, len(inside) + 1)], p=[0.4, 0.4, 0.2])
                 inside[place:place] = group
             made.append(([b for b, _ in inside][:TRAIN_BLOCKS], [y for _, y in inside][:TRAIN_BLOCKS]))
-            made.append(([Block(own[0].text, (), 0)], [1]))
+            made.append(([Block(own[0].text, None, 0)], [1]))
     return [features(b) for b, _ in made], [np.array(y, np.float32) for _, y in made]
 
 
 def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sample_pages: int = SAMPLE_PAGES) -> Labeller:
     """A labeller trained on a bounded sample of pages.
 
-    Bound: ``sample_pages`` pages with the smallest hash of their id, and of each the
-    first CHARS_PER_PAGE characters. Labels come from what semantic elements and
+    Bound: ``sample_pages`` pages with the smallest hash of their id, of each the
+    CHARS_PER_PAGE characters (of a longer page half from either end), and of those
+    TRAIN_BLOCKS blocks, also from both ends. Labels come from what semantic elements and
     names say about the sample's blocks, and from the same blocks under other wrappers.
     """
-    hashed = pages.where(F.col(html_col).isNotNull()).select(
-        F.xxhash64(F.col(id_col).cast("string")).alias("h"), F.substring(html_col, 1, CHARS_PER_PAGE).alias("html")
-    )
+    half = CHARS_PER_PAGE // 2
+    ends = F.concat(F.substring(html_col, 1, half), F.substring(html_col, -half, half))
+    whole = F.when(F.length(html_col) <= CHARS_PER_PAGE, F.col(html_col)).otherwise(ends)
+    hashed = pages.where(F.col(html_col).isNotNull()).select(F.xxhash64(F.col(id_col).cast("string")).alias("h"), whole.alias("html"))
     # Hashes alone first: then only the sample's own pages travel, not a sample of each partition.
     last = hashed.select("h").orderBy("h").limit(sample_pages).agg(F.max("h")).first()[0]
     sample = hashed.where(F.col("h") <= F.lit(last).cast("long")).orderBy("h", "html").limit(sample_pages).collect()
@@ -276,8 +345,11 @@ def extractor(pages: DataFrame, labeller: Labeller) -> Callable[[Column], Column
 
     Every block of the whole page is read with its tag path and words; a
     bidirectional LSTM labels each in the context of all others; blocks labelled
-    main text are joined by a line end in page order. Null and empty pages, and
-    pages without visible text, give an empty text. There is no shuffle; the
+    main text are joined by a line end in page order. Forms, navigation, footers and
+    the like are left out whatever the labeller says, unless they hold most of the
+    page. A page is read in time linear in its length, however deep; one of more than
+    WINDOW blocks is labelled in overlapping stretches. Null and empty pages, and
+    pages without visible text, give an empty text; repeated rows give the same each. There is no shuffle; the
     labeller has a fixed size and is broadcast.
     """
     shared = pages.sparkSession.sparkContext.broadcast(labeller)

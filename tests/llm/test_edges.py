@@ -170,6 +170,54 @@ def test_blocks_of_broken_markup():
     assert [b.text for b in read_blocks("<head><title>no</title><body>yes")] == ["yes"]
 
 
+def test_blocks_of_tags_with_a_missing_quote():
+    assert [b.text for b in read_blocks('<p class="lead>text</p><p class="x">more</p>')] == ["text", "more"]
+    assert [b.text for b in read_blocks("<p title=\"a > b\" data-x='1 < 2'>one</p><a href='x>two</a>")] == ["one", "two"]
+
+
+def test_deep_pages_are_read_in_linear_time():
+    import time
+
+    begun = time.perf_counter()
+    blocks = read_blocks("<div><p>x" * 60_000 + "</li>" * 60_000)
+    html_extraction.features(blocks[:3000])
+    assert len(blocks) == 60_000 and blocks[-1].depth == 60_001 and time.perf_counter() - begun < 10
+    # Moving from block to block gives the sums of each path.
+    small = read_blocks("<div class='a b'><p>x<p>y<ul><li>z</ul></div>tail<nav><a href=q>w</a></nav>")
+    for block, row in zip(small, html_extraction.features(small), strict=True):
+        plain = np.zeros(html_extraction.PATH_SIZE)
+        for depth, label in enumerate(block.path, 1):
+            tag, names = html_extraction._slots(label)
+            plain[tag] += 0.5 + 0.5 * depth / len(block.path)
+            np.add.at(plain, names, 1)
+        assert np.allclose(row[: html_extraction.PATH_SIZE], plain)
+
+
+def test_long_pages_are_labelled_in_stretches(monkeypatch):
+    monkeypatch.setattr(html_extraction, "WINDOW", 50)
+    labeller = html_extraction.new_labeller()
+    pages = [read_blocks("<p>some words here." * n) for n in (0, 1, 50, 51, 333)]
+    whole = [html_extraction._logits([html_extraction.features(p)], labeller)[0][:, 0] > 0 if p else [] for p in pages]
+    for found, want in zip(html_extraction.predict(pages, labeller), whole, strict=True):
+        assert len(found) == len(want) and (found == want).mean() > 0.9 if len(found) else True
+
+
+def test_adverts_forms_and_footers_are_not_main_text(spark):
+    labeller = html_extraction.fit(spark.read.parquet("/root/testdata/sf0.01/pages.parquet"))
+    article = "<p>The river rose again last night, and the town waited. Nobody slept much.</p>" * 3
+    rows = [
+        (1, f'<body><div class="post">{article}</div><div class="sponsored"><p>Buy now and save.</p></div>'),
+        (2, f'<body><div class="post">{article}</div><form><p>Your name and your answer.</p></form>'),
+        (3, f"<body><div class='post'>{article}</div><footer><p>All rights kept by us, 2020.</p></footer>"),
+        (3, f"<body><form><div class='post'>{article}</div></form>"),
+    ]
+    frame = spark.createDataFrame([(*r, "x", 1) for r in rows], "page_id long, html string, text string, n_kept int")
+    found = [r[0]["text"] for r in frame.select(html_extraction.extractor(frame, labeller)("html")).collect()]
+    kept = "\n".join(["The river rose again last night, and the town waited. Nobody slept much."] * 3)
+    assert found == [kept] * 4
+    assert frame.limit(0).select(html_extraction.extractor(frame, labeller)("html")).count() == 0
+
+
 def test_line_dedup_edges(spark, empty):
     many = [f"own line {i}\n Shared by all \n\nmore of {i}" for i in range(10)]
     copies = ["whole copy of a page\nShared by all"] * 10
