@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from cinderfield.llm import merges, pretokens
 
 CHUNK_BYTES = 16 << 20
-WORDS_AT_ONCE = 1_000_000
+WORDS_AT_ONCE = 500_000
 KNOWN_WORDS = 1_000_000  # distinct words whose ids a task holds before it begins anew
 
 
@@ -231,6 +231,15 @@ def encode(
     their own row; other columns are ignored. Lost executors cost shuffle files
     only, which Spark rebuilds from the input.
     """
+    together, join = _gathered(docs, ranks, id_col, text_col, buckets, chunk_bytes)
+    return together.mapInArrow(join, T.StructType([docs.schema[id_col], _IDS]))
+
+
+_IDS = T.StructField("ids", T.ArrayType(T.IntegerType()))
+
+
+def _gathered(docs: DataFrame, ranks: str, id_col: str, text_col: str, buckets: int | None, chunk_bytes: int):
+    """Each chunk's encoded words and positions side by side, and the function that joins them."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(merges.from_ranks(merges.read_ranks(ranks)))  # one vocabulary
     parts = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -244,8 +253,7 @@ def encode(
     positions = rows.mapInArrow(_positions(chunk_bytes), f"chunk long, kind int, numbers binary, id {id_type}")
     both = encoded.unionByName(positions, allowMissingColumns=True).select("chunk", "kind", "numbers", "sizes", "ids", "id")
     together = both.repartition(parts, "chunk").sortWithinPartitions("chunk", "kind")
-    out = T.StructType([docs.schema[id_col], T.StructField("ids", T.ArrayType(T.IntegerType()))])
-    return together.mapInArrow(_reassemble(pa.schema(_arrow(id_type)).field(0).type), out)
+    return together, _reassemble(pa.schema(_arrow(id_type)).field(0).type)
 
 
 def _arrow(id_type: str) -> list[pa.Field]:
@@ -261,6 +269,18 @@ def decode(encoded: DataFrame, ranks: str, id_col: str = "doc_id", ids_col: str
     index. An id outside the table fails the job. A null or empty array gives empty bytes.
     """
     shared = encoded.sparkSession.sparkContext.broadcast(merges.read_ranks(ranks))
+    schema = T.StructType([encoded.schema[id_col], T.StructField("bytes", T.BinaryType())])
+    lookup, names = _token_bytes(shared), schema.names
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in lookup(batches):
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2)], names=names)
+
+    return encoded.select(id_col, ids_col).mapInArrow(run, schema)
+
+
+def _token_bytes(shared):
+    """Adds the decoded bytes to batches of (anything, ids)."""
 
     def lookup(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.array(shared.value, pa.large_binary())
@@ -275,24 +295,31 @@ def decode(encoded: DataFrame, ranks: str, id_col: str = "doc_id", ids_col: str
                 data = (tokens.buffers()[2] or pa.py_buffer(b"")).to_pybytes()
                 at = ends[np.append(0, np.cumsum(per_text[low:high]))] if len(tokens) else np.zeros(high - low + 1, np.int64)
                 texts = [data[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, high - low), pa.array(texts, pa.binary())], names=names)
+                rows = batch.slice(low, high - low)
+                yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(texts, pa.binary())], names=["id", "ids", "bytes"])
         pretokens.give_back()
 
-    schema = T.StructType([encoded.schema[id_col], T.StructField("bytes", T.BinaryType())])
-    names = schema.names
-    return encoded.select(id_col, ids_col).mapInArrow(lookup, schema)
+    return lookup
 
 
 def digests(docs: DataFrame, ranks: str, id_col: str = "doc_id", text_col: str = "text", chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """Rows (id, n_tokens, ids_sha256, decoded_sha256): digests of the ids and of what they decode to.
 
-    The ids pass through ``encode`` and ``decode``; only digests leave.
+    The same steps as ``encode`` and ``decode``, the last two in one Python worker;
+    only digests leave.
     """
-    encoded = encode(docs, ranks, id_col, text_col, chunk_bytes=chunk_bytes)
-    facts = F.struct(
-        F.col(id_col),
+    together, join = _gathered(docs, ranks, id_col, text_col, None, chunk_bytes)
+    lookup = _token_bytes(docs.sparkSession.sparkContext.broadcast(merges.read_ranks(ranks)))
+    schema = T.StructType([docs.schema[id_col], _IDS, T.StructField("bytes", T.BinaryType())])
+    names = schema.names
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in lookup(join(batches)):
+            yield pa.RecordBatch.from_arrays(batch.columns, names=names)
+
+    return together.mapInArrow(run, schema).select(
+        id_col,
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("bytes", 256).alias("decoded_sha256"),
     )
-    decoded = decode(encoded.select(facts.alias("facts"), "ids"), ranks, "facts")
-    return decoded.select("facts.*", F.sha2("bytes", 256).alias("decoded_sha256"))
