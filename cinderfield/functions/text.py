@@ -9,13 +9,26 @@ from pyspark.sql import functions as F
 CONFIDENCE_CODES = {"l": "low", "n": "nominal", "h": "high"}
 
 
-def confidence_level(raw: Column) -> Column:
-    """Trimmed lower-case level with one-letter codes spelled out; other text unchanged."""
+# Percent from which a numeric confidence is nominal, and high.
+NUMERIC_BOUNDS = (30.0, 80.0)
+
+
+def confidence_level(raw: Column, numeric_bounds: tuple[float, float] | None = None) -> Column:
+    """Trimmed lower-case level with one-letter codes spelled out; other text unchanged.
+
+    With ``numeric_bounds`` (``NUMERIC_BOUNDS`` is what sensors with a percent scale
+    publish) numbers from 0 to 100 become low, nominal or high; others stay text.
+    """
     text = F.lower(F.trim(raw.cast("string")))
     level = text
     for code, word in CONFIDENCE_CODES.items():
         level = F.when(text == code, F.lit(word)).otherwise(level)
-    return level
+    if numeric_bounds is None:
+        return level
+    nominal, high = numeric_bounds
+    percent = text.try_cast("double")
+    named = F.when(percent < nominal, F.lit("low")).when(percent < high, F.lit("nominal")).otherwise(F.lit("high"))
+    return F.when(percent.between(0, 100), named).otherwise(level)
 
 
 def any_box_label(annotations: Column) -> Column:

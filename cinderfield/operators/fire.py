@@ -15,16 +15,19 @@ DENSITY, DAYS_SINCE = FIRE_HISTORY
 
 
 def filter_confidence(
-    hotspots: DataFrame, levels: tuple[str, ...] = LabelSettings().confidence_levels
+    hotspots: DataFrame,
+    levels: tuple[str, ...] = LabelSettings().confidence_levels,
+    numeric_bounds: tuple[float, float] | None = None,
 ) -> DataFrame:
     """Keep the wanted confidence levels; a table without the column is kept whole.
 
-    Numeric and null confidence match no level and are dropped.
+    Null confidence matches no level and is dropped; so is a number, unless
+    ``numeric_bounds`` say which level it stands for.
     """
     if "confidence" not in hotspots.columns:
         return hotspots
     wanted = [level.lower() for level in levels]
-    return hotspots.filter(confidence_level(F.col("confidence")).isin(wanted))
+    return hotspots.filter(confidence_level(F.col("confidence"), numeric_bounds).isin(wanted))
 
 
 def _fold_day(at: Column) -> Column:

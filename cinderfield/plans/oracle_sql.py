@@ -203,6 +203,12 @@ def statements() -> dict[str, str]:
     out["confidence_filter"] = _with(
         "hot", f"select hotspot_id, {_KEPT} as level from hot where {_KEPT} in ('nominal','high')"
     )
+    percent = "hotspot_id % 120 - 5"
+    out["confidence_numeric"] = _with(
+        "hot",
+        f"""select hotspot_id, case when confidence <> '85' then {_KEPT} when {percent} < 80 then 'nominal' else 'high' end as level from hot
+            where case when confidence = '85' then {percent} between 30 and 100 else {_KEPT} in ('nominal','high') end""",
+    )
     distance = _haversine("c.lat", "c.lon", "h.latitude", "h.longitude")
     out["radius_join"] = _with(
         "hot cells",
@@ -598,6 +604,15 @@ def statements() -> dict[str, str]:
                on f.stem = 'img_'||cast(i.image_id as varchar)) group by all""",
         flags,
     )
+    out["image_folder_scan"] = _with(
+        "images label_files",
+        """select split, stem, label, n_bytes, case when split = 'val' then row_number() over (partition by split order by n_bytes is null desc, path) end as place
+           from (select i.split, path, 'img_'||cast(image_id as varchar) as stem, coalesce(f.flag, 0) as label, null::bigint as n_bytes
+                 from images i left join flags f on f.stem = 'img_'||cast(i.image_id as varchar)
+                 union all
+                 select split, path, 'img_'||cast(image_id as varchar), case when trim(coalesce(annotations,'')) = '' then 0 else 1 end, strlen(text) from images)""",
+        flags,
+    )
     out["hotspot_ingest"] = _with(
         "arch",
         """select * exclude (rn, lowest), cast(date_diff('day', lowest, acq_date) // 365 as int) as chunk

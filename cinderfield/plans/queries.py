@@ -36,7 +36,9 @@ from cinderfield.plans.risk_dataset import Built, RasterLayer, Sources, build_da
 from cinderfield.scratch import scratch_path, settle
 from cinderfield.sources import features as feature_files
 from cinderfield.sources import hotspots as hotspot_files
+from cinderfield.sources import images as image_files
 from cinderfield.sources import weather as weather_files
+from cinderfield.sources.files import write_files
 from cinderfield.streaming import hotspots as stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -114,6 +116,15 @@ def confidence_filter(spark: SparkSession, sf: str) -> DataFrame:
     return kept.select("hotspot_id", level.alias("level"))
 
 
+@register
+def confidence_numeric(spark: SparkSession, sf: str) -> DataFrame:
+    """Levels where some confidences are percent numbers, mapped by the published bounds."""
+    percent = F.when(F.col("confidence") == "85", (F.col("hotspot_id") % 120 - 5).cast("string")).otherwise(F.col("confidence"))
+    hotspots = views.view(spark, sf, "HOTSPOTS").withColumn("confidence", percent)
+    kept = fire.filter_confidence(hotspots, numeric_bounds=text_rules.NUMERIC_BOUNDS)
+    return kept.select("hotspot_id", text_rules.confidence_level(F.col("confidence"), text_rules.NUMERIC_BOUNDS).alias("level"))
+
+
 @register
 def radius_join(spark: SparkSession, sf: str) -> DataFrame:
     pairs = spatial.radius_pairs(
@@ -672,6 +683,27 @@ def image_catalogue(spark: SparkSession, sf: str) -> DataFrame:
     return both.groupBy("source", "split", "label").agg(F.count(F.lit(1)).alias("n"))
 
 
+@register
+def image_folder_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Images, label files and annotated shards written as files and read back as one catalogue; other splits than train in path order."""
+    root = scratch_path(spark, "images")
+    pictures = views.view(spark, sf, "IMAGES")
+    labels = views.view(spark, sf, "LABEL_FILES")
+    stems = pictures.select("split", text_rules.file_stem(F.col("path")).alias("stem"))
+    texts = labels.join(stems, "stem").select(F.concat_ws("/", F.lit("labels"), "split", F.concat("stem", F.lit(".txt"))).alias("name"), F.col("content").alias("data"))
+    write_files(pictures.select(F.col("path").alias("name"), F.col("text").alias("data")).unionByName(texts), root)
+    image = F.struct("path", F.encode("text", "UTF-8").alias("bytes")).alias("image")
+    for split, name in (("train", "shots-train-0.parquet"), ("val", "shots-val.parquet")):
+        pictures.filter(F.col("split") == split).select(image, "annotations").write.parquet(f"{root}/shards/{name}")
+    found = []
+    for split in ("train", "val"):
+        samples = image_files.image_catalogue(spark, f"{root}/shards", root, split)
+        placed = splits.ranked(samples) if split == "val" else samples.withColumn("place", F.lit(None).cast("long"))
+        stem, size = text_rules.file_stem(F.col("path")).alias("stem"), F.octet_length("bytes").cast("long").alias("n_bytes")
+        found.append(placed.select(F.lit(split).alias("split"), stem, "label", size, F.col("place").cast("long").alias("place")))
+    return found[0].unionByName(found[1])
+
+
 # --- models ----------------------------------------------------------------
 
 BOOSTER = BoosterSettings(rounds=8, depth=4, step=0.2, patience=4)

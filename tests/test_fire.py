@@ -201,3 +201,12 @@ def test_radius_join_is_an_equi_join(spark):
     obs = cells(spark)
     plan = fire_labels(obs, hotspots(spark, [(LAT, LON, OBS)]))._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "CartesianProduct" not in plan
+
+
+def test_numeric_confidence_maps_only_where_bounds_are_given(spark):
+    given = ["l", " N ", "high", "0", "29.9", "30", "79", "80", "100", "101", "-1", "x", None]
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(given)], "i int, confidence string")
+    plain = {r["i"] for r in filter_confidence(df).collect()}
+    mapped = {r["i"] for r in filter_confidence(df, numeric_bounds=(30.0, 80.0)).collect()}
+    assert plain == {1, 2} and mapped == {1, 2, 5, 6, 7, 8}
+    assert {r["i"] for r in filter_confidence(df, ("low",), (30.0, 80.0)).collect()} == {0, 3, 4}

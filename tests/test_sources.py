@@ -14,6 +14,7 @@ from cinderfield.sources import features as feature_tables
 from cinderfield.sources import hotspots as hotspot_files
 from cinderfield.sources import images as image_files
 from cinderfield.sources import weather as weather_files
+from cinderfield.sources.files import write_files
 from cinderfield.streaming import hotspots as stream
 
 HEADER = "latitude,longitude,acq_date,confidence,brightness,frp\n"
@@ -412,6 +413,13 @@ def test_absent_sources_are_placeholders_only_if_allowed(spark, tmp_path):
         weather_files.optional(spark, str(tmp_path / "no.csv"), len)
 
 
+def test_files_are_written_by_name(spark, tmp_path):
+    rows = [("a/b 1%/x.jpg", bytearray(b"\x00\xff")), ("a/ü.txt", bytearray(b"")), ("top.txt", None)]
+    assert write_files(spark.createDataFrame(rows, "name string, data binary"), str(tmp_path)) == 3
+    assert {n: (tmp_path / n).read_bytes() for n, _ in rows} == {"a/b 1%/x.jpg": b"\x00\xff", "a/ü.txt": b"", "top.txt": b""}
+    assert write_files(spark.createDataFrame([], "name string, data binary"), str(tmp_path)) == 0
+
+
 def test_tiles_are_skipped_at_run_time(spark, tmp_path):
     pixels = spark.range(10_000).selectExpr("cast(id div 100 as int) as row_ix", "cast(id % 100 as int) as col_ix", "id as v")
     transform = raster.Transform(30.0, 40.0, 0.05, -0.05, 100, 100)
