@@ -8,26 +8,29 @@ from pyspark.sql import functions as F
 from cinderfield.functions.scalars import clamp
 
 
+# The published saturation pressure (Tetens) and fine-fuel moisture step
+# (Van Wagner 1987): equilibrium moisture, drying rate by wind in km/h, and the code.
+SATURATION = (0.6112, 17.67, 243.5)
+EQUILIBRIUM = (0.942, 0.679, 11.0, 100.0, 10.0, 0.18, 21.1, 0.115)
+DRYING = 0.0365
+CODE = (59.5, 250.0, 147.2, 101.0)
+KMH = 3.6
+
+
 def vpd(temp_c: Column, rh_pct: Column) -> Column:
-    """Vapour-pressure deficit in kPa (Tetens saturation pressure), clipped to [0, 10]."""
-    saturation = F.exp(temp_c * 17.67 / (temp_c + 243.5)) * 0.6112
+    """Vapour-pressure deficit in kPa, clipped to [0, 10]."""
+    base, slope, offset = SATURATION
+    saturation = F.exp(temp_c * slope / (temp_c + offset)) * base
     return clamp(saturation * (F.lit(1.0) - rh_pct / 100.0), 0.0, 10.0)
 
 
 def ffmc(temp_c: Column, rh_pct: Column, wind_ms: Column, previous: float = 85.0) -> Column:
-    """Fine-fuel moisture code after one drying step (Van Wagner 1987), in [0, 101].
-
-    The drying rate is defined for wind in km/h, hence the factor 3.6.
-    """
+    """Fine-fuel moisture code after one drying step, in [0, 101]."""
+    a, b, c, d, e, f, g, h = EQUILIBRIUM
+    scale, top, middle, most = CODE
     rh = clamp(rh_pct, 5.0, 100.0)
-    equilibrium = (
-        F.pow(rh, F.lit(0.679)) * 0.942
-        + F.exp((rh - 100.0) / 10.0) * 11.0
-        + (F.lit(21.1) - temp_c) * 0.18 * (F.lit(1.0) - F.exp(rh * -0.115))
-    )
-    start = 147.2 * (101.0 - previous) / (59.5 + previous)
-    drying = F.exp(F.lit(-1.0) - wind_ms * (3.6 * 0.0365))
-    moisture = equilibrium * (F.lit(1.0) - drying) + drying * start
-    # 59.5*(250-m)/(147.2+m), written with m once to keep the expression small.
-    code = (F.lit(250.0 + 147.2) / (moisture + 147.2) - 1.0) * 59.5
-    return clamp(code, 0.0, 101.0)
+    equilibrium = a * F.pow(rh, F.lit(b)) + c * F.exp((rh - d) / e) + f * (F.lit(g) - temp_c) * (F.lit(1.0) - F.exp(-h * rh))
+    before = middle * (most - previous) / (scale + previous)
+    drying = F.exp(F.lit(-1.0) - DRYING * wind_ms * KMH)
+    moisture = equilibrium + (F.lit(before) - equilibrium) * drying
+    return clamp(scale * (F.lit(top) - moisture) / (F.lit(middle) + moisture), 0.0, 101.0)
