@@ -8,7 +8,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cinderfield.llm import pretokens
@@ -194,7 +194,9 @@ def fit(
                 names=["y", "buckets", "tf", "dense"],
             )
 
-    sample = rows.join(chosen, F.col("id") == F.col("label_id")).select("y", "text", "size")
+    # One text for each id, however often rows repeat it: what reaches the driver is bounded by rows, not ids.
+    place = F.row_number().over(Window.partitionBy("label_id").orderBy(F.xxhash64("text"), "text"))
+    sample = rows.join(chosen, F.col("id") == F.col("label_id")).withColumn("place", place).where(F.col("place") == 1).select("y", "text", "size")
     found = sample.mapInArrow(extract, "y double, buckets array<int>, tf array<int>, dense array<double>").toPandas()
     if not len(found):
         return Machine(0.0, np.zeros(SIZE), np.zeros((SIZE, FACTORS)), np.zeros(DENSE), np.ones(DENSE))

@@ -98,7 +98,7 @@ BLOCKED_HOSTS = ("spam-farm.example.org", "cheap-pills.example.com")
 
 @register
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Verdict on every page's URL."""
+    """Verdict on every page's URL; the blocked hosts are an example of a list."""
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), URL_RULES, BLOCKED_HOSTS)
 
 

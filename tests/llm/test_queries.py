@@ -50,11 +50,11 @@ def test_query_equals_sql(spark, sf, name):
         assert ((got[c] == want[c]) | (got[c].isna() & want[c].isna())).all(), c
 
 
-def test_ten_queries_and_pipeline_are_registered():
+def test_thirteen_queries_and_pipeline_are_registered():
     import __spark_entry__
 
     found = __spark_entry__.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in found) == 1
     assert found["pipeline"] is corpus_pipeline.run
 
