@@ -38,31 +38,29 @@ def _within(radius_m: float, distance: Column) -> Column:
     return (chord2 <= clear) | ((chord2 <= beyond) & (distance <= radius_m))
 
 
-def _bin_loads(left: DataFrame, right: DataFrame, rows_per_slice: int) -> DataFrame:
-    """Per bin that both sides reach: the slices its left and right rows are cut into.
+def _heavy_bins(left: DataFrame, right: DataFrame, rows_per_slice: int) -> DataFrame:
+    """Bins whose two sides make too many pairs for one task, and the slices their left and right rows are cut into.
 
-    A distributed table, one row per bin. A bin with few pairs has one slice; no
-    slice makes more than about ``rows_per_slice`` squared pairs, however the rows
-    are split between the sides.
+    A table, mostly empty or small, and written so that its size is known: where
+    it is small, no row moves to learn its bin's slices. No slice makes more than
+    about ``rows_per_slice`` squared pairs, however the rows are split between the sides.
     """
     nl = left.groupBy("_bin").agg(F.count(F.lit(1)).alias("_nl"))
     nr = right.groupBy("_bin").agg(F.count(F.lit(1)).alias("_nr"))
     most = float(rows_per_slice)
-    heavy = F.col("_nl").cast("double") * F.col("_nr") > most * most
+    heavy = nl.join(nr, "_bin").filter(F.col("_nl").cast("double") * F.col("_nr") > most * most)
+    cuts = [F.ceil(F.col(f"_n{side}") / most).cast("int").alias(f"_cut_{side}") for side in "lr"]
+    return settle(heavy.select("_bin", *cuts), "heavy")
 
-    def cuts(rows: str) -> Column:
-        return F.when(heavy, F.ceil(F.col(rows) / most)).otherwise(1).cast("int")
 
-    return nl.join(nr, "_bin").select("_bin", cuts("_nl").alias("_cut_l"), cuts("_nr").alias("_cut_r"))
-
-
-def _sliced(df: DataFrame, loads: DataFrame, own: str, other: str) -> DataFrame:
+def _sliced(df: DataFrame, heavy: DataFrame, own: str, other: str) -> DataFrame:
     """Give each row one slice on its own side and a copy per slice of the other."""
     payload = [c for c in df.columns if c != "_bin"]
+    mine, theirs = (F.coalesce(F.col(f"_cut_{side}"), F.lit(1)) for side in (own, other))
     return (
-        df.join(loads, "_bin")
-        .withColumn(f"_slice_{own}", F.pmod(F.xxhash64(*payload), F.col(f"_cut_{own}")).cast("int"))
-        .withColumn(f"_slice_{other}", F.explode(F.sequence(F.lit(0), F.col(f"_cut_{other}") - 1)))
+        df.join(heavy, "_bin", "left")
+        .withColumn(f"_slice_{own}", F.pmod(F.xxhash64(*payload), mine).cast("int"))
+        .withColumn(f"_slice_{other}", F.explode(F.sequence(F.lit(0), theirs - 1)))
         .drop("_cut_l", "_cut_r")
     )
 
@@ -76,10 +74,10 @@ def _bin_join(left: DataFrame, right: DataFrame, condition: Column, rows_per_sli
     """
     spark = left.sparkSession
     keys = ["_bin", "_slice_l", "_slice_r"]
-    loads = _bin_loads(left, right, rows_per_slice)
+    heavy = _heavy_bins(left, right, rows_per_slice)
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    left = _sliced(left, loads, "l", "r").repartition(tasks, *keys)
-    right = _sliced(right, loads, "r", "l").repartition(tasks, *keys)
+    left = _sliced(left, heavy, "l", "r").repartition(tasks, *keys)
+    right = _sliced(right, heavy, "r", "l").repartition(tasks, *keys)
     a, b = left.alias("a"), right.alias("b")
     same = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys]
     own = [F.col(f"a.{c}") for c in left.columns if c not in keys]
