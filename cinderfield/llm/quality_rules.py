@@ -14,6 +14,8 @@ from cinderfield.scratch import settle
 SYMBOLS = "[#*$%&|<>]+"
 #: Character classes over the characters of words; what is left is one more class.
 CLASSES = {"lower": "[a-z]+", "upper": "[A-Z]+", "digit": "[0-9]+", "mark": r"[!-/:-@\[-`{-~]+"}
+#: All but the characters of words that are not a-z: a short rest of most texts.
+LOWER_OR_BLANK = r"[a-z\x20\x09-\x0D]+"
 COMMON_WORDS = 24
 CODES = [chr(ord("A") + i) for i in range(COMMON_WORDS)]
 HAS_WORD = r"[^\x20\x09-\x0D]"
@@ -46,10 +48,15 @@ def _worded(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataF
 
 
 def _with_classes(rows: DataFrame) -> DataFrame:
-    """Adds n_words, word_chars and the class counts."""
-    rows = rows.withColumn("chars", F.array_join("words", "")).withColumn("n_words", F.size("words").cast("long"))
-    rows = rows.withColumn("word_chars", F.length("chars").cast("long"))
-    return rows.withColumns({name: _removed(F.col("chars"), pattern) for name, pattern in CLASSES.items()})
+    """Adds n_words, word_chars, the class counts and n_symbols.
+
+    One pass takes out a-z and blanks; the other classes are counted in what is left.
+    """
+    rows = rows.withColumn("left", F.regexp_replace("text", LOWER_OR_BLANK, "")).withColumn("n_words", F.size("words").cast("long"))
+    rows = rows.withColumn("word_chars", F.length(F.array_join("words", "")).cast("long"))
+    counts = {name: _removed(F.col("left"), pattern) for name, pattern in CLASSES.items() if name != "lower"}
+    lower = F.col("word_chars") - F.length("left")
+    return rows.withColumns({"lower": lower, **counts, "n_symbols": _removed(F.col("left"), SYMBOLS)})
 
 
 def _repeat_words(rows: DataFrame) -> DataFrame:
@@ -105,6 +112,7 @@ def references(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             F.col("lang").alias("ref_lang"),
             chars.alias("ref_chars"),
             F.transform(padded, lambda n: n / F.col("n_words")).alias("ref_words"),
+            F.array_max(F.transform("common", lambda c: F.octet_length(c["word"]))).alias("longest"),
             F.map_from_arrays(
                 F.transform("common", lambda c: c["word"]),
                 F.transform("common", lambda c: F.chr(F.lit(64) + c["place"])),
@@ -149,7 +157,9 @@ def judge(
     Repeated rows and null ids give their own rows; other columns are ignored.
     """
     rows = _with_classes(_worded(docs, id_col, text_col, lang_col)).join(reference, F.col("lang") == F.col("ref_lang"), "left")
-    rows = rows.withColumn("coded", F.array_join(F.transform("words", lambda w: F.try_element_at("code_of", w)), ""))
+    # Most words are longer than any common one.
+    code = F.transform("words", lambda w: F.when(F.octet_length(w) <= F.col("longest"), F.try_element_at("code_of", w)))
+    rows = rows.withColumn("coded", F.array_join(code, ""))
     rows = _repeat_words(rows)
     lines = F.filter(F.split("text", "\n"), lambda line: line.rlike(HAS_WORD))
     rows = rows.withColumn("lines", lines)
@@ -158,7 +168,7 @@ def judge(
         "id",
         "n_words",
         "word_chars",
-        _removed(F.col("chars"), SYMBOLS).alias("n_symbols"),
+        "n_symbols",
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         "n_repeat_words",
         "ref_chars",
