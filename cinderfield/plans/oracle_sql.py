@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from cinderfield.contract import HUMAN, LAND_COVER, LAND_COVER_CODES, contract_rows
 from cinderfield.plans import views
-from cinderfield.plans.queries import AREA_RESOLUTION_M, BBOX, COVERAGE
+from cinderfield.plans.queries import AREA_RESOLUTION_M, BBOX, COVERAGE_DAYS
 
 _SETS = {
     "hot": "HOTSPOTS",
@@ -189,7 +189,7 @@ _STEP = f"({AREA_RESOLUTION_M}E0*(360.0E0/40075017.0E0))"
 
 def statements() -> dict[str, str]:
     lo0, la0, lo1, la1 = BBOX
-    start, end, days = COVERAGE
+    days = COVERAGE_DAYS
     out: dict[str, str] = {}
 
     out["fire_labels"] = _with(
@@ -345,13 +345,11 @@ def statements() -> dict[str, str]:
     )
     out["archive_coverage"] = _with(
         "hot",
-        f"""select k as chunk, s as chunk_start, cast(least({days}, date_diff('day', s, timestamp '{end}')+1) as int) as span_days,
-            count(h.hotspot_id) as n_hotspots
-            from (select i as k, timestamp '{start}' + to_days(cast(i*{days} as int)) as s
-                  from range(cast(ceil((date_diff('day', timestamp '{start}', timestamp '{end}')+1)/{days}.0) as bigint)) t(i)) c
-            left join hot h on h.acq_date >= s and h.acq_date < s + to_days({days})
-              and h.acq_date < timestamp '{end}' + interval 1 day
-            group by k, s""",
+        f"""select k as chunk, s as chunk_start, cast(least({days}, date_diff('day', s, s1)+1) as int) as span_days, count(h.hotspot_id) as n_hotspots
+            from (select i as k, s0 + to_days(cast(i*{days} as int)) as s, s1 from (select *, unnest(range(n)) as i from span)) c
+            left join hot h on h.acq_date >= s and h.acq_date < s + to_days({days}) group by k, s, s1""",
+        f"""span as (select s0, s1, cast(ceil((date_diff('day', s0, s1)+1)/{days}.0) as bigint) as n
+            from (select date_trunc('day', min(acq_date)) as s0, date_trunc('day', max(acq_date)) as s1 from hot))""",
     )
 
     human = (

@@ -46,7 +46,7 @@ REGISTRY: dict[str, Query] = {}
 
 BBOX = (29.0, 38.0, 34.0, 41.0)
 AREA_RESOLUTION_M = 2500.0
-COVERAGE = ("1995-01-01", "2001-08-03", 5)
+COVERAGE_DAYS = 5
 LABELS = LabelSettings(start=views.OBS_START, end=views.OBS_END)
 
 
@@ -274,7 +274,7 @@ def raster_mosaic(spark: SparkSession, sf: str) -> DataFrame:
 @register
 def raster_crop(spark: SparkSession, sf: str) -> DataFrame:
     pixels = views.view(spark, sf, "PIXELS")
-    transform = raster.Transform(height=1_000_000, **views.RASTER)
+    transform = raster.Transform(height=pixels.agg(F.max("row_ix") + 1).first()[0], **views.RASTER)
     kept, _ = raster.crop(pixels, transform, (30.1, 0.0, 35.3, 42.8))
     return kept.select("row_ix", "col_ix", "elevation", "code")
 
@@ -362,8 +362,10 @@ def hotspot_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 @register
 def archive_coverage(spark: SparkSession, sf: str) -> DataFrame:
-    start, end, days = COVERAGE
-    out = archive.archive_coverage(views.view(spark, sf, "HOTSPOTS"), start, end, days)
+    """Hotspots per chunk of five days, from the first detection to the last."""
+    hotspots = views.view(spark, sf, "HOTSPOTS")
+    first, last = hotspots.agg(F.min("acq_date"), F.max("acq_date")).first()
+    out = archive.archive_coverage(hotspots, f"{first:%Y-%m-%d}", f"{last:%Y-%m-%d}", COVERAGE_DAYS)
     return out.withColumn("chunk_start", F.col("chunk_start").cast("timestamp_ntz"))
 
 
