@@ -164,6 +164,27 @@ def test_full_mark_cells_change_no_count():
     assert seen["a b a"] == [(s, 2) for s in range(1, 5)] and "a b a b a b" not in seen
 
 
+def test_marks_of_other_phrases_do_not_start_a_phrase_before_it_is_followed():
+    """The cells of "a b" and "b c" are marked by others two scans before those of the words: "a b c" still gets a whole cycle."""
+    names, numbers = collocations.number_words(b"a b c", np.array([0, 5]))
+    cells = np.full((1 << collocations.CELL_BITS) // 8, 255, np.uint8)
+    one, two, three = names.to_pylist()
+    hashes = collocations.word_hashes([one, two, three])
+    words = collocations._first_keys("en", hashes)
+    pairs = collocations._longer(words[:2], hashes[1:])
+    seen = collections.defaultdict(list)
+    marks = np.full(1 << collocations.MARK_BITS, collocations.NEVER, np.uint8)
+    for scan in range(10):
+        for _, phrases, _, _, _ in collocations.count_chunk("en", names, numbers, scan, marks, cells):
+            for p in phrases.to_pylist():
+                seen[p].append(scan)
+        for keys, marked_in in ((pairs, 0), (words, 2)):
+            if scan == marked_in:
+                for cell in collocations.mark_cells(keys):
+                    marks[cell] = scan
+    assert seen["a b"] == seen["a b c"] == [3, 4, 5, 6]
+
+
 def test_cells_hold_all_lengths_and_stop_at_the_cap():
     names, numbers = collocations.number_words(b"x x " * 50_000 + b". y z", np.array([0, 200_005]))
     hashes = np.append(np.uint64(0), collocations.word_hashes(names.to_pylist()))
