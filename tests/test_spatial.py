@@ -3,11 +3,14 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from cinderfield.contract import EARTH_RADIUS_M
-from cinderfield.operators.spatial import block_cover, radius_count, radius_pairs
+from cinderfield.operators import circles
+from cinderfield.operators.fire import fold_times
+from cinderfield.operators.spatial import block_cover, joined_sides, radius_count, radius_fold, radius_pairs
 
 
 def distance(a, b):
@@ -119,3 +122,39 @@ def test_cover_takes_coarse_blocks_inside_and_fine_ones_along_the_rim(spark):
         assert len(asked) == 25 and max(r["n"] for r in asked) < 80 and all(r["whole"] > 0 for r in asked)
         tested[split_rows] = cover.asked.where("_bin % 2 = 1").join(cover.offered, "_bin").count() / 25
     assert tested[50] < 0.7 * tested[10**6]
+
+
+def test_circles_test_points_along_the_rim_only():
+    """Sixteen times the points cost far less than sixteen times the tests, and sums equal those of all pairs."""
+    tested = []
+    for n in (10_000, 160_000):
+        rng = np.random.default_rng(3)
+        lat, lon, step, at = rng.uniform(40, 40.6, n), rng.uniform(30, 30.8, n), rng.integers(0, 5, n), rng.integers(0, 99, n)
+        tree = circles.BlockTree(lat, lon, step, np.full(n, 2), at, 10_000.0)
+        places = rng.uniform(40.2, 40.4, 20), rng.uniform(30.3, 30.5, 20)
+        sums, latest = tree.fold(*places, 5)
+        for i, (a, b) in enumerate(zip(*places, strict=True)):
+            near = circles.distance_m(a, b, lat, lon) <= 10_000.0
+            assert sums[i].tolist() == [2 * int((near & (step == s)).sum()) for s in range(5)]
+            assert latest[i].tolist() == [int(at[near & (step == s)].max()) for s in range(5)]
+        tested.append(tree.tested)
+    assert tested[1] < 6 * tested[0]
+
+
+def test_no_pair_of_place_and_day_is_a_row(spark):
+    """Detections of 2,000 days around one place, three window ends: at most three rows per place come out."""
+    days = spark.range(2000).selectExpr("40 + id * 1e-6 as latitude", "30D as longitude", "id * 86400000000 as _at")
+    ends = np.array([5, 700, 1999]) * 86_400_000_000
+    points = fold_times(days, ends).withColumn("_n", F.lit(1).cast("long"))
+    places = spark.createDataFrame([(40.0, 30.0)], "lat double, lon double")
+    rows = radius_fold(places, points, 10_000.0, ("lat", "lon"), merged=False).orderBy("_t").collect()
+    assert [(r["_t"], r["_n"], r["_at"]) for r in rows] == [(int(e), n, int(e)) for e, n in zip(ends, (6, 695, 1299), strict=True)]
+
+
+def test_the_smaller_side_of_a_radius_join_is_copied(spark):
+    few = spark.range(10).selectExpr("40 + id / 100 as lat", "30D as lon")
+    many = spark.range(3000).selectExpr("40 + id / 30000 as latitude", "30D as longitude")
+    for a, b, cols in ((few, many, [("lat", "lon"), ("latitude", "longitude")]), (many, few, [("latitude", "longitude"), ("lat", "lon")])):
+        pairs = radius_pairs(a, b, 5_000.0, *cols)
+        assert pairs.count() == sum(distance((40 + i / 100, 30), (40 + j / 30000, 30)) <= 5_000.0 for i in range(10) for j in range(3000))
+        assert 3000 in [side.count() for side in joined_sides(a, b, 5_000.0, *cols)]
