@@ -838,11 +838,13 @@ def hotspot_ingest(spark: SparkSession, sf: str) -> DataFrame:
     day = F.datediff("acq_date", F.lit(first))
     own = F.floor(day / CHUNK_DAYS).cast("int")
     begun = F.when((day % CHUNK_DAYS >= CHUNK_DAYS - OVERLAP_DAYS), F.array(own, own + 1)).otherwise(F.array(own))
-    copies = rows.withColumn("chunk", F.explode(begun))
+    copies, path = rows.withColumn("chunk", F.explode(begun)), scratch_path(spark, "copies")
+    copies.write.partitionBy("chunk").parquet(path)  # the archive is run once; each chunk then reads its own rows
+    copies = spark.read.schema(copies.schema).parquet(path)
     folder = scratch_path(spark, "chunks")
     chunks = (last - first).days // CHUNK_DAYS + 1
     for number in range(chunks):  # one file for each chunk, as an archive delivers them
-        copies.filter(F.col("chunk") == number).coalesce(1).write.option("header", True).csv(f"{folder}/{number:05d}")
+        copies.filter(F.col("chunk") == number).repartition(1).write.option("header", True).csv(f"{folder}/{number:05d}")
     extra = T.StructType.fromDDL("chunk int, chunk_seq bigint, line_ref bigint, frp double")
     order, path = ["chunk", "chunk_seq", "line_ref", "frp", "confidence"], scratch_path(spark, "ingest")
 
