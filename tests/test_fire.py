@@ -6,7 +6,8 @@ from datetime import datetime
 import pytest
 
 from cinderfield.contract import EARTH_RADIUS_M, TARGET, LabelSettings
-from cinderfield.operators.fire import filter_confidence, fire_history, fire_labels
+from cinderfield.operators.fire import filter_confidence, fire_history, fire_labels, place_history, with_history
+from cinderfield.plans.risk_dataset import Sources, build_dataset
 
 LAT, LON = 39.5, 32.85
 OBS = "2025-06-01"
@@ -210,3 +211,19 @@ def test_numeric_confidence_maps_only_where_bounds_are_given(spark):
     mapped = {r["i"] for r in filter_confidence(df, numeric_bounds=(30.0, 80.0)).collect()}
     assert plain == {1, 2} and mapped == {1, 2, 5, 6, 7, 8}
     assert {r["i"] for r in filter_confidence(df, ("low",), (30.0, 80.0)).collect()} == {0, 3, 4}
+
+
+def test_no_row_for_place_and_date_moves(spark):
+    """A place's history at all dates is one row; rows meet it before they are expanded by date."""
+    fires = hotspots(spark, [(LAT, LON, f"2024-{m:02d}-10") for m in range(1, 13)] + [(40.0, LON, "2024-06-10")])
+    table = spark.createDataFrame([(1, LAT, LON), (2, 40.0, LON), (3, 45.0, LON), (1, LAT, LON)], "cell_id int, lat double, lon double")
+    dates = [int(datetime(2024, m, 1).timestamp() - datetime(1970, 1, 1).timestamp()) * 1_000_000 for m in range(1, 13)]
+    places = table.selectExpr("lat as _plat", "lon as _plon").distinct()
+    rows = place_history(places, dates, fires).collect()
+    assert sorted(r["_plat"] for r in rows) == [LAT, 40.0] and all(len(r["_past"]) == 12 for r in rows)
+    dated = with_history(table, fires, "2024-01-01", "2024-12-31")
+    exact = fire_labels(dated.select("cell_id", "lat", "lon", "obs_date"), fires, exact_times=True)
+    assert dated.count() == 48 and sorted(map(str, dated.collect())) == sorted(map(str, exact.collect()))
+    settings = LabelSettings(start="2024-01-01", end="2024-12-31")
+    plan = build_dataset(table, Sources(hotspots=fires), 250.0, LAT, settings).table._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Generate") < plan.index("Exchange")
