@@ -87,7 +87,10 @@ def build_dataset(
     if sources.hotspots is not None:
         table = fire.with_history(features, sources.hotspots, labels.start, labels.end, freq, labels)
     else:
-        table = grid.at_dates(features, labels.start, labels.end, freq)
+        # A table of cells is small, often one file and task: its rows are dealt out before each becomes many.
+        spark = cells.sparkSession
+        tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+        table = grid.at_dates(features.repartition(tasks, cell_key), labels.start, labels.end, freq)
     if sources.hourly is not None:
         table = weather.attach_weather(table, sources.hourly)
 
@@ -105,7 +108,7 @@ def build_dataset(
 
     if sources.hotspots is None:
         # The threshold takes several passes: write the features once instead of building them again.
-        table = placeholders.quantile_label(settle(table, "features"), split.positive_rate)
+        table = placeholders.quantile_label(settle(table, "features", "zstd"), split.positive_rate)
         version, source = "real-v0-no-firms", "synthetic_fallback"
     else:
         version, source = "real-b1", "hotspot_archive"

@@ -227,3 +227,9 @@ def test_no_row_for_place_and_date_moves(spark):
     settings = LabelSettings(start="2024-01-01", end="2024-12-31")
     plan = build_dataset(table, Sources(hotspots=fires), 250.0, LAT, settings).table._jdf.queryExecution().executedPlan().toString()
     assert plan.index("Generate") < plan.index("Exchange")
+
+
+def test_cells_of_one_task_are_dealt_out_before_they_become_rows(spark):
+    table = spark.range(200).selectExpr("id as cell_id", "39 + id / 1000 as lat", "30D as lon").coalesce(1)
+    built = build_dataset(table, Sources(), 250.0, LAT, LabelSettings(start="2024-01-01", end="2024-03-31"))
+    assert built.table.count() == 600 and len(built.table.inputFiles()) > 1
