@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from cinderfield.functions.text import file_stem
@@ -16,14 +14,14 @@ CATALOGUE_SCHEMA = "path string, bytes binary, label int"
 SPLIT_FOLDERS = {"train": ["train"], "val": ["val", "valid", "test"], "test": ["test"]}
 
 
-def _exists(spark: SparkSession, pattern: str) -> bool:
+def _opened(reader: DataFrameReader, path: str) -> DataFrame | None:
+    """What is at the path or pattern, whose files are listed once; None if there is nothing."""
     try:
-        spark.read.format("binaryFile").load(pattern)
+        return reader.load(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            return False
+            return None
         raise
-    return True
 
 
 def _plain_path(encoded: Column) -> Column:
@@ -34,29 +32,27 @@ def _plain_path(encoded: Column) -> Column:
 def read_shards(spark: SparkSession, root: str, split: str) -> DataFrame:
     """Annotated Parquet shards of a split: many for ``train``, one for ``val``, else none."""
     pattern = {"train": f"{root}/*-train-*.parquet", "val": f"{root}/*-val.parquet"}.get(split)
-    if pattern is None or not _exists(spark, pattern):
+    shards = None if pattern is None else _opened(spark.read.format("parquet"), pattern)
+    if shards is None:
         return spark.createDataFrame([], CATALOGUE_SCHEMA)
-    shards = spark.read.parquet(pattern).select("image", "annotations")
-    return label_annotated(shards).select(
+    return label_annotated(shards.select("image", "annotations")).select(
         F.col("image.path").alias("path"), F.col("image.bytes").alias("bytes"), "label"
     )
 
 
 def read_image_folders(spark: SparkSession, root: str, split: str) -> DataFrame:
     """``images/<split>/*.jpg|png`` with ``labels/<split>/<stem>.txt``; image bytes are not read."""
-    folders = [f for f in SPLIT_FOLDERS.get(split, [split]) if _exists(spark, f"{root}/images/{f}")]
-    if not folders:
+    for folder in SPLIT_FOLDERS.get(split, [split]):
+        found = _opened(spark.read.format("binaryFile"), f"{root}/images/{folder}")
+        if found is not None:
+            break
+    else:
         return spark.createDataFrame([], CATALOGUE_SCHEMA)
-    folder = folders[0]
-    images = (
-        spark.read.format("binaryFile")
-        .load(f"{root}/images/{folder}")
-        .select("path")
-        .filter(F.col("path").rlike(r"\.(jpg|png)$"))
-    )
-    labels_at = f"{root}/labels/{folder}"
-    if _exists(spark, os.path.join(labels_at, "*.txt")):
-        files = spark.read.text(os.path.join(labels_at, "*.txt"), wholetext=True).select(
+    images = found.select("path").filter(F.col("path").rlike(r"\.(jpg|png)$"))
+    # The folder with a filter of names: of a pattern every single file would be a path to look up.
+    texts = _opened(spark.read.format("text").option("wholetext", True).option("pathGlobFilter", "*.txt"), f"{root}/labels/{folder}")
+    if texts is not None:
+        files = texts.select(
             file_stem(_plain_path(F.col("_metadata.file_path"))).alias("stem"), F.col("value").alias("content")
         )
     else:
