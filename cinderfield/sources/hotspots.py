@@ -46,6 +46,20 @@ def read_hotspots(
     return out
 
 
+def file_headers(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Per file with a line that is neither blank nor a comment: its percent-encoded name and its first such line."""
+    lines = spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.struct("_metadata.file_block_start", F.monotonically_increasing_id()).alias("place"),
+        "value",
+    )
+    text = F.trim("value")
+    # Of text alone Spark aggregates by sorting, here all lines of a task; beside a collected
+    # set, of nothing, it keeps one line for each file instead.
+    nothing = F.collect_set(F.lit(None).cast("int")).alias("nothing")
+    return lines.filter((text != "") & ~text.startswith("#")).groupBy("file").agg(F.min_by("value", "place").alias("header"), nothing)
+
+
 def files_by_layout(spark: SparkSession, paths: list[str]) -> list[list[str]]:
     """The files behind ``paths``, grouped by their header line.
 
@@ -54,17 +68,8 @@ def files_by_layout(spark: SparkSession, paths: list[str]) -> list[list[str]]:
     """
     if not paths:
         return []
-    lines = spark.read.text(paths).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.struct("_metadata.file_block_start", F.monotonically_increasing_id()).alias("place"),
-        "value",
-    )
-    text = F.trim("value")
-    heads = (
-        lines.filter((text != "") & ~text.startswith("#")).groupBy("file").agg(F.min_by("value", "place").alias("header"))
-    )
     groups: dict[str, list[str]] = {}
-    for row in heads.orderBy("file").collect():
+    for row in file_headers(spark, paths).orderBy("file").collect():
         groups.setdefault(row["header"].strip(), []).append(unquote(row["file"]))
     return list(groups.values())
 

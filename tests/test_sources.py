@@ -240,6 +240,19 @@ def test_image_names_with_blanks_signs_and_letters(spark, tmp_path):
     assert len(rows) == 5 and all(r["label"] == 1 for r in rows)
 
 
+def test_image_and_label_folders_are_one_path_each(spark, tmp_path):
+    plan = image_files.read_image_folders(spark, image_root(tmp_path), "train")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("InMemoryFileIndex(1 paths)") == plan.count("InMemoryFileIndex(") == 2
+
+
+def test_lines_are_not_sorted_to_find_headers(spark, tmp_path):
+    for name, text in (("a", "# x\n\n b,a \n1,2\n"), ("b", "a,b\n" + "0,9\n" * 1000), ("c", "\n# only\n")):
+        write(tmp_path / f"{name}.csv", text)
+    heads = hotspot_files.file_headers(spark, [str(tmp_path)])
+    assert {r["file"][-5:]: r["header"] for r in heads.collect()} == {"a.csv": " b,a ", "b.csv": "a,b"}
+    assert "SortAggregate" not in heads._jdf.queryExecution().executedPlan().toString()
+
+
 def test_image_catalogue(spark, tmp_path):
     root = image_root(tmp_path)
     shards = tmp_path / "shards"
