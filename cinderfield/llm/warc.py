@@ -256,6 +256,8 @@ class WarcReader(DataSourceReader):
 
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
         for f in filters:
+            if isinstance(f, IsNotNull) and f.attribute == ("file",):
+                continue  # holds for every record (see read_archive)
             if isinstance(f, _PUSHED) and len(f.attribute) == 1 and f.attribute[0] in HEADERS:
                 self.filters.append(f)
             else:
@@ -351,9 +353,14 @@ def read_archive(spark: SparkSession, path: str, payload: bool = True) -> DataFr
 
     The path is opened by the executors through pyarrow: file, HDFS and object stores.
     A damaged file fails the job with its name and the byte.
+
+    Spark keeps a reader with the filters last given to it, and reads of the same frame
+    without a filter would use it again: the filter here, which every record passes, gives
+    each read a reader of its own. One plan that reads an archive with different filters
+    needs a frame for each.
     """
     register(spark)
-    return spark.read.format("warc").option("payload", str(payload).lower()).load(path)
+    return spark.read.format("warc").option("payload", str(payload).lower()).load(path).where(F.col("file").isNotNull())
 
 
 def write_archive(records: DataFrame, path: str, compression: str = "gzip") -> None:
