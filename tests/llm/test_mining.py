@@ -5,6 +5,7 @@ import hashlib
 import itertools
 import random
 import re
+import types
 import zlib
 
 import numpy as np
@@ -185,6 +186,22 @@ def test_marks_of_other_phrases_do_not_start_a_phrase_before_it_is_followed():
     assert seen["a b"] == seen["a b c"] == [3, 4, 5, 6]
 
 
+@pytest.mark.parametrize(("least", "most"), [(1 << 17, 1 << 19), (2, 1 << 19), (2, 3)])
+def test_a_task_of_a_scan_gives_one_row_per_phrase_of_all_its_chunks(monkeypatch, least, most):
+    monkeypatch.setattr(collocations, "AT_LEAST", least)
+    monkeypatch.setattr(collocations, "MOST_HELD", most)
+    chunks = [(lang, *collocations.number_words(text, np.array([0, len(text)]))) for lang, text in [("en", b"a b a"), ("en", b"b c"), ("de", b"a a"), ("en", b"a c c")]]
+    batches = [pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([names.to_pylist()]), pa.array([numbers.tolist()], pa.list_(pa.int32()))], names=["lang", "names", "numbers"]) for lang, names, numbers in chunks]
+    marks, cells = np.full(1 << collocations.MARK_BITS, collocations.NEVER, np.uint8), np.full((1 << collocations.CELL_BITS) // 8, 255, np.uint8)
+    shared = types.SimpleNamespace(value=(marks.tobytes(), cells.tobytes()))
+    rows = [r for b in collocations._scanned(0, shared)(iter(batches)) for r in b.to_pylist()]
+    n = collections.Counter()
+    for r in rows:
+        n[r["lang"], r["phrase"]] += r["n"]
+    assert n == {("en", ""): 8, ("en", "a"): 3, ("en", "b"): 2, ("en", "c"): 3, ("de", ""): 2, ("de", "a"): 2}
+    assert most == 3 or len(rows) == len(n)
+
+
 def test_cells_hold_all_lengths_and_stop_at_the_cap():
     names, numbers = collocations.number_words(b"x x " * 50_000 + b". y z", np.array([0, 200_005]))
     hashes = np.append(np.uint64(0), collocations.word_hashes(names.to_pylist()))
