@@ -420,9 +420,10 @@ def feature_table_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """The dataset written by day and as CSV, and the days of one year read back: each column's place, type and values."""
     built = risk_table(spark, sf)
     root = scratch_path(spark, "features")
-    feature_files.write_feature_table(built.table, f"{root}/parquet", rows_per_day=1)
+    n_cells, n_days = views.view(spark, sf, "CELLS").count(), grid.obs_dates(spark, LABELS.start, LABELS.end).count()
+    feature_files.write_feature_table(built.table, f"{root}/parquet", rows_per_day=n_cells, n_days=n_days)
     whole = feature_files.load_feature_table(spark, f"{root}/parquet")
-    feature_files.write_feature_table(whole, f"{root}/csv", "csv")
+    feature_files.write_feature_table(whole, f"{root}/csv", "csv", compression="gzip")
     days = ("1998-01-01", "1998-12-31")
     dates = grid.obs_dates(spark, *days).select(F.col("obs_date").alias("day"))
     tables = {

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,6 +14,8 @@ from cinderfield.operators.quality import Run, observed, require_columns, run_me
 
 DAY_FOLDER = "obs_day"
 ROWS_PER_FILE = 2_000_000
+# A table is written as it is dealt where no file gets fewer rows than FEWEST_PER_FILE by that.
+ROWS_PER_TASK, FEWEST_PER_FILE = 1_000_000, 20_000
 
 
 def to_contract(df: DataFrame) -> DataFrame:
@@ -27,34 +31,53 @@ def to_contract(df: DataFrame) -> DataFrame:
 
 
 def write_feature_table(
-    df: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexists", rows_per_day: int | None = None
+    df: DataFrame,
+    path: str,
+    fmt: str = "parquet",
+    mode: str = "errorifexists",
+    rows_per_day: int | None = None,
+    n_days: int | None = None,
+    compression: str | None = None,
 ) -> None:
-    """Parquet in folders by observation day, or CSV with header.
+    """Parquet in folders by observation day, or CSV with header; files hold ROWS_PER_FILE rows at most.
 
     The folders are named by a copy of the date, so the table in the files keeps
-    its columns, order and types. Rows are dealt by day and a salt of the place: a
-    day goes to as many tasks as it fills files of ROWS_PER_FILE rows, and a task
-    writes to few folders. ``rows_per_day``, where the caller knows it (the cells of
-    a grid), spares the job that counts rows and days for that.
+    its columns, order and types. Where days are long and few, each task writes what it
+    has to every folder and the wide rows do not move (``_tasks_in_place``). Else they are
+    dealt by day and a salt of the place: a day goes to as many tasks as it fills files,
+    and a task writes to few folders. ``rows_per_day`` and ``n_days``, where the caller
+    knows them (the cells and dates of a grid), spare the job that counts them.
+    ``compression`` is the files' codec if it is not to be Spark's default (none for CSV).
     """
     table = to_contract(df)
+    how = {"maxRecordsPerFile": ROWS_PER_FILE} | ({"compression": compression} if compression else {})
     if fmt == "csv":
-        table.write.mode(mode).option("header", True).csv(path)
+        table.write.mode(mode).options(header=True, **how).csv(path)
         return
     day = F.col("obs_date").cast("date")
-    if rows_per_day is None:
+    if rows_per_day is None or n_days is None:
         size = table.agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct(day).alias("days")).first()
-        rows_per_day = size["n"] // max(1, size["days"])
-    salts = 1 + rows_per_day // ROWS_PER_FILE
+        rows_per_day, n_days = size["n"] // max(1, size["days"]), size["days"]
     dealt = table.withColumn(DAY_FOLDER, day)
-    dealt = dealt.repartition(DAY_FOLDER, F.pmod(F.xxhash64("lat", "lon"), F.lit(salts)))
-    dealt.write.mode(mode).partitionBy(DAY_FOLDER).parquet(path)
+    tasks = _tasks_in_place(df.sparkSession, rows_per_day, n_days)
+    if tasks:
+        dealt = dealt.coalesce(tasks)
+    else:
+        salts = 1 + rows_per_day // ROWS_PER_FILE
+        dealt = dealt.repartition(DAY_FOLDER, F.pmod(F.xxhash64("lat", "lon"), F.lit(salts)))
+    dealt.write.mode(mode).options(**how).partitionBy(DAY_FOLDER).parquet(path)
+
+
+def _tasks_in_place(spark: SparkSession, rows_per_day: int, n_days: int) -> int | None:
+    """How many tasks write a table without moving its rows, at most one file each for a day; None: files would be too small."""
+    tasks = max(spark.sparkContext.defaultParallelism, math.ceil(rows_per_day * n_days / ROWS_PER_TASK))
+    return tasks if rows_per_day >= tasks * FEWEST_PER_FILE else None
 
 
 def write_dataset(df: DataFrame, path: str, run: Run, rows_per_day: int | None = None) -> DataFrame:
     """Write the table by day and return its metadata row, counted while it was written."""
     table, watch = observed(df)
-    write_feature_table(table, path, rows_per_day=run.n_grid_cells if rows_per_day is None else rows_per_day)
+    write_feature_table(table, path, rows_per_day=run.n_grid_cells if rows_per_day is None else rows_per_day, n_days=run.n_obs_date_slices)
     return run_metadata(df.sparkSession, watch.get, run)
 
 

@@ -389,6 +389,25 @@ def test_day_folders_are_pruned(spark, tmp_path):
     assert feature_tables.write_dataset(table.limit(0), str(tmp_path / "none"), run).first()["lat_min"] is None
 
 
+def test_long_days_are_written_without_moving_rows_and_csv_packed(spark, tmp_path, monkeypatch):
+    keys = spark.range(0, 80, 1, 4).selectExpr("id", "39 + id / 100.0 as lat", "32 + id / 100.0 as lon", "timestamp_ntz'2024-01-01' + make_interval(0, 0, 0, cast(id % 4 as int)) as obs_date")
+    table = feature_tables.to_contract(placeholders.synthetic_dataset(keys, "id"))
+    monkeypatch.setattr(feature_tables, "FEWEST_PER_FILE", 1)
+    path = str(tmp_path / "t")
+    feature_tables.write_feature_table(table, path, rows_per_day=20, n_days=4)
+    files = {d: [f for f in os.listdir(f"{path}/{d}") if f.endswith(".parquet")] for d in os.listdir(path) if d.startswith("obs_day=")}
+    assert len(files) == 4 and all(2 <= len(f) <= spark.sparkContext.defaultParallelism for f in files.values())  # dealt by day: one each
+    back = feature_tables.load_feature_table(spark, path)
+    assert back.dtypes == table.dtypes and back.count() == 80 and back.exceptAll(table).count() == 0
+    feature_tables.write_feature_table(back, str(tmp_path / "csv"), "csv", compression="gzip")
+    packed = [f for f in os.listdir(tmp_path / "csv") if f.startswith("part-")]
+    assert packed and all(f.endswith(".csv.gz") for f in packed)
+    assert feature_tables.load_feature_table(spark, str(tmp_path / "csv"), "csv").exceptAll(table).count() == 0
+    monkeypatch.undo()
+    assert feature_tables._tasks_in_place(spark, 20, 4) is None and feature_tables._tasks_in_place(spark, 900_000, 24) == 22
+    assert feature_tables._tasks_in_place(spark, 900_000, 3_650) is None  # many days: files would be too small
+
+
 def test_contract_of_text_values(spark):
     table = placeholders.synthetic_dataset(spark.range(30), "id")
     texts = table.select(*[F.col(f.name).cast(f.spark_type).cast("string").alias(f.name) for f in fields()])
