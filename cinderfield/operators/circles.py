@@ -108,16 +108,27 @@ class BlockTree:
         return within
 
 
-def _groups(batches: Iterator[pa.RecordBatch], radius_m: float, leaf: int, width: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """Of a group of places and points (which have ``_t, _n, _ever``): places, the times of the points, and sums and largest
-    ``_ever`` per place and time, for some places at once; a place takes at least ``width`` cells."""
+def _groups(
+    batches: Iterator[pa.RecordBatch], radius_m: float, leaf: int, width: int, ends: np.ndarray | None = None
+) -> Iterator[tuple[np.ndarray, ...]]:
+    """Of a group of places and points (which have ``_n, _ever`` and, without ``ends``, ``_t``): places, the times of the
+    points, and sums and largest ``_ever`` per place and time, for some places at once; a place takes at least ``width``
+    cells. With ``ends``, rising, a point's time is the first of them at or after ``_ever``; points after all go."""
     table = pa.Table.from_batches(batches)
     isplace = table.column("_ever").is_null()
     places = table.filter(isplace)
     points = table.filter(pa.compute.invert(isplace))
     if not len(places) or not len(points):
         return
-    plat, plon, t, n, at = (points.column(c).to_numpy() for c in ("_plat", "_plon", "_t", "_n", "_ever"))
+    plat, plon, n, at = (points.column(c).to_numpy() for c in ("_plat", "_plon", "_n", "_ever"))
+    if ends is None:
+        t = points.column("_t").to_numpy()
+    else:
+        place = np.searchsorted(ends, at)
+        early = place < len(ends)
+        if not early.any():
+            return
+        plat, plon, n, at, t = plat[early], plon[early], n[early], at[early], ends[place[early]]
     times, step = np.unique(t, return_inverse=True)
     tree = BlockTree(plat, plon, step, n, at, radius_m, leaf)
     lat, lon = (places.column(c).to_numpy() for c in ("_plat", "_plon"))
@@ -148,11 +159,13 @@ def windowed(radius_m: float, leaf: int, ends: np.ndarray):
 
     ``ends`` has a row of four times per date: up to which points lie ahead, which of these do not, which lie in the past,
     which of these do not. ``_ahead``: whether there is a point ahead; ``_past``: how many in the past; ``_last``: the
-    largest ``_at`` up to the end of the past, or ``NEVER``. Places that meet no point give no row.
+    largest ``_at`` up to the end of the past, or ``NEVER``. Places that meet no point give no row. Points between two
+    of these times are alike and fold to one.
     """
+    edges = np.unique(ends)
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lat, lon, times, sums, latest in _groups(batches, radius_m, leaf, 3 * len(ends)):
+        for lat, lon, times, sums, latest in _groups(batches, radius_m, leaf, 3 * len(ends), edges):
             first = np.zeros((len(lat), 1), np.int64)
             seen = np.hstack([first, np.cumsum(sums, 1)])
             ever = np.hstack([first + NEVER, np.maximum.accumulate(latest, 1)])

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cinderfield.contract import FIRE_HISTORY, NO_FIRE_DAYS, TARGET, LabelSettings
 from cinderfield.functions.scalars import DAY_US, as_timestamp, clamp, epoch_us
@@ -87,7 +91,8 @@ def place_history(
     ends = window_ends(dates, s)
     fires = _folded(fold_times(_fires(hotspots, s), np.unique(ends)))
     # Both are read several times: written once, so the input tables themselves are scanned once.
-    spots, fires = settle(places.select(F.col("_plat").cast("double"), F.col("_plon").cast("double")), "places"), settle(fires, "fires")
+    spots = settle(places.select(F.col("_plat").cast("double"), F.col("_plon").cast("double")), "places", "zstd")
+    fires = settle(fires.select("latitude", "longitude", "_n", "_at"), "fires", "zstd")
     return radius_windows(spots, fires, s.radius_m, ends, ("_plat", "_plon"), rows_per_slice=rows_per_slice)
 
 
@@ -165,18 +170,52 @@ def fire_history(
 
 
 def _attached(obs: DataFrame, places: DataFrame, hotspots: DataFrame, s: LabelSettings, rows_per_slice: int) -> DataFrame:
-    """``obs`` plus its fire history, looked up in its place's row by the number of its date."""
+    """``obs`` plus its fire history, looked up in its place's row by the number of its date.
+
+    Observations of a place that follow each other meet its history as one row.
+    """
     when = _observation_time(as_timestamp(F.col("obs_date")), False)
-    keyed = obs.select(*obs.columns, F.col("lat").cast("double").alias("_olat"), F.col("lon").cast("double").alias("_olon"), epoch_us(when).alias("_ot"))
-    dates = sorted(r["_ot"] for r in keyed.select("_ot").filter("_ot is not null").distinct().collect())
+    times = obs.select(epoch_us(when).alias("_ot"))
+    dates = sorted(r["_ot"] for r in times.filter("_ot is not null").distinct().collect())
     history = place_history(places, dates, hotspots, s, rows_per_slice)
-    met = keyed.join(history, (F.col("_olat") == F.col("_plat")) & (F.col("_olon") == F.col("_plon")), "left")
+    types = dict(obs.dtypes)
+    whole = [c for c in ("lat", "lon") if types[c] == "double"]  # the keys themselves
+    rest = {c: f"_c{i}" for i, c in enumerate(obs.columns) if c not in whole}
+    keyed = obs.select(*[F.col(c).cast("double").alias(f"_o{c}") for c in ("lat", "lon")], *[F.col(c).alias(own) for c, own in rest.items()])
+    met = packed(keyed, ["_olat", "_olon"]).join(history, (F.col("_olat") == F.col("_plat")) & (F.col("_olon") == F.col("_plon")), "left")
+    met = met.select("_olat", "_olon", "_ahead", "_past", "_last", F.explode(F.arrays_zip(*rest.values())).alias("_row"))
+    met = met.select("_ahead", "_past", "_last", *[(F.col(f"_o{c}") if c in whole else F.col(f"_row.{rest[c]}")).alias(c) for c in obs.columns])
+    met = met.withColumn("_ot", epoch_us(when))
     calendar = F.lit(dates) if dates else F.array().cast("array<bigint>")
     met = met.withColumn("_i", (F.array_position(calendar, F.col("_ot")) - 1).cast("int"))
     element = at_date(F.col("_ot"), *[F.get(c, F.col("_i")) for c in ("_ahead", "_past", "_last")], s)
     return met.select(*obs.columns, *[c.alias(name) for name, c in element.items()])
 
 
+def packed(df: DataFrame, keys: list[str]) -> DataFrame:
+    """``df`` with rows that follow each other and agree in ``keys`` (double) as one row, the other columns as arrays.
+
+    Nothing is moved or sorted for it, and no array is longer than an Arrow batch. Rows of
+    a key that lie apart stay apart.
+    """
+    schema = T.StructType([f if f.name in keys else T.StructField(f.name, T.ArrayType(f.dataType)) for f in df.schema.fields])
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            # Compared by their bits: a null or NaN agrees with none, and zeros of unlike signs stay apart.
+            held = [batch.column(k).to_numpy(zero_copy_only=False).astype(np.float64) for k in keys]
+            first = np.ones(batch.num_rows, bool)
+            first[1:] = np.any([(h.view(np.int64)[1:] != h.view(np.int64)[:-1]) | np.isnan(h[1:]) for h in held], axis=0)
+            starts = np.flatnonzero(first)
+            offsets = pa.array(np.append(starts, batch.num_rows).astype(np.int32))
+            columns = [batch.column(f.name).take(pa.array(starts)) if f.name in keys else pa.ListArray.from_arrays(offsets, batch.column(f.name)) for f in schema.fields]
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    return df.mapInArrow(pack, schema)
+
+
 def _timeline(asked: DataFrame, places: DataFrame, hotspots: DataFrame, s: LabelSettings, rows_per_slice: int) -> DataFrame:
     """``asked``, distinct observations at any time of day, plus their fire history."""
     fires = _folded(_fires(hotspots, s).withColumn("_t", F.col("_at")))

@@ -248,9 +248,10 @@ def _offered(leaves: DataFrame, held: DataFrame, plat: str, plon: str) -> DataFr
 
 
 # Places and points meet in tiles this many radii high; a tile of more places or
-# points than so many times ``rows_per_slice`` is cut into slices of both.
-RADII_PER_TILE = 4
-PLACES, POINTS = 2, 64
+# points than so many times ``rows_per_slice`` is cut into slices of both. A point goes
+# to (1 + 2 / RADII_PER_TILE)^2 tiles, and once more to each slice of places.
+RADII_PER_TILE = 6
+PLACES, POINTS = 16, 64
 
 
 def _tile_slices(places: DataFrame, points: DataFrame, rows_per_slice: int) -> DataFrame:
@@ -273,7 +274,7 @@ def _in_tiles(
 ) -> DataFrame:
     """What ``fold`` gives for each group of places and points that meet in a tile.
 
-    ``points`` carries ``_t, _n, _at``. Places go to the tile they lie in, points to the
+    ``points`` carries ``_n, _at`` and, where ``fold`` needs it, ``_t``. Places go to the tile they lie in, points to the
     tiles within one radius. Tiles that hold more than about ``PLACES`` and ``POINTS`` times
     ``rows_per_slice`` rows are cut into slices, so a group is bounded and a place may
     meet its points in several groups.
@@ -283,9 +284,10 @@ def _in_tiles(
     tiles = RadiusBins(radius_m * RADII_PER_TILE)
     asked = _checked(places.select(*place_cols), place_cols, "centre table")
     asked = asked.select(*[F.col(c).alias(own) for c, own in zip(place_cols, ("_plat", "_plon"), strict=True)], tiles.home(*place_cols).alias("_bin"))
-    placed = _checked(points.select(plat, plon, "_t", "_n", "_at"), point_cols, "point table")
+    carried = [c for c in ("_t", "_n") if c in points.columns]
+    placed = _checked(points.select(plat, plon, *carried, "_at"), point_cols, "point table")
     offered = tiles.with_reach(placed, plat, plon, "_bin", radius_m)
-    offered = offered.select(F.col(plat).alias("_plat"), F.col(plon).alias("_plon"), "_bin", "_t", "_n", F.coalesce("_at", F.lit(circles.NEVER)).alias("_ever"))
+    offered = offered.select(F.col(plat).alias("_plat"), F.col(plon).alias("_plon"), "_bin", *carried, F.coalesce("_at", F.lit(circles.NEVER)).alias("_ever"))
     slices = _tile_slices(asked, offered, rows_per_slice)
     both = _sliced(offered, slices, "r", "l").unionByName(_sliced(asked, slices, "l", "r"), allowMissingColumns=True)
     # Dealt over as many tasks as there are: AQE would merge small ones, whatever their work.
@@ -329,6 +331,8 @@ def radius_windows(
 ) -> DataFrame:
     """``_ahead, _past, _last`` per place, each an array with an element per row of ``ends`` (``circles.windowed``).
 
+    ``points`` carries ``_n`` and ``_at``, which says which windows hold a point, so no other time moves.
+
     A place is one row whatever the dates, and each group takes its windows from the sums
     it has at hand: what moves is a row per place and slice of points, none per time.
     Places without a point near give no row.

@@ -3,10 +3,13 @@
 import math
 from datetime import datetime
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from cinderfield.contract import EARTH_RADIUS_M, TARGET, LabelSettings
-from cinderfield.operators.fire import filter_confidence, fire_history, fire_labels, place_history, with_history
+from cinderfield.operators.fire import filter_confidence, fire_history, fire_labels, packed, place_history, with_history
+from cinderfield.operators.spatial import radius_windows
 from cinderfield.plans.risk_dataset import Sources, build_dataset
 
 LAT, LON = 39.5, 32.85
@@ -233,3 +236,34 @@ def test_cells_of_one_task_are_dealt_out_before_they_become_rows(spark):
     table = spark.range(200).selectExpr("id as cell_id", "39 + id / 1000 as lat", "30D as lon").coalesce(1)
     built = build_dataset(table, Sources(), 250.0, LAT, LabelSettings(start="2024-01-01", end="2024-03-31"))
     assert built.table.count() == 600 and len(built.table.inputFiles()) > 1
+
+
+def test_observations_of_a_place_meet_its_history_as_one_row(spark):
+    nan, rows = float("nan"), []
+    for i, lat in enumerate((LAT, LAT, LAT, 40.0, LAT, None, None, nan, nan, 0.0, -0.0)):
+        rows.append((i, lat, LON, None if i == 1 else f"t{i}", [i] if i % 2 else None))
+    df = spark.createDataFrame(rows, "id long, lat double, lon double, note string, more array<int>").coalesce(1)
+    one = packed(df, ["lat", "lon"])
+    assert [r["id"] for r in one.collect()] == [[0, 1, 2], [3], [4], [5], [6], [7], [8], [9], [10]]
+    back = one.select("lat", "lon", F.explode(F.arrays_zip("id", "note", "more")).alias("r")).select("r.id", "lat", "lon", "r.note", "r.more")
+    assert list(map(str, back.collect())) == list(map(str, df.collect()))
+
+    days = spark.range(12).selectExpr("cast(id + 1 as string) as day", "cast(null as string) as note")
+    places = spark.createDataFrame([(1, LAT, 33), (2, 40.0, 33), (1, LAT, 33)], "cell_id int, lat double, lon int")
+    obs = places.crossJoin(days).selectExpr("cell_id", "lat", "lon", "date'2024-01-01' + cast(day as int) * 30 as obs_date", "note").orderBy("lat")
+    fires = hotspots(spark, [(LAT, 33.0, f"2024-{m:02d}-10") for m in range(1, 13)])
+    labelled = fire_labels(obs, fires)
+    assert sorted(map(str, labelled.collect())) == sorted(map(str, fire_labels(obs, fires, exact_times=True).collect()))
+    assert labelled.select(obs.columns).schema == obs.schema and labelled.count() == 36
+    plan = fire_labels(obs, fires)._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Generate explode") < plan.index("Join") < plan.index("MapInArrow")  # packed before it moves
+
+
+def test_windows_need_the_latest_time_only(spark):
+    """Which end a point lies before follows from its time, so that end does not move; points after all ends are in no window."""
+    places = spark.createDataFrame([(LAT, LON), (45.0, LON)], "_plat double, _plon double")
+    points = spark.createDataFrame([(LAT, LON, 2, 5), (LAT, LON + 1e-3, 1, 7), (LAT, LON, 4, 100)], "latitude double, longitude double, _n long, _at long")
+    ends = np.array([[10, 6, 5, 0], [20, 10, 10, 5]], np.int64)
+    (row,) = radius_windows(places, points, 10_000.0, ends, ("_plat", "_plon")).collect()
+    assert (row["_ahead"], row["_past"], row["_last"]) == ([True, False], [2, 1], [5, 7])
+    assert radius_windows(places, points.filter("_at > 20"), 10_000.0, ends, ("_plat", "_plon")).count() == 0
