@@ -69,7 +69,7 @@ def observations(spark: SparkSession, sf: str) -> DataFrame:
     return grid.at_dates(views.view(spark, sf, "CELLS"), views.OBS_START, views.OBS_END)
 
 
-def risk_table(spark: SparkSession, sf: str, with_hotspots: bool = True) -> Built:
+def risk_table(spark: SparkSession, sf: str, with_hotspots: bool = True, stored: bool = False) -> Built:
     pixels, transform = pixels_with_transform(spark, sf)
     sources = Sources(
         hotspots=views.view(spark, sf, "HOTSPOTS") if with_hotspots else None,
@@ -78,7 +78,7 @@ def risk_table(spark: SparkSession, sf: str, with_hotspots: bool = True) -> Buil
         hourly=views.view(spark, sf, "WEATHER"),
     )
     cells = views.view(spark, sf, "CELLS")
-    return build_dataset(cells, sources, views.PIXEL_M, views.MID_LAT, LABELS)
+    return build_dataset(cells, sources, views.PIXEL_M, views.MID_LAT, LABELS, stored=stored)
 
 
 def scored(spark: SparkSession, sf: str) -> DataFrame:
@@ -713,9 +713,9 @@ BOOSTER = BoosterSettings(rounds=8, depth=4, step=0.2, patience=4)
 
 
 def keyed_risk_table(spark: SparkSession, sf: str) -> DataFrame:
-    """The built dataset with a row key, written once: model jobs scan it many times."""
+    """The built dataset with a row key, written once but for what follows from the key: model jobs scan it many times."""
     key = F.concat_ws("|", F.col("cell_id").cast("string"), F.date_format("obs_date", "yyyy-MM-dd"))
-    return settle(risk_table(spark, sf).table.withColumn("row_key", key), "risk", "zstd")
+    return risk_table(spark, sf, stored=True).table.withColumn("row_key", key)
 
 
 @register

@@ -75,12 +75,15 @@ def build_dataset(
     split: SplitSettings | None = None,
     freq: str = "MS",
     cell_key: str = "cell_id",
+    stored: bool = False,
 ) -> Built:
     """Cells x dates with the 24 features and the target.
 
     Fire history is one row per place, so per-cell raster features meet it before
     they are expanded by date.
-    Values stay DOUBLE here; the writer casts to the contract types.
+    Values stay DOUBLE here; the writer casts to the contract types. With ``stored`` the
+    rows are written once, for callers that scan them many times; not the placeholders
+    among them, which a scan draws again from the row's key.
     """
     labels, split = labels or LabelSettings(), split or SplitSettings()
     features = cell_features(cells, sources, pixel_m, mid_lat)
@@ -102,6 +105,8 @@ def build_dataset(
         (None, HUMAN),
     ]
     missing = [c for source, columns in groups if source is None for c in columns]
+    if stored and sources.hotspots is not None:  # without hotspots the features are written for the label, below
+        table = settle(table, "risk", "zstd")
     row_key = F.concat_ws("|", F.col(cell_key).cast("string"), F.date_format("obs_date", "yyyy-MM-dd"))
     table = table.withColumn("_row_key", row_key)
     table = placeholders.placeholder_features(table, "_row_key", split.seed, missing)

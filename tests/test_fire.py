@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cinderfield.contract import EARTH_RADIUS_M, TARGET, LabelSettings
+from cinderfield.contract import EARTH_RADIUS_M, HUMAN, TARGET, LabelSettings
 from cinderfield.operators.fire import filter_confidence, fire_history, fire_labels, packed, place_history, with_history
 from cinderfield.operators.spatial import radius_windows
 from cinderfield.plans.risk_dataset import Sources, build_dataset
@@ -267,3 +267,12 @@ def test_windows_need_the_latest_time_only(spark):
     (row,) = radius_windows(places, points, 10_000.0, ends, ("_plat", "_plon")).collect()
     assert (row["_ahead"], row["_past"], row["_last"]) == ([True, False], [2, 1], [5, 7])
     assert radius_windows(places, points.filter("_at > 20"), 10_000.0, ends, ("_plat", "_plon")).count() == 0
+
+
+def test_stored_rows_hold_nothing_that_follows_from_their_key(spark):
+    table = spark.createDataFrame([(1, LAT, LON), (2, 40.0, LON), (2, 40.0, LON)], "cell_id int, lat double, lon double")
+    fires, settings = hotspots(spark, [(LAT, LON, "2024-02-10")]), LabelSettings(start="2024-01-01", end="2024-06-30")
+    plain, stored = (build_dataset(table, Sources(hotspots=fires), 250.0, LAT, settings, stored=s).table for s in (False, True))
+    assert stored.dtypes == plain.dtypes and sorted(map(str, stored.collect())) == sorted(map(str, plain.collect()))
+    written = spark.read.parquet(*stored.inputFiles())
+    assert written.count() == 18 and TARGET in written.columns and not set(HUMAN) & set(written.columns)
