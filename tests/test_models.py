@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from cinderfield.contract import FEATURES, TARGET, BoosterSettings, SplitSettings
 from cinderfield.operators import attribution, booster, placeholders
-from cinderfield.plans import model_jobs
+from cinderfield.plans import model_jobs, queries
 from cinderfield.scratch import settle
 
 SMALL = BoosterSettings(rounds=6, depth=3, step=0.3, patience=3)
@@ -102,6 +102,15 @@ def test_spatial_cv_without_positives(rows):
     assert folds.count() == 0 and tuple(summary.first()) == (0,) + (0.0,) * 6
 
 
+@pytest.mark.parametrize("label", [0, 1])
+def test_folds_of_one_class_give_no_scores(monkeypatch, spark, rows, label):
+    one_class = rows.withColumn(TARGET, F.lit(label))
+    scores = model_jobs.fold_scores(one_class, 5, SMALL)
+    assert scores.dtypes == [("fold", "int"), ("y", "int"), ("p", "float")] and scores.count() == 0
+    monkeypatch.setattr(queries, "keyed_risk_table", lambda spark, sf: one_class)
+    assert queries.spatial_cv_folds(spark, "").collect() == []
+
+
 def brute_shapley(tree, x, n_features):
     """Shapley values from the definition, over all feature subsets of a small tree."""
 
