@@ -102,6 +102,29 @@ def test_spatial_cv_without_positives(rows):
     assert folds.count() == 0 and tuple(summary.first()) == (0,) + (0.0,) * 6
 
 
+def test_spatial_cv_query_trains_the_whole_model(monkeypatch, spark):
+    taken = []
+    monkeypatch.setattr(queries, "keyed_risk_table", lambda spark, sf: None)
+    monkeypatch.setattr(model_jobs, "spatial_cv", lambda df, k, settings: (taken.append((k, settings)), None))
+    queries.spatial_cv(spark, "")
+    assert taken == [(5, BoosterSettings())] and (taken[0][1].rounds, taken[0][1].depth) == (500, 6)
+
+
+def test_training_in_steps_finds_the_round_of_all_rounds(rows):
+    train, val = rows.filter("id % 3 > 0"), rows.filter("id % 3 = 0")
+    s = replace(SMALL, rounds=25, step=1.0, patience=1)
+    kept = booster.fit(train, val, s)
+    whole = booster._train(train, s, kept.positive_weight, TARGET)
+    history = booster.round_precision(whole, val, s)
+    assert booster._steps(s) == [3, 6, 12, 25] and len(kept.history) < 25
+    assert np.allclose(kept.history, history[: len(kept.history)])
+    assert kept.best_round == kept.model.getNumTrees == booster._best_round(history, s.patience)
+    for a, b in zip(booster.trees(kept.model, rows), booster.trees(whole, rows)):
+        assert np.array_equal(a.threshold, b.threshold, equal_nan=True) and np.allclose(a.value, b.value)
+    assert booster._steps(replace(s, patience=3, judge_every=5)) == [10, 25] and booster._steps(SMALL) == [6]
+    assert booster._steps(BoosterSettings()) == [62, 125, 250, 500]
+
+
 @pytest.mark.parametrize("label", [0, 1])
 def test_folds_of_one_class_give_no_scores(monkeypatch, spark, rows, label):
     one_class = rows.withColumn(TARGET, F.lit(label))
