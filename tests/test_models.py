@@ -168,6 +168,17 @@ def test_attributions_match_the_definition(rows, fitted):
         assert r["base"] + np.sum(r["phi"]) == pytest.approx(margin, abs=1e-9) == pytest.approx(r["margin"])
 
 
+def test_attribution_check_brings_no_rows_to_the_driver(monkeypatch, spark, rows):
+    keyed = settle(rows.withColumn("row_key", F.col("id").cast("string")))
+    monkeypatch.setattr(queries, "keyed_risk_table", lambda spark, sf: keyed)
+    monkeypatch.setattr(queries, "BOOSTER", SMALL)
+    out = queries.attribution_check(spark, "")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" not in plan and plan.count("SortMergeJoin") == 1
+    assert [tuple(r) for r in out.collect()] == [(600, 0, 0)]
+    assert "BroadcastExchange" not in out._jdf.queryExecution().executedPlan().toString()
+
+
 def test_importance_table(rows, fitted):
     top = model_jobs.feature_importance(fitted, rows, "id", sample_rows=200, top_n=10).collect()
     assert len(top) == 10 and [r["mean_abs"] for r in top] == sorted((r["mean_abs"] for r in top), reverse=True)
